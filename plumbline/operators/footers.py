@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,19 @@ from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
 # Fixed value: the footer key under which Spark keeps the schema it wrote.
 SPARK_SCHEMA_KEY = b"org.apache.spark.sql.parquet.row.metadata"
 
+# Tasks get this module's functions with the job, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FIELDS = "array<struct<position:int,name:string,type:string>>"
+# The types partition discovery gives to directory values.
+PARTITION_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "string": T.StringType(),
+}
 _LOCATION_SCHEMAS = T.StructType.fromDDL(f"location string, fields {FIELDS}")
 
 
@@ -115,8 +129,7 @@ def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _with_partitions(schema: T.StructType, partitions: list[dict]) -> T.StructType:
     """Data fields, then directory fields; a field of both keeps its place and the directory's type."""
-    typed = {p["name"]: T.StructField(p["name"], T.StructType.fromDDL("x " + p["type"])["x"].dataType)
-             for p in partitions}
+    typed = {p["name"]: T.StructField(p["name"], PARTITION_TYPES[p["type"]]) for p in partitions}
     names = {n.lower(): n for n in typed}
     data = [typed.pop(names[f.name.lower()], f) if f.name.lower() in names else f
             for f in schema.fields]
@@ -163,5 +176,8 @@ def location_schemas(located: DataFrame) -> DataFrame:
     spark = located.sparkSession
     first = located.groupBy("location").agg(F.min("path").alias("path"))
     first = first.join(_partition_types(located), "location", "left")
-    tasks = 2 * spark.sparkContext.defaultParallelism
+    tasks = max(
+        2 * spark.sparkContext.defaultParallelism,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
     return first.repartition(tasks, "location").mapInArrow(_read_footers, _LOCATION_SCHEMAS)

@@ -82,13 +82,13 @@ _COMMON = ("environment", "database", "tableType", "businessLine", "viewMode", "
 
 
 def bind(rules: DataFrame, catalog: Catalog) -> list[Rule]:
-    """Rules as plan inputs, numbered in a stable order.
+    """Rules as plan inputs, without repeats, numbered in a stable order.
 
     A rule file is job configuration: its column names and segments become the
     expressions of the plan, so its lines (not table rows) come to the driver.
     Every error in them is raised here, before any job reads a table.
     """
-    lines = [row.asDict() for row in rules.distinct().collect()]
+    lines = [row.asDict() for row in dict.fromkeys(rules.collect())]
     lines.sort(key=lambda line: [(v is not None, str(v)) for v in line.values()])
     bound = []
     for line in lines:
