@@ -107,18 +107,18 @@ def whole_table(line: str, mode: str | None, kind: str | None) -> Segment:
     return Segment()
 
 
-def in_any(segments: Sequence[Segment]) -> Column:
+def in_any(tests: Sequence[Column]) -> Column:
     """True for rows of at least one segment; plain comparisons, so it reaches the scan."""
-    return reduce(or_, [s.test() for s in segments])
+    return reduce(or_, tests)
 
 
-def membership(segments: Sequence[Segment]) -> list[Column]:
+def membership(tests: Sequence[Column]) -> list[Column]:
     """A row's segments as bit words; bit ``i % 62`` of word ``i // 62`` is segment ``i``."""
-    words = []
-    for at in range(0, len(segments), WORD_BITS):
+    words, none = [], F.lit(0).cast("long")
+    for at in range(0, len(tests), WORD_BITS):
         bits = [
-            F.when(s.test(), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
-            for i, s in enumerate(segments[at : at + WORD_BITS])
+            F.when(test, F.lit(1 << i).cast("long")).otherwise(none)
+            for i, test in enumerate(tests[at : at + WORD_BITS])
         ]
         words.append(reduce(lambda a, b: a.bitwiseOR(b), bits))
     return words

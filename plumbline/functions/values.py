@@ -12,8 +12,6 @@ PLACEHOLDERS = ("NULL", "UNKNOWN", "", "NA", "N/A")
 # Fixed value: the characters a number text may keep, as a negated class.
 NOT_NUMERIC = r"[^\d.E-]"
 
-_LONGEST_PLACEHOLDER = max(map(len, PLACEHOLDERS))
-
 
 def improper(column: Column, dtype: T.DataType, min_length: int = 1) -> Column:
     """True where a value is missing, shorter than ``min_length`` or a placeholder.
@@ -22,8 +20,9 @@ def improper(column: Column, dtype: T.DataType, min_length: int = 1) -> Column:
     Arrays and maps are improper when missing or empty; structs have no text
     form to judge and are refused.
 
-    Upper-casing never shortens a text, so only texts up to the longest
-    placeholder are upper-cased: long values cost one length test.
+    Upper-casing never shortens a text, so a text can only equal a placeholder
+    that is at least as long: texts longer than every placeholder are not
+    upper-cased, and placeholders under ``min_length`` need no test of their own.
     """
     if isinstance(dtype, (T.ArrayType, T.MapType)):
         return column.isNull() | (F.size(column) == 0)
@@ -32,10 +31,9 @@ def improper(column: Column, dtype: T.DataType, min_length: int = 1) -> Column:
     text = column if isinstance(dtype, T.StringType) else column.cast("string")
     length = F.length(text)
     test = length < F.lit(int(min_length))
-    if min_length <= _LONGEST_PLACEHOLDER:
-        test = test | (
-            (length <= F.lit(_LONGEST_PLACEHOLDER)) & F.upper(text).isin(*PLACEHOLDERS)
-        )
+    listed = [p for p in PLACEHOLDERS if len(p) >= min_length]
+    if listed:
+        test = test | ((length <= F.lit(max(map(len, listed)))) & F.upper(text).isin(*listed))
     return column.isNull() | test
 
 

@@ -8,6 +8,7 @@ small: day x segment x measure.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
@@ -27,9 +28,9 @@ from plumbline.functions.values import improper
 
 DAY = "partitionDate"
 
-# A conditional count per column and length shares one aggregate; whole-stage
-# code generation stops at spark.sql.codegen.maxFields (100) columns.
-COUNTERS_PER_PASS = 80
+# Conditional counts that share one aggregate. Beyond about 40 of them the
+# generated row loop passes 8,000 bytecodes, where the JVM stops compiling it.
+COUNTERS_PER_PASS = 24
 
 
 def _word_names(segments: Sequence[Segment]) -> list[str]:
@@ -39,8 +40,9 @@ def _word_names(segments: Sequence[Segment]) -> list[str]:
 def _in_segments(rows: DataFrame, day: Column, segments: Sequence[Segment],
                  columns: Sequence[Column]) -> DataFrame:
     """Rows of any of the segments as (day, membership words, columns)."""
-    words = [w.alias(n) for w, n in zip(membership(segments), _word_names(segments))]
-    return rows.where(in_any(segments)).select(day.alias(DAY), *words, *columns)
+    tests = [s.test() for s in segments]
+    words = [w.alias(n) for w, n in zip(membership(tests), _word_names(segments))]
+    return rows.where(in_any(tests)).select(day.alias(DAY), *words, *columns)
 
 
 def _per_segment(frame: DataFrame, segments: Sequence[Segment]) -> DataFrame:
@@ -58,13 +60,16 @@ def improper_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
     A counter is a (column, minimum length). Rows are first counted per day and
     membership pattern, with one conditional count per counter; map-side
     partial aggregation leaves a few rows per task to shuffle, however skewed
-    the segments are. More counters than ``per_pass`` are split by column, so
-    every measured column is still read once.
+    the segments are. More counters than ``per_pass`` are split evenly over
+    several scans; each reads its own columns, so only the narrow segment
+    columns are read again.
     """
     names = _word_names(segments)
     measured = []
-    for at in range(0, len(counters), per_pass):
-        chunk = list(enumerate(counters))[at : at + per_pass]
+    passes = math.ceil(len(counters) / per_pass)
+    ordered = sorted(enumerate(counters), key=lambda c: c[1][0])
+    for at in range(passes):
+        chunk = ordered[at * len(ordered) // passes : (at + 1) * len(ordered) // passes]
         used = list(dict.fromkeys(column for _, (column, _) in chunk))
         alias = {column: f"_c{i}" for i, column in enumerate(used)}
         types = {column: rows.schema[_field(rows, column)].dataType for column in used}
