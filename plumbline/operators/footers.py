@@ -31,7 +31,15 @@ PARTITION_TYPES = {
     "timestamp": T.TimestampType(),
     "string": T.StringType(),
 }
-_LOCATION_SCHEMAS = T.StructType.fromDDL(f"location string, fields {FIELDS}")
+_FIELD = T.StructType([
+    T.StructField("position", T.IntegerType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("type", T.StringType()),
+])
+_LOCATION_SCHEMAS = T.StructType([
+    T.StructField("location", T.StringType()),
+    T.StructField("fields", T.ArrayType(_FIELD)),
+])
 
 
 def nullable(dtype: T.DataType) -> T.DataType:

@@ -65,28 +65,27 @@ def improper_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
     columns are read again.
     """
     names = _word_names(segments)
-    measured = []
+    used = list(dict.fromkeys(column for column, _ in counters))
+    alias = {column: f"_c{i}" for i, column in enumerate(used)}
+    types = {column: rows.schema[_field(rows, column)].dataType for column in used}
+    tagged = _in_segments(rows, day, segments, [F.col(c).alias(alias[c]) for c in used])
     passes = math.ceil(len(counters) / per_pass)
     ordered = sorted(enumerate(counters), key=lambda c: c[1][0])
+    measured = []
     for at in range(passes):
         chunk = ordered[at * len(ordered) // passes : (at + 1) * len(ordered) // passes]
-        used = list(dict.fromkeys(column for _, (column, _) in chunk))
-        alias = {column: f"_c{i}" for i, column in enumerate(used)}
-        types = {column: rows.schema[_field(rows, column)].dataType for column in used}
-        narrow = _in_segments(rows, day, segments, [F.col(c).alias(alias[c]) for c in used])
-        counted = narrow.groupBy(DAY, *names).agg(
+        counted = tagged.groupBy(DAY, *names).agg(
             F.count("*").alias("total"),
             *[
                 F.count_if(improper(F.col(alias[column]), types[column], length)).alias(str(i))
                 for i, (column, length) in chunk
             ],
         )
-        measured.append(
-            _per_segment(counted, segments).unpivot(
-                [DAY, "segment", "total"], [str(i) for i, _ in chunk], "counter", "improper"
-            )
-        )
-    return reduce(DataFrame.unionByName, measured).groupBy(
+        measured.append(counted.unpivot(
+            [DAY, *names, "total"], [str(i) for i, _ in chunk], "counter", "improper"
+        ))
+    patterns = reduce(DataFrame.unionByName, measured)
+    return _per_segment(patterns, segments).groupBy(
         DAY, "segment", F.col("counter").cast("int").alias("counter")
     ).agg(F.sum("improper").alias("improper"), F.sum("total").alias("total"))
 

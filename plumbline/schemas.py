@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+}
+
+
+def _columns(listed: str) -> T.StructType:
+    """``name type, name type`` as a schema, without needing a running session."""
+    pairs = [column.split() for column in listed.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-def _texts(*names: str) -> StructType:
-    return StructType.fromDDL(", ".join(f"{n} string" for n in names))
+def _texts(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
 QUALITY_RULES = _texts(
@@ -21,31 +35,31 @@ DUPLICATE_RULES = _texts(
     "businessLine", "viewMode", "viewType",
 )
 
-COLUMN_QUALITY = StructType.fromDDL("""
+COLUMN_QUALITY = _columns("""
     queryid bigint, environment string, databaseName string, tableName string,
     viewMode string, businessLine string, viewType string, dataQualityColumn string,
     improperColumnCount bigint, improperColumnPercent float, totalColumnCount bigint,
     category string, logdate int, priority string, partitionDate int
 """)
-COLUMN_CONSISTENCY = StructType.fromDDL("""
+COLUMN_CONSISTENCY = _columns("""
     queryid bigint, environment string, databaseName string, tableName string,
     viewMode string, businessLine string, viewType string, columnConsistencyField string,
     dayCount bigint, averageRecordCount float, columnConsistencyPercentDiff float,
     category string, logdate int, partitionDate int
 """)
-TOTAL_CONSISTENCY = StructType.fromDDL("""
+TOTAL_CONSISTENCY = _columns("""
     queryid bigint, environment string, databaseName string, tableName string,
     viewMode string, businessLine string, viewType string,
     dayCount bigint, averageRecordCount double, totalConsistencyPercentDiff double,
     category string, logDate int, partitionDate int
 """)
-DUPLICATE_CHECK = StructType.fromDDL("""
+DUPLICATE_CHECK = _columns("""
     queryid bigint, environment string, databaseName string, tableName string,
     viewMode string, businessLine string, viewType string, selectColumns string,
     duplicateCheckColumn string, duplicateCount bigint, logDate int, partitionDate int
 """)
-SCHEMA_CHECK = StructType.fromDDL("schema_status string, location string, log_time bigint")
-QUERY_LOG = StructType.fromDDL("""
+SCHEMA_CHECK = _columns("schema_status string, location string, log_time bigint")
+QUERY_LOG = _columns("""
     queryid bigint, query string, scenario string, executionDate int, logDate int
 """)
 
