@@ -131,7 +131,7 @@ def improper_values(spark, sf_dir):
     types = {f.name: f.dataType for f in documents.schema.fields}
 
     def bad(column, length):
-        return F.count_if(values.improper(F.col(column), types[column], length))
+        return F.count_if(values.improper(column, types[column], length))
 
     return documents.groupBy("lang", "source").agg(
         bad("text", 200).alias("short_text"),

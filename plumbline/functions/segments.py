@@ -2,7 +2,8 @@
 
 A row may belong to several segments at once. Membership is packed into 62-bit
 words, one bit per segment, so that a group of rows carries one or two longs in
-place of a row per segment.
+place of a row per segment. Rule texts only ever enter plans as literals; the
+expressions below name nothing but the plan's own columns.
 """
 
 from __future__ import annotations
@@ -107,21 +108,17 @@ def whole_table(line: str, mode: str | None, kind: str | None) -> Segment:
     return Segment()
 
 
-def in_any(tests: Sequence[Column]) -> Column:
-    """True for rows of at least one segment; plain comparisons, so it reaches the scan."""
-    return reduce(or_, tests)
+def in_any(flags: Sequence[str]) -> str:
+    """True for rows of at least one segment, from one boolean column per segment."""
+    return " OR ".join(flags)
 
 
-def membership(tests: Sequence[Column]) -> list[Column]:
-    """A row's segments as bit words; bit ``i % 62`` of word ``i // 62`` is segment ``i``."""
-    words, none = [], F.lit(0).cast("long")
-    for at in range(0, len(tests), WORD_BITS):
-        bits = [
-            F.when(test, F.lit(1 << i).cast("long")).otherwise(none)
-            for i, test in enumerate(tests[at : at + WORD_BITS])
-        ]
-        words.append(reduce(lambda a, b: a.bitwiseOR(b), bits))
-    return words
+def membership(flags: Sequence[str]) -> list[str]:
+    """Boolean columns packed into words; bit ``i % 62`` of word ``i // 62`` is segment ``i``."""
+    return [
+        " | ".join(f"if({f}, {1 << i}L, 0L)" for i, f in enumerate(flags[at : at + WORD_BITS]))
+        for at in range(0, len(flags), WORD_BITS)
+    ]
 
 
 def word_mask(ids, word: int) -> int:
@@ -129,13 +126,9 @@ def word_mask(ids, word: int) -> int:
     return sum(1 << (i % WORD_BITS) for i in set(ids) if i // WORD_BITS == word)
 
 
-def segment_ids(words: Sequence[Column], count: int) -> Column:
-    """Bit words back to an array of segment ids."""
+def segment_ids(words: Sequence[str], count: int) -> str:
+    """Word columns back to an array of segment ids."""
     picked = [
-        F.when(
-            words[i // WORD_BITS].bitwiseAND(F.lit(1 << (i % WORD_BITS)).cast("long")) != 0,
-            F.lit(i),
-        ).otherwise(F.lit(-1))
-        for i in range(count)
+        f"if(({words[i // WORD_BITS]} & {1 << (i % WORD_BITS)}L) != 0L, {i}, -1)" for i in range(count)
     ]
-    return F.array_remove(F.array(*picked), -1)
+    return f"array_remove(array({', '.join(picked)}), -1)"

@@ -13,28 +13,42 @@ PLACEHOLDERS = ("NULL", "UNKNOWN", "", "NA", "N/A")
 NOT_NUMERIC = r"[^\d.E-]"
 
 
-def improper(column: Column, dtype: T.DataType, min_length: int = 1) -> Column:
+def improper(column: str, dtype: T.DataType, min_length: int = 1) -> Column:
     """True where a value is missing, shorter than ``min_length`` or a placeholder.
 
     Values are not trimmed, so ``' '`` is proper at length 1. Never NULL.
     Arrays and maps are improper when missing or empty; structs have no text
     form to judge and are refused.
+    """
+    return F.expr(improper_sql(column, dtype, min_length))
+
+
+def improper_sql(column: str, dtype: T.DataType, min_length: int = 1) -> str:
+    """The improper-value test as an expression.
 
     Upper-casing never shortens a text, so a text can only equal a placeholder
     that is at least as long: texts longer than every placeholder are not
     upper-cased, and placeholders under ``min_length`` need no test of their own.
     """
+    name = identifier(column)
     if isinstance(dtype, (T.ArrayType, T.MapType)):
-        return column.isNull() | (F.size(column) == 0)
+        return f"({name} IS NULL OR size({name}) = 0)"
     if isinstance(dtype, (T.StructType, T.VariantType)):
         raise ValueError(f"cannot judge values of type {dtype.simpleString()}")
-    text = column if isinstance(dtype, T.StringType) else column.cast("string")
-    length = F.length(text)
-    test = length < F.lit(int(min_length))
-    listed = [p for p in PLACEHOLDERS if len(p) >= min_length]
+    text = name if isinstance(dtype, T.StringType) else f"CAST({name} AS string)"
+    length = int(min_length)
+    test = f"{name} IS NULL OR length({text}) < {length}"
+    listed = [p for p in PLACEHOLDERS if len(p) >= length]
     if listed:
-        test = test | ((length <= F.lit(max(map(len, listed)))) & F.upper(text).isin(*listed))
-    return column.isNull() | test
+        longest = max(map(len, listed))
+        options = ", ".join(quoted(p) for p in listed)
+        test += f" OR (length({text}) <= {longest} AND upper({text}) IN ({options}))"
+    return f"({test})"
+
+
+def identifier(column: str) -> str:
+    """A column name as SQL text, whatever characters it holds."""
+    return "`" + column.replace("`", "``") + "`"
 
 
 def improper_text(column: str, min_length: int = 1) -> str:

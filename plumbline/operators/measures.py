@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +23,7 @@ from plumbline.functions.segments import (
     segment_ids,
     word_mask,
 )
-from plumbline.functions.values import improper
+from plumbline.functions.values import identifier, improper_sql
 
 DAY = "partitionDate"
 
@@ -38,18 +37,27 @@ def _word_names(segments: Sequence[Segment]) -> list[str]:
 
 
 def _in_segments(rows: DataFrame, day: Column, segments: Sequence[Segment],
-                 columns: Sequence[Column]) -> DataFrame:
-    """Rows of any of the segments as (day, membership words, columns)."""
-    tests = [s.test() for s in segments]
-    words = [w.alias(n) for w, n in zip(membership(tests), _word_names(segments))]
-    return rows.where(in_any(tests)).select(day.alias(DAY), *words, *columns)
+                 columns: Sequence[str]) -> DataFrame:
+    """Rows of any of the segments as (day, membership words, columns).
+
+    The flags are plain comparisons, so the filter on them reaches the scan.
+    """
+    flags = [f"_s{i}" for i in range(len(segments))]
+    names = [c.rsplit(" AS ", 1)[-1] for c in columns]
+    flagged = rows.select(
+        day.alias(DAY), *[s.test().alias(f) for s, f in zip(segments, flags)],
+        *[F.expr(c) for c in columns],
+    ).where(in_any(flags))
+    words = [f"{w} AS {n}" for w, n in zip(membership(flags), _word_names(segments))]
+    return flagged.selectExpr(DAY, *words, *names)
 
 
 def _per_segment(frame: DataFrame, segments: Sequence[Segment]) -> DataFrame:
     """Membership words of each row to one row per segment."""
     names = _word_names(segments)
-    ids = segment_ids([F.col(n) for n in names], len(segments))
-    return frame.withColumn("segment", F.explode(ids)).drop(*names)
+    kept = [c for c in frame.columns if c not in names]
+    ids = segment_ids(names, len(segments))
+    return frame.selectExpr(*[identifier(c) for c in kept], f"explode({ids}) AS segment")
 
 
 def improper_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
@@ -68,26 +76,25 @@ def improper_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
     used = list(dict.fromkeys(column for column, _ in counters))
     alias = {column: f"_c{i}" for i, column in enumerate(used)}
     types = {column: rows.schema[_field(rows, column)].dataType for column in used}
-    tagged = _in_segments(rows, day, segments, [F.col(c).alias(alias[c]) for c in used])
+    tagged = _in_segments(rows, day, segments, [f"{identifier(c)} AS {alias[c]}" for c in used])
     passes = math.ceil(len(counters) / per_pass)
     ordered = sorted(enumerate(counters), key=lambda c: c[1][0])
     measured = []
     for at in range(passes):
         chunk = ordered[at * len(ordered) // passes : (at + 1) * len(ordered) // passes]
+        tests = [improper_sql(alias[column], types[column], length) for _, (column, length) in chunk]
+        cells = ", ".join(f"{i}, _n{i}" for i, _ in chunk)
         counted = tagged.groupBy(DAY, *names).agg(
-            F.count("*").alias("total"),
-            *[
-                F.count_if(improper(F.col(alias[column]), types[column], length)).alias(str(i))
-                for i, (column, length) in chunk
-            ],
+            F.expr("count(*) AS total"),
+            *[F.expr(f"count_if({test}) AS _n{i}") for (i, _), test in zip(chunk, tests)],
         )
-        measured.append(counted.unpivot(
-            [DAY, *names, "total"], [str(i) for i, _ in chunk], "counter", "improper"
+        measured.append(counted.selectExpr(
+            DAY, *names, "total", f"stack({len(chunk)}, {cells}) AS (counter, improper)"
         ))
     patterns = reduce(DataFrame.unionByName, measured)
-    return _per_segment(patterns, segments).groupBy(
-        DAY, "segment", F.col("counter").cast("int").alias("counter")
-    ).agg(F.sum("improper").alias("improper"), F.sum("total").alias("total"))
+    return _per_segment(patterns, segments).groupBy(DAY, "segment", "counter").agg(
+        F.sum("improper").alias("improper"), F.sum("total").alias("total")
+    )
 
 
 def improper_counts_unpivoted(rows: DataFrame, day: Column, segments: Sequence[Segment],
@@ -98,15 +105,11 @@ def improper_counts_unpivoted(rows: DataFrame, day: Column, segments: Sequence[S
     counter before it is counted. Kept for rule sets too wide for the other form.
     """
     types = {c: rows.schema[_field(rows, c)].dataType for c, _ in counters}
-    flags = [
-        x
-        for i, (column, length) in enumerate(counters)
-        for x in (F.lit(i), improper(F.col(column), types[column], length))
-    ]
+    tests = [improper_sql(column, types[column], length) for column, length in counters]
+    cells = ", ".join(f"{i}, _b{i}" for i in range(len(counters)))
     names = _word_names(segments)
-    flagged = _in_segments(
-        rows, day, segments, [F.stack(F.lit(len(counters)), *flags).alias("counter", "bad")]
-    )
+    tagged = _in_segments(rows, day, segments, [f"{t} AS _b{i}" for i, t in enumerate(tests)])
+    flagged = tagged.selectExpr(DAY, *names, f"stack({len(counters)}, {cells}) AS (counter, bad)")
     counted = flagged.groupBy(DAY, *names, "counter").agg(
         F.count_if("bad").alias("improper"), F.count("*").alias("total")
     )
@@ -141,19 +144,18 @@ def distinct_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
     slots = list(dict.fromkeys(types))
     slot_names = [f"_v{i}" for i in range(len(slots))]
     names = _word_names(segments)
-    narrow = _in_segments(
-        rows, day, segments, [F.col(c).alias(f"_c{i}") for i, (c, _) in enumerate(wanted)]
+    tagged = _in_segments(
+        rows, day, segments, [f"{identifier(c)} AS _c{i}" for i, (c, _) in enumerate(wanted)]
     )
     cells = []
     for i, ((_, ids), dtype) in enumerate(zip(wanted, types)):
-        cells.append(F.lit(i))
-        cells += [
-            F.col(n).bitwiseAND(F.lit(word_mask(ids, w)).cast("long")) for w, n in enumerate(names)
-        ]
-        cells += [F.col(f"_c{i}") if s == dtype else F.lit(None).cast(s) for s in slots]
-    values = narrow.select(
-        DAY, F.stack(F.lit(len(wanted)), *cells).alias("column", *names, *slot_names)
-    ).where(reduce(or_, [F.col(n) != 0 for n in names]))
+        cells.append(str(i))
+        cells += [f"{n} & {word_mask(ids, w)}L" for w, n in enumerate(names)]
+        cells += [f"_c{i}" if s == dtype else "NULL" for s in slots]
+    out = ", ".join(["column", *names, *slot_names])
+    values = tagged.selectExpr(
+        DAY, f"stack({len(wanted)}, {', '.join(cells)}) AS ({out})"
+    ).where(" OR ".join(f"{n} != 0L" for n in names))
     seen = values.groupBy(DAY, "column", *slot_names).agg(
         *[F.bit_or(n).alias(n) for n in names]
     ).select(DAY, "column", *names)
@@ -173,21 +175,20 @@ def duplicate_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
     the scan, and hot keys are pre-counted before the one wide shuffle.
     """
     key_names = [f"_k{i}" for i in range(len(keys))]
-    present = reduce(or_, [F.col(h).isNotNull() for h in having])
+    present = [f"{identifier(h)} IS NOT NULL" for h in having]
     tagged = _in_segments(
-        rows.where(present), day, segments,
-        [F.col(k).alias(n) for k, n in zip(keys, key_names)]
-        + [F.col(h).isNotNull().alias(f"_h{i}") for i, h in enumerate(having)],
+        rows.where(" OR ".join(present)), day, segments,
+        [f"{identifier(k)} AS {n}" for k, n in zip(keys, key_names)]
+        + [f"{p} AS _h{i}" for i, p in enumerate(present)],
     )
     counted = _per_segment(tagged, segments).groupBy(DAY, "segment", *key_names).agg(
-        *[F.count_if(f"_h{i}").alias(f"_h{i}") for i in range(len(having))]
+        *[F.expr(f"count_if(_h{i}) AS _h{i}") for i in range(len(having))]
     )
     groups = counted.groupBy(DAY, "segment").agg(
-        *[F.count_if(F.col(f"_h{i}") > 1).alias(str(i)) for i in range(len(having))]
+        *[F.expr(f"count_if(_h{i} > 1) AS _n{i}") for i in range(len(having))]
     )
-    return groups.unpivot(
-        [DAY, "segment"], [str(i) for i in range(len(having))], "having", "n"
-    ).withColumn("having", F.col("having").cast("int"))
+    cells = ", ".join(f"{i}, _n{i}" for i in range(len(having)))
+    return groups.selectExpr(DAY, "segment", f"stack({len(having)}, {cells}) AS (having, n)")
 
 
 def _field(rows: DataFrame, column: str) -> str:

@@ -49,7 +49,7 @@ def test_improper_counts(spark, data):
     for s, segment in enumerate(SEGMENTS):
         for c, (column, length) in enumerate(COUNTERS):
             part = rows.where(segment.test()).groupBy("day").agg(
-                F.count_if(improper(F.col(column), rows.schema[column].dataType, length)).alias("bad"),
+                F.count_if(improper(column, rows.schema[column].dataType, length)).alias("bad"),
                 F.count("*").alias("total"),
             )
             expected |= {(r.day, s, c): (r.bad, r.total) for r in part.collect()}

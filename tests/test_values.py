@@ -11,7 +11,7 @@ from plumbline.functions.values import PLACEHOLDERS, clean_decimal_text, clean_i
 def judged(spark, ddl, values, length=1):
     schema = T.StructType.fromDDL(f"i int, x {ddl}")
     rows = spark.createDataFrame(list(enumerate(values)), schema)
-    test = improper(F.col("x"), schema["x"].dataType, length)
+    test = improper("x", schema["x"].dataType, length)
     return [r[0] for r in rows.orderBy("i").select(test).collect()]
 
 
@@ -53,7 +53,7 @@ def test_collections_are_improper_when_missing_or_empty(spark):
 
 def test_structs_are_refused():
     with pytest.raises(ValueError, match="struct"):
-        improper(None, T.StructType.fromDDL("a int"))
+        improper("x", T.StructType.fromDDL("a int"))
 
 
 def test_cleaners(spark):
