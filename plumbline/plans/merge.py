@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.counts import compare_counts
+from plumbline.session import metadata_session, session_with
 from plumbline.sources.tree import first_level_pattern
 
 # The load column and the constant load of merged rows.
@@ -15,25 +16,16 @@ LOAD_COLUMN = "load_dt"
 MERGED_LOAD = "99999999"
 
 
-def _text_partitions(spark: SparkSession) -> SparkSession:
-    """A session like the given one that keeps partition values as the text they are.
-
-    Number-like values would otherwise lose leading zeros on their way through.
-    """
-    session = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
-            session.conf.set(key, value)
-    session.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return session
-
-
 def read_loads(spark: SparkSession, path: str, name_filter: str = "") -> DataFrame:
     """All rows of a partition tree, with partition values as text.
 
-    Columns that only some partitions have are kept and NULL elsewhere.
+    Number-like partition values would otherwise lose leading zeros on their way
+    through. Columns that only some partitions have are kept and NULL elsewhere.
     """
-    reader = _text_partitions(spark).read.option("basePath", path).option("mergeSchema", "true")
+    session = session_with(
+        spark, spark__sql__sources__partitionColumnTypeInference__enabled="false"
+    )
+    reader = session.read.option("basePath", path).option("mergeSchema", "true")
     return reader.parquet(first_level_pattern(path, name_filter))
 
 
@@ -65,7 +57,8 @@ def merge_loads(spark: SparkSession, input_path: str, output_path: str,
 
 def written_files(spark: SparkSession, path: str, name_filter: str = "") -> DataFrame:
     """What a write left behind: rows and bytes per file, from file metadata alone."""
-    rows = spark.read.option("basePath", path).parquet(first_level_pattern(path, name_filter))
+    reader = metadata_session(spark).read.option("basePath", path)
+    rows = reader.parquet(first_level_pattern(path, name_filter))
     return rows.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
     ).groupBy("file", "bytes").agg(F.count("*").alias("rows"))

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.session import metadata_session
+
 # Path texts that mark entries no check should look at.
 SKIPPED_MARKS = ("HIVE_DEFAULT_PARTITION", "_SUCCESS")
 
@@ -29,14 +31,14 @@ def first_level_pattern(root: str, name_filter: str) -> str:
 def list_files(spark: SparkSession, root: str, name_filter: str = "") -> DataFrame:
     """Files below ``root`` as (path, relative).
 
-    The listing is a file scan that reads no content; Spark spreads it over the
-    cluster when there are many directories. ``name_filter`` must occur in the
+    The listing is a file scan that reads no content; Spark lists many
+    directories on the cluster, and the scan has about as many tasks as cores. ``name_filter`` must occur in the
     path of the first level, base included; where it can only match the level's
     own name it also narrows the directories that are listed.
     """
     root = root.rstrip("/")
     pattern = first_level_pattern(root, name_filter)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = metadata_session(spark).read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
         files = reader.load(pattern).select("path")
     except AnalysisException as exc:

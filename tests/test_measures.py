@@ -150,3 +150,19 @@ def test_flags_reach_the_scan(spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "t"))
     plan = m.improper_counts(rows, day(), SEGMENTS[:2], [("a", 1)])._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(line,x)" in plan and "ReadSchema: struct<day:bigint,line:string,mode:string,a:string>" in plan
+
+
+def test_segments_prune_partitions(spark, tmp_path):
+    spark.range(120).selectExpr(
+        "id AS a", "CAST(20240101 + id % 6 AS int) AS day", "element_at(array('x', 'y', 'z'), CAST(id % 3 AS int) + 1) AS line",
+        "'p' AS mode",
+    ).write.partitionBy("day", "line").parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t")).where("day BETWEEN 20240101 AND 20240102")
+    for frame in (
+        m.improper_counts(rows, day(), SEGMENTS[2:4], [("a", 1)]),
+        m.distinct_counts(rows, day(), SEGMENTS[2:3], [("a", [0])]),
+        m.duplicate_counts(rows, day(), SEGMENTS[2:3], ["a"], ["a"]),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        pruned = plan.split("PartitionFilters: [", 1)[1].split("],", 1)[0]
+        assert "day#" in pruned and "line#" in pruned
