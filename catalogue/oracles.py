@@ -130,8 +130,8 @@ def _drift(kind: str, day_count: str, baseline: str) -> str:
     """
 
 
-def _column_consistency(baseline: str) -> str:
-    """Channel columns over 2024-01-16..2024-02-01; ``baseline`` gives (viewMode, col, avg)."""
+def _column_consistency(baseline: str, first="2024-01-16", last="2024-02-01", on="") -> str:
+    """Channel columns over a run; ``baseline`` gives (status, col, average), ``on`` its day."""
     return f"""
     WITH v AS (SELECT *, {_day('data_dt')} AS day FROM ({CHANNEL})),
     cells AS (SELECT day, status, 'channel_name' AS col, channel_name AS val FROM v
@@ -141,12 +141,12 @@ def _column_consistency(baseline: str) -> str:
                FROM cells GROUP BY ALL),
     r AS (SELECT s.status, c.col FROM (VALUES ('click'), ('view'), ('purchase')) AS s(status),
           (VALUES ('channel_name'), ('channel_key')) AS c(col)),
-    days AS ({_days('2024-01-16', '2024-02-01')}),
+    days AS ({_days(first, last)}),
     baseline AS ({baseline}),
     f AS (SELECT r.status, r.col, d.day, coalesce(c.n, 0) AS n, b.average
           FROM r CROSS JOIN days d
           LEFT JOIN counts c ON c.day = d.day AND c.status = r.status AND c.col = r.col
-          LEFT JOIN baseline b ON b.status = r.status AND b.col = r.col)
+          LEFT JOIN baseline b ON b.status = r.status AND b.col = r.col {on})
     SELECT 'KM' AS environment, 'gold' AS databaseName, 'EV_CHANNEL' AS tableName,
            status AS viewMode, 'EVENTS' AS businessLine, CAST(NULL AS VARCHAR) AS viewType,
            col AS columnConsistencyField, CAST(n AS BIGINT) AS dayCount,
@@ -164,19 +164,19 @@ LOGGED = f"""
 """
 
 
-def _total_consistency(first: str, last: str, window: str) -> str:
+def _total_consistency(first: str, last: str, window: str, by="", on="") -> str:
     return f"""
     WITH v AS (SELECT *, {_day('data_dt')} AS day FROM ({ACCOUNT})),
     r AS (SELECT * FROM (VALUES ('DIRECTV', 'Active', 'LIVE'), ('OTT', 'Pending', NULL),
           ('U-verse', 'Suspended', 'VOD')) AS t(businessLine, viewMode, viewType)),
     days AS ({_days(first, last)}),
     counts AS (SELECT business_line, status, day, count(*) AS n FROM v GROUP BY ALL),
-    baseline AS (SELECT business_line, status, avg(n) AS average FROM ({window}) GROUP BY ALL),
+    baseline AS (SELECT business_line, status, avg(n) AS average {by} FROM ({window}) GROUP BY ALL),
     f AS (SELECT r.*, d.day, coalesce(c.n, 0) AS n, b.average
           FROM r CROSS JOIN days d
           LEFT JOIN counts c ON c.day = d.day AND c.business_line = r.businessLine
                AND c.status = r.viewMode
-          LEFT JOIN baseline b ON b.business_line = r.businessLine AND b.status = r.viewMode)
+          LEFT JOIN baseline b ON b.business_line = r.businessLine AND b.status = r.viewMode {on})
     SELECT 'KM' AS environment, 'gold' AS databaseName, 'EV_ACCOUNT' AS tableName,
            viewMode, businessLine, viewType, CAST(n AS BIGINT) AS dayCount,
            {_drift('totalConsistencyPercentDiff', 'n', 'average')}, day AS partitionDate
@@ -393,6 +393,19 @@ def oracles() -> dict[str, str]:
         "column_consistency_latest_row": _column_consistency(
             "SELECT status, 'channel_key' AS col, CAST(late AS DOUBLE) AS average "
             f"FROM ({LOGGED}) QUALIFY row_number() OVER (PARTITION BY status ORDER BY day DESC) = 1"),
+        "column_consistency_daily": _column_consistency(
+            "SELECT c.status, c.col, d.day, avg(c.n) AS average FROM counts c JOIN days d "
+            "ON strptime(CAST(c.day AS VARCHAR), '%Y%m%d') "
+            "BETWEEN d.date - INTERVAL 30 DAY AND d.date - INTERVAL 1 DAY GROUP BY ALL",
+            "2023-12-30", "2024-02-02", "AND b.day = d.day"),
+        "total_consistency_daily": _total_consistency(
+            "1994-12-30", "2001-12-31",
+            """SELECT c.business_line, c.status, c.n, d.day AS on_day
+               FROM (SELECT *, strptime(CAST(day AS VARCHAR), '%Y%m%d') AS date FROM counts) c
+               JOIN days d ON c.date BETWEEN d.date - INTERVAL 30 DAY AND d.date - INTERVAL 1 DAY
+                    OR c.date BETWEEN date_trunc('month', d.date - INTERVAL 1 YEAR)
+                       AND last_day(CAST(d.date - INTERVAL 1 YEAR AS DATE))""",
+            ", on_day", "AND b.on_day = d.day"),
         "total_consistency_source": _total_consistency(
             "1996-02-15", "2001-12-31",
             "SELECT * FROM counts WHERE day BETWEEN 19950201 AND 19950228 "

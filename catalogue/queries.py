@@ -394,6 +394,16 @@ def column_consistency_latest_row(spark, sf_dir):
     return _consistency_with_log(spark, sf_dir, baseline=LATEST_ROW)
 
 
+@query
+def column_consistency_daily(spark, sf_dir):
+    """Every day against the 30 days before that day, over the whole table."""
+    check = column_consistency(
+        spark, st.quality_rules(spark, CHANNEL_RULES), *ALL_EVENTS, run=RUN, anchor="day",
+        source=frames({"EV_CHANNEL": st.channel(spark, sf_dir)}), max_days=None,
+    )
+    return _column_drift(check)
+
+
 TOTAL_RULES = [
     ("KM", "gold", "ACCOUNT", "DIRECTV", "Active", "LIVE"),
     ("KM", "gold", "account", "OTT", "Pending", None),
@@ -429,6 +439,16 @@ def total_consistency_logged(spark, sf_dir):
     return _total_drift(check)
 
 
+@query
+def total_consistency_daily(spark, sf_dir):
+    """Every day against its own year-ago month and last 30 days, over the whole table."""
+    check = total_consistency(
+        spark, st.total_rules(spark, TOTAL_RULES), *ALL_ORDERS, run=RUN, anchor="day", max_days=None,
+        source=frames({"EV_ACCOUNT": st.account(spark, sf_dir)}),
+    )
+    return _total_drift(check)
+
+
 @query
 def total_no_baseline(spark, sf_dir):
     """Days without any earlier data have no difference and their own category."""

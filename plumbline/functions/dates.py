@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 DAY_FORMAT = "yyyyMMdd"
 MAX_RUN_DAYS = 31
 
+# Fixed value: days before a run that its baseline covers.
+TRAILING_DAYS = 30
+
 
 def parse_day(day: int | str | dt.date) -> dt.date:
     """A run argument as a date; an impossible day (20180230) is an error, not a roll-over."""
@@ -56,25 +59,25 @@ def day_sequence(first: Column, last: Column) -> Column:
     )
 
 
-def trailing_window(start: Column) -> tuple[Column, Column]:
-    """The 30 days before a run: ``[start - 30, start - 1]``."""
-    return F.date_sub(start, 30), F.date_sub(start, 1)
+def trailing_window(start: Column, end: Column | None = None) -> tuple[Column, Column]:
+    """The 30 days before a day; with ``end``, the days before any day of a run."""
+    return F.date_sub(start, TRAILING_DAYS), F.date_sub(start if end is None else end, 1)
 
 
-def year_ago_month(start: Column) -> tuple[Column, Column]:
-    """First and last day of the run's month one year earlier."""
-    year_ago = F.add_months(start, -12)
-    return F.trunc(year_ago, "MM").cast("date"), F.last_day(year_ago)
+def year_ago_month(start: Column, end: Column | None = None) -> tuple[Column, Column]:
+    """First and last day of the month one year earlier; with ``end``, of all a run's months."""
+    last = start if end is None else end
+    return F.trunc(F.add_months(start, -12), "MM").cast("date"), F.last_day(F.add_months(last, -12))
 
 
-def column_windows(start: Column) -> list[tuple[Column, Column]]:
+def column_windows(start: Column, end: Column | None = None) -> list[tuple[Column, Column]]:
     """Baseline windows of the column-consistency check."""
-    return [trailing_window(start)]
+    return [trailing_window(start, end)]
 
 
-def total_windows(start: Column) -> list[tuple[Column, Column]]:
+def total_windows(start: Column, end: Column | None = None) -> list[tuple[Column, Column]]:
     """Baseline windows of the total-consistency check."""
-    return [year_ago_month(start), trailing_window(start)]
+    return [year_ago_month(start, end), trailing_window(start, end)]
 
 
 def partition_between(name: str, dtype: T.DataType, first: Column, last: Column) -> Column:

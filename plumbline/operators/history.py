@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.dates import partition_in
+from plumbline.functions.dates import TRAILING_DAYS, date_of, partition_in
 from plumbline.operators.measures import DAY
 
 PER_DAY = "per_day"
 LATEST_ROW = "latest_row"
 BASELINE_MODES = (PER_DAY, LATEST_ROW)
 
+# A baseline looks back from the run's first day, or from each of its days.
+FROM_RUN = "run"
+FROM_DAY = "day"
+ANCHORS = (FROM_RUN, FROM_DAY)
+
 # What a logged row must share with a rule, besides the check's own field.
 MATCH_KEYS = ("environment", "tableName", "viewMode", "businessLine", "viewType")
 
@@ -30,13 +37,13 @@ def latest_row(rows: DataFrame, keys: Sequence[str], newest_first: Sequence[str]
     return rows.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*rows.columns)
 
 
-def logged_baseline(history: DataFrame, windows: Sequence[tuple[Column, Column]],
-                    keys: Sequence[str], mode: str = PER_DAY) -> DataFrame:
-    """Average logged day count per key inside the windows, as ``baseline``.
+def logged_counts(history: DataFrame, windows: Sequence[tuple[Column, Column]],
+                  keys: Sequence[str], mode: str = PER_DAY) -> DataFrame:
+    """Logged day counts inside the windows as (keys, partitionDate, n).
 
-    ``per_day`` averages the latest run of every day; ``latest_row`` keeps a
-    single latest row per key. Days absent from the log are skipped. The
-    database is part of what makes a row "the latest", not of what is matched.
+    ``per_day`` keeps the latest run of every day; ``latest_row`` keeps a single
+    latest row per key. The database is part of what makes a row "the latest",
+    not of what is matched.
     """
     if mode not in BASELINE_MODES:
         raise ValueError(f"unknown baseline mode {mode!r}; expected one of {BASELINE_MODES}")
@@ -45,8 +52,35 @@ def logged_baseline(history: DataFrame, windows: Sequence[tuple[Column, Column]]
     row_keys = [*keys, "databaseName"]
     if mode == PER_DAY:
         row_keys.append(DAY)
-    inside = inside.select(
-        *dict.fromkeys([*keys, "databaseName", DAY]), log_date, "queryid", "dayCount"
-    )
+    inside = inside.select(*keys, "databaseName", DAY, log_date, "queryid", "dayCount")
     latest = latest_row(inside, row_keys, [log_date, "queryid"])
-    return latest.groupBy(*keys).agg(F.avg("dayCount").alias("baseline"))
+    return latest.select(*keys, DAY, F.col("dayCount").alias("n"))
+
+
+def run_baseline(counts: DataFrame) -> DataFrame:
+    """One baseline per rule: the average of its counts. Absent days are skipped."""
+    return counts.groupBy("rule").agg(F.avg("n").alias("baseline"))
+
+
+def daily_baseline(counts: DataFrame, wanted: DataFrame, year_ago: bool) -> DataFrame:
+    """A baseline per rule and wanted day, as if each day had been a run of its own.
+
+    ``counts`` is (rule, partitionDate, n), ``wanted`` (rule, partitionDate). A
+    day looks back on the 30 days before it and, with ``year_ago``, on its month
+    one year earlier. Both are range frames over one rule's days.
+    """
+    asked = wanted.select("rule", DAY, F.lit(None).cast("long").alias("n"), F.lit(True).alias("_asked"))
+    both = counts.select("rule", DAY, "n", F.lit(False).alias("_asked")).unionByName(asked)
+    date = date_of(F.col(DAY))
+    both = both.withColumns({
+        "_day": F.unix_date(date), "_month": F.year(date) * 12 + F.month(date),
+    })
+    frames = [Window.partitionBy("rule").orderBy("_day").rangeBetween(-TRAILING_DAYS, -1)]
+    if year_ago:
+        frames.append(Window.partitionBy("rule").orderBy("_month").rangeBetween(-12, -12))
+    zero = F.lit(0).cast("long")
+    total = reduce(add, [F.coalesce(F.sum("n").over(w), zero) for w in frames])
+    days = reduce(add, [F.count("n").over(w) for w in frames])
+    return both.select(
+        "rule", DAY, "_asked", F.try_divide(total.cast("double"), days).alias("baseline")
+    ).where("_asked").drop("_asked")

@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 from plumbline import schemas
 from plumbline.functions.dates import MAX_RUN_DAYS, column_windows, run_range, total_windows
 from plumbline.functions.metrics import Run, drift_category, percent_difference
-from plumbline.operators.history import MATCH_KEYS, PER_DAY, logged_baseline
+from plumbline.operators.history import (
+    ANCHORS,
+    FROM_DAY,
+    FROM_RUN,
+    LATEST_ROW,
+    MATCH_KEYS,
+    PER_DAY,
+    daily_baseline,
+    logged_counts,
+    run_baseline,
+)
 from plumbline.operators.measures import DAY, distinct_counts, row_counts
 from plumbline.plans.common import CheckResult, by_table, finish, rule_rows, scaffold, span
 from plumbline.sources.rules import HIGH, LOW, bind, passes_gate
@@ -22,14 +32,16 @@ TOTAL_SCENARIO = "TotalConsistencyCheck"
 
 def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
                        history: DataFrame | None = None, baseline: str = PER_DAY,
+                       anchor: str = FROM_RUN,
                        source: Source | None = None, catalog: Catalog = KNOWN_TABLES,
                        threshold: str = HIGH, run: Run | None = None,
                        max_days: int | None = MAX_RUN_DAYS) -> CheckResult:
     """Distinct values per rule and day against their average over the 30 days before the run.
 
     ``history`` is the table of earlier results of this check; without it the
-    baseline is measured from the source itself. A rule without a priority
-    counts as low.
+    baseline is measured from the source itself. With ``anchor="day"`` every day
+    looks back from itself, as if it had been a run of its own. A rule without a
+    priority counts as low.
     """
     run = run or Run()
     first, last = run_range(start, end, max_days)
@@ -39,7 +51,7 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
     bound = bind(gated, catalog)
     field = "dataQualityColumn"
     tables = by_table(bound, source or metastore(spark), lambda r: [r.target[field]])
-    windows = column_windows(F.lit(first))
+    windows = column_windows(F.lit(first), F.lit(last) if anchor == FROM_DAY else None)
 
     counted, earlier, statements, fields = [], [], {}, {}
     for number, table in enumerate(tables):
@@ -70,9 +82,15 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
         spark, bound, statements, fields,
         "columnConsistencyField string, source int, segment int, column int",
     )
+    keys = ["source", "segment", "column"]
+    if history is not None:
+        match = [*MATCH_KEYS, "columnConsistencyField"]
+        earlier = [logged_counts(history, windows, match, baseline)]
+        counts = _of_rules(ruled, earlier, match)
+    else:
+        counts = _of_rules(ruled, earlier, keys)
     frame = _with_baseline(
-        scaffold(ruled, first, last), counted, earlier, ["source", "segment", "column"],
-        history, windows, [*MATCH_KEYS, "columnConsistencyField"], baseline,
+        scaffold(ruled, first, last), counted, keys, counts, anchor, baseline, False,
         "columnConsistencyPercentDiff",
     )
     return CheckResult(finish(frame, run, first, last), schemas.COLUMN_CONSISTENCY, COLUMN_SCENARIO)
@@ -80,19 +98,21 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
 
 def total_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
                       history: DataFrame | None = None, baseline: str = PER_DAY,
+                      anchor: str = FROM_RUN,
                       source: Source | None = None, catalog: Catalog = KNOWN_TABLES,
                       run: Run | None = None, max_days: int | None = MAX_RUN_DAYS) -> CheckResult:
     """Rows per rule and day against the average of the 30 days before the run and of
     the same month one year earlier.
 
     ``history`` is the table of earlier results of this check; without it the
-    baseline is measured from the source itself.
+    baseline is measured from the source itself. With ``anchor="day"`` every day
+    looks back from itself, as if it had been a run of its own.
     """
     run = run or Run()
     first, last = run_range(start, end, max_days)
     bound = bind(rules, catalog)
     tables = by_table(bound, source or metastore(spark), lambda r: [])
-    windows = total_windows(F.lit(first))
+    windows = total_windows(F.lit(first), F.lit(last) if anchor == FROM_DAY else None)
 
     counted, earlier, statements, fields = [], [], {}, {}
     for number, table in enumerate(tables):
@@ -106,37 +126,51 @@ def total_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
             statements[rule.number] = rule.statement(rule.table.partition_column)
             fields[rule.number] = {"source": number, "segment": table.segment_of(rule)}
     ruled = rule_rows(spark, bound, statements, fields, "source int, segment int")
+    keys = ["source", "segment"]
+    if history is not None:
+        earlier = [logged_counts(history, windows, MATCH_KEYS, baseline)]
+        counts = _of_rules(ruled, earlier, list(MATCH_KEYS))
+    else:
+        counts = _of_rules(ruled, earlier, keys)
     frame = _with_baseline(
-        scaffold(ruled, first, last), counted, earlier, ["source", "segment"],
-        history, windows, list(MATCH_KEYS), baseline, "totalConsistencyPercentDiff",
+        scaffold(ruled, first, last), counted, keys, counts, anchor, baseline, True,
+        "totalConsistencyPercentDiff",
     )
     return CheckResult(finish(frame, run, first, last), schemas.TOTAL_CONSISTENCY, TOTAL_SCENARIO)
 
 
-def _with_baseline(frame: DataFrame, counted: list[DataFrame], earlier: list[DataFrame],
-                   keys: list[str], history: DataFrame | None, windows, match_keys: list[str],
-                   mode: str, difference: str) -> DataFrame:
+def _of_rules(ruled: DataFrame, earlier: list[DataFrame], keys: list[str]) -> DataFrame | None:
+    """Earlier counts as (rule, partitionDate, n). A missing view mode or type is a key like any other."""
+    if not earlier:
+        return None
+    counts = reduce(DataFrame.unionByName, earlier)
+    rules = ruled.select("rule", *[F.col(k).alias(f"_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return counts.join(rules, same).select("rule", DAY, "n")
+
+
+def _with_baseline(frame: DataFrame, counted: list[DataFrame], keys: list[str],
+                   earlier: DataFrame | None, anchor: str, mode: str, year_ago: bool,
+                   difference: str) -> DataFrame:
     """Scaffold rows with their day count, baseline, difference and category.
 
-    Run days and baseline days are separate scans of disjoint partitions.
+    Run days and earlier days are separate scans; with the run as anchor, of
+    disjoint partitions.
     """
+    if anchor not in ANCHORS:
+        raise ValueError(f"unknown anchor {anchor!r}; expected one of {ANCHORS}")
+    if anchor == FROM_DAY and mode == LATEST_ROW:
+        raise ValueError("a single latest row cannot serve every day of a run")
     if counted:
-        counts = reduce(DataFrame.unionByName, counted)
-        frame = frame.join(counts, [*keys, DAY], "left")
+        frame = frame.join(reduce(DataFrame.unionByName, counted), [*keys, DAY], "left")
     else:
         frame = frame.withColumn("n", F.lit(None).cast("long"))
-    if history is not None:
-        logged = logged_baseline(history, windows, match_keys, mode)
-        logged = logged.select("baseline", *[F.col(k).alias(f"_{k}") for k in match_keys])
-        # A missing view mode or type is a key like any other.
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in match_keys]
-        frame = frame.join(logged, reduce(lambda a, b: a & b, same), "left")
-    elif earlier:
-        measured = reduce(DataFrame.unionByName, earlier)
-        averages = measured.groupBy(*keys).agg(F.avg("n").alias("baseline"))
-        frame = frame.join(averages, keys, "left")
-    else:
+    if earlier is None:
         frame = frame.withColumn("baseline", F.lit(None).cast("double"))
+    elif anchor == FROM_RUN:
+        frame = frame.join(run_baseline(earlier), "rule", "left")
+    else:
+        frame = frame.join(daily_baseline(earlier, frame, year_ago), ["rule", DAY], "left")
     count = F.coalesce("n", F.lit(0).cast("long"))
     average = F.coalesce("baseline", F.lit(0.0))
     percent = percent_difference(count, average)

@@ -259,3 +259,41 @@ def test_same_rules_in_two_databases(spark, run):
         20240101, 20240101, run=run, source=lambda db, table: spark.createDataFrame(data[db], ROWS),
     )
     assert {r.databaseName: r.improperColumnCount for r in check.metrics.collect()} == {"gold": 1, "silver": 0}
+
+
+def test_daily_anchor_equals_runs_of_one_day(spark, run):
+    """A run anchored on each day gives what that many one-day runs give."""
+    source = frames({"EV_ACCOUNT": daily(spark)})
+    totals = rules(spark, schemas.TOTAL_RULES, TOTAL_RULE)
+    columns = rules(spark, schemas.QUALITY_RULES, quality_rule("ban"))
+    days = (20240129, 20240212)
+    for check, rows, options in ((total_consistency, totals, {}), (column_consistency, columns, {})):
+        got = check(spark, rows, *days, source=source, run=run, anchor="day", **options).metrics.drop("queryid")
+        singles = [
+            check(spark, rows, day, day, source=source, run=run, **options).metrics.drop("queryid").collect()
+            for day in (20240129, 20240201, 20240205, 20240212)
+        ]
+        whole = {r.partitionDate: r for r in got.collect()}
+        assert len(whole) == 15
+        for (single,) in singles:
+            assert whole[single.partitionDate] == single
+
+
+def test_daily_anchor_with_a_log(spark, run):
+    history = [
+        logged(20240110, 10, 20240110, 1), logged(20240110, 20, 20240111, 2), logged(20240203, 40, 20240203, 3),
+        logged(20240203, 60, 20240203, 4, database="silver"), logged(20240205, 900, 20240205, 5, kind="LIVE"),
+    ]
+    source = accounts(spark, [(20240201, "A", "Active", "a", 1)])
+    check = column_consistency(
+        spark, rules(spark, schemas.QUALITY_RULES, quality_rule()), 20240201, 20240210, source=source, run=run,
+        history=spark.createDataFrame(history, HISTORY), anchor="day",
+    )
+    got = {r.partitionDate: r.averageRecordCount for r in check.metrics.collect()}
+    assert [got[d] for d in (20240201, 20240203, 20240204, 20240209, 20240210)] == [20.0, 20.0, 40.0, 40.0, 50.0]
+
+
+@pytest.mark.parametrize("options", [{"anchor": "week"}, {"anchor": "day", "baseline": "latest_row"}])
+def test_unknown_anchor(spark, run, options):
+    with pytest.raises(ValueError):
+        consistency(spark, run, [], **options)
