@@ -1,0 +1,85 @@
+"""The jobs against catalog tables, as they run under spark-submit."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from plumbline.jobs import main
+
+QUALITY = "environment^database^tableType^businessLine^viewMode^viewType^dataQualityColumn^priority^columnLength\n"
+TOTAL = "environment^database^table^businessLine^viewMode^viewType\n"
+DUPLICATES = "environment^database^table^havingColumn^duplicateCheckColumns^businessLine^viewMode^viewType\n"
+
+
+@pytest.fixture(scope="module")
+def database(spark):
+    for name in ("eview", "outcome"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-02-03')) AS d")
+    days.select(
+        F.explode(F.sequence(F.lit(1), F.dayofmonth("d"))).alias("device_id"),
+        F.lit("DIRECTV").alias("business_line"), F.lit("STB").alias("viewing_platform"),
+        F.lit("AMS").alias("source_system"), F.lit("live").alias("channel_tune_type"),
+        F.date_format("d", "yyyyMMdd").cast("int").alias("program_watch_start_dt_local"),
+    ).write.partitionBy("program_watch_start_dt_local").saveAsTable("eview.ev_viewing_history")
+    return "outcome"
+
+
+def test_daily_jobs(spark, database, tmp_path):
+    (tmp_path / "quality.txt").write_text(
+        QUALITY + "KM^eview^ev_viewing_history^DIRECTV^STB^LIVE^device_id^highPriorityColumn^2\n"
+    )
+    (tmp_path / "total.txt").write_text(TOTAL + "KM^eview^ev_viewing_history^DIRECTV^STB^LIVE\n")
+    (tmp_path / "duplicates.txt").write_text(
+        DUPLICATES + "KM^eview^ev_viewing_history^business_line^channel_tune_type, source_system^DIRECTV^STB^LIVE\n"
+    )
+    main(["quality", str(tmp_path / "quality.txt"), "20240110", "20240112", "--results", database])
+    quality = spark.table("outcome.ColumnQualityCheck").orderBy("partitionDate").collect()
+    assert [(r.partitionDate, r.improperColumnCount, r.totalColumnCount) for r in quality] == [
+        (20240110, 9, 10), (20240111, 9, 11), (20240112, 9, 12)
+    ]
+    # The first month is logged; February then finds its baseline there, day by day.
+    main(["total-consistency", str(tmp_path / "total.txt"), "20240101", "20240131", "--results", database])
+    for day in ("20240201", "20240202"):
+        main(["total-consistency", str(tmp_path / "total.txt"), day, day, "--results", database])
+    totals = {r.partitionDate: r for r in spark.table("outcome.TotalConsistencyCheck").collect()}
+    assert totals[20240101].category == "noBaseline"
+    assert totals[20240201].averageRecordCount == sum(range(2, 32)) / 30
+    assert totals[20240202].averageRecordCount == (sum(range(3, 32)) + 1) / 30
+    main(["column-consistency", str(tmp_path / "quality.txt"), "20240203", "20240203", "--results", database,
+          "--history", "source"])
+    column = spark.table("outcome.ColumnConsistencyCheck").head()
+    assert (column.dayCount, column.columnConsistencyField) == (3, "device_id")
+    main(["duplicates", str(tmp_path / "duplicates.txt"), "20240131", "20240202", "--results", database])
+    assert {r.partitionDate: r.duplicateCount for r in spark.table("outcome.DuplicateCheck").collect()} == {
+        20240131: 1, 20240202: 1
+    }
+    log = spark.table("outcome.dataValidation_QueryDetails")
+    assert {r.scenario: r["count"] for r in log.groupBy("scenario").count().collect()} == {
+        "ColumnQuality": 3, "TotalConsistencyCheck": 33, "ColumnConsistencyCheck": 1, "DuplicateCheck": 2
+    }
+
+
+def test_path_jobs(spark, database, tmp_path, capsys):
+    tree, out = str(tmp_path / "tree"), str(tmp_path / "out")
+    spark.range(10).selectExpr("id", "20180101 AS day", "CAST(id % 2 AS string) AS load_dt").write.partitionBy(
+        "day", "load_dt"
+    ).parquet(tree)
+    main(["merge", tree, out, "2018", "--partitions", "day"])
+    assert spark.read.parquet(out).count() == 10
+    main(["schema", "2018", "--reference", out, "--path", tree, "--depth", "1", "--results", database])
+    assert spark.table("outcome.schema_check").head().schema_status == "Wrong"
+    main(["compare", tree, out, "--columns", "day", "--day", "day", "--like", "2018%"])
+    assert "|20180101|10        |10         |0         |" in capsys.readouterr().out
+
+
+def test_a_short_merge_fails(spark, tmp_path, monkeypatch, capsys):
+    tree, out = str(tmp_path / "tree"), str(tmp_path / "out")
+    spark.range(10).selectExpr("id", "1 AS day", "'1' AS load_dt").write.partitionBy("day", "load_dt").parquet(tree)
+    main(["merge", tree, out, "--partitions", "day"])
+    spark.range(5).selectExpr("id", "1 AS day", "'2' AS load_dt").write.mode("append").partitionBy(
+        "day", "load_dt").parquet(tree)
+    from plumbline.plans import merge
+
+    monkeypatch.setattr(merge, "merge_loads", lambda *a, **k: None)
+    with pytest.raises(SystemExit, match="does not hold"):
+        main(["merge", tree, out, "--partitions", "day"])
