@@ -475,8 +475,7 @@ def oracles() -> dict[str, str]:
         "merge_in_place": f"""
             SELECT CAST(yr AS VARCHAR) AS yr, status, load_dt, count(*) AS n FROM ({TREE}) GROUP BY ALL
             UNION ALL
-            SELECT CAST(yr AS VARCHAR), status, '99999999', count(*) FROM ({TREE})
-            WHERE yr BETWEEN 1990 AND 1999 GROUP BY ALL""",
+            SELECT CAST(yr AS VARCHAR), status, '99999999', count(*) FROM ({TREE}) GROUP BY ALL""",
         "merge_reconcile": f"""
             SELECT CAST(yr AS VARCHAR) AS yr, status, count(*) AS load_rows,
                    count(*) FILTER (WHERE yr < 2000) AS merged_rows, bool_and(yr < 2000) AS complete

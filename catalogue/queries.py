@@ -627,8 +627,8 @@ def merge_load_partitions(spark, sf_dir):
 def merge_in_place(spark, sf_dir):
     """Merging a tree into itself leaves the loads and, however often run, one merged copy."""
     tree = st.order_tree(spark, sf_dir)
-    merge.merge_loads(spark, tree, tree, ["yr", "status"], name_filter="199", compact=False)
-    merge.merge_loads(spark, tree, tree, ["yr", "status"], name_filter="199", compact=False)
+    merge.merge_loads(spark, tree, tree, ["yr", "status"], compact=False)
+    merge.merge_loads(spark, tree, tree, ["yr", "status"], compact=False)
     return grouped_counts(merge.read_loads(spark, tree), ["yr", "status", "load_dt"])
 
 

@@ -27,9 +27,16 @@ from plumbline.functions.values import identifier, improper_sql
 
 DAY = "partitionDate"
 
-# Conditional counts that share one aggregate. Beyond about 40 of them the
-# generated row loop passes 8,000 bytecodes, where the JVM stops compiling it.
+# Conditional counts, or unpivoted columns, that share one scan. Beyond about 40
+# the generated row loop passes 8,000 bytecodes, where the JVM stops compiling it.
 COUNTERS_PER_PASS = 24
+COLUMNS_PER_PASS = 24
+
+
+def _passes(items: Sequence, size: int) -> list[Sequence]:
+    """Items in as few, and as even, runs of at most ``size`` as possible."""
+    count = math.ceil(len(items) / size)
+    return [items[i * len(items) // count : (i + 1) * len(items) // count] for i in range(count)]
 
 
 def _word_names(segments: Sequence[Segment]) -> list[str]:
@@ -77,11 +84,9 @@ def improper_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
     alias = {column: f"_c{i}" for i, column in enumerate(used)}
     types = {column: rows.schema[_field(rows, column)].dataType for column in used}
     tagged = _in_segments(rows, day, segments, [f"{identifier(c)} AS {alias[c]}" for c in used])
-    passes = math.ceil(len(counters) / per_pass)
-    ordered = sorted(enumerate(counters), key=lambda c: c[1][0])
     measured = []
-    for at in range(passes):
-        chunk = ordered[at * len(ordered) // passes : (at + 1) * len(ordered) // passes]
+    # Counters of one column together, so that few columns are read twice.
+    for chunk in _passes(sorted(enumerate(counters), key=lambda c: c[1][0]), per_pass):
         tests = [improper_sql(alias[column], types[column], length) for _, (column, length) in chunk]
         cells = ", ".join(f"{i}, _n{i}" for i, _ in chunk)
         counted = tagged.groupBy(DAY, *names).agg(
@@ -128,7 +133,8 @@ def row_counts(rows: DataFrame, day: Column, segments: Sequence[Segment]) -> Dat
 
 
 def distinct_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
-                    wanted: Iterable[tuple[str, Sequence[int]]]) -> DataFrame:
+                    wanted: Iterable[tuple[str, Sequence[int]]],
+                    per_pass: int = COLUMNS_PER_PASS) -> DataFrame:
     """Distinct values per (day, segment, column), where NULL is one value.
 
     ``wanted`` pairs a column with the segments that ask for it; the result's
@@ -137,32 +143,34 @@ def distinct_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
     Every value becomes one row (day, column, value, membership), and a single
     shuffle keeps, per distinct value, the union of the segments it was seen in.
     A hot value collapses before the shuffle, and segments that share values do
-    not repeat them. Values keep their own types, one slot per type.
+    not repeat them. Values keep their own types, one slot per type. More
+    columns than ``per_pass`` are split evenly over several scans.
     """
     wanted = list(wanted)
-    types = [rows.schema[_field(rows, c)].dataType for c, _ in wanted]
-    slots = list(dict.fromkeys(types))
-    slot_names = [f"_v{i}" for i in range(len(slots))]
     names = _word_names(segments)
+    types = [rows.schema[_field(rows, c)].dataType for c, _ in wanted]
     tagged = _in_segments(
         rows, day, segments, [f"{identifier(c)} AS _c{i}" for i, (c, _) in enumerate(wanted)]
     )
-    cells = []
-    for i, ((_, ids), dtype) in enumerate(zip(wanted, types)):
-        cells.append(str(i))
-        cells += [f"{n} & {word_mask(ids, w)}L" for w, n in enumerate(names)]
-        cells += [f"_c{i}" if s == dtype else "NULL" for s in slots]
-    out = ", ".join(["column", *names, *slot_names])
-    values = tagged.selectExpr(
-        DAY, f"stack({len(wanted)}, {', '.join(cells)}) AS ({out})"
-    ).where(" OR ".join(f"{n} != 0L" for n in names))
-    seen = values.groupBy(DAY, "column", *slot_names).agg(
-        *[F.bit_or(n).alias(n) for n in names]
-    ).select(DAY, "column", *names)
-    counted = seen.groupBy(DAY, "column", *names).agg(F.count("*").alias("n"))
-    return _per_segment(counted, segments).groupBy(DAY, "segment", "column").agg(
-        F.sum("n").alias("n")
-    )
+    seen = []
+    # Like types together, so that a pass needs few slots.
+    for chunk in _passes(sorted(range(len(wanted)), key=lambda i: types[i].simpleString()), per_pass):
+        slots = list(dict.fromkeys(types[i] for i in chunk))
+        slot_names = [f"_v{i}" for i in range(len(slots))]
+        cells = []
+        for i in chunk:
+            cells.append(str(i))
+            cells += [f"{n} & {word_mask(wanted[i][1], w)}L" for w, n in enumerate(names)]
+            cells += [f"_c{i}" if s == types[i] else "NULL" for s in slots]
+        out = ", ".join(["column", *names, *slot_names])
+        values = tagged.selectExpr(
+            DAY, f"stack({len(chunk)}, {', '.join(cells)}) AS ({out})"
+        ).where(" OR ".join(f"{n} != 0L" for n in names))
+        met = values.groupBy(DAY, "column", *slot_names).agg(*[F.bit_or(n).alias(n) for n in names])
+        seen.append(met.select(DAY, "column", *names))
+    return _per_segment(reduce(DataFrame.unionByName, seen), segments).groupBy(
+        DAY, "segment", "column"
+    ).agg(F.count("*").alias("n"))
 
 
 def duplicate_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],

@@ -76,8 +76,9 @@ def test_row_and_distinct_counts(spark, data):
                 distinct = part.select("day", column).distinct().groupBy("day").count()
                 expected_values |= {(r.day, s, c): r["count"] for r in distinct.collect()}
     assert as_dict(m.row_counts(rows, day(), SEGMENTS), [m.DAY, "segment"]) == expected_rows
-    got = m.distinct_counts(rows, day(), SEGMENTS, wanted)
-    assert as_dict(got, [m.DAY, "segment", "column"]) == expected_values
+    for size in (24, 2):
+        got = m.distinct_counts(rows, day(), SEGMENTS, wanted, size)
+        assert as_dict(got, [m.DAY, "segment", "column"]) == expected_values
 
 
 @settings(max_examples=4, deadline=None)
@@ -166,3 +167,9 @@ def test_segments_prune_partitions(spark, tmp_path):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         pruned = plan.split("PartitionFilters: [", 1)[1].split("],", 1)[0]
         assert "day#" in pruned and "line#" in pruned
+
+
+def test_passes_are_even():
+    assert [len(c) for c in m._passes(range(57), 24)] == [19, 19, 19]
+    assert [len(c) for c in m._passes(range(24), 24)] == [24]
+    assert m._passes([], 24) == []
