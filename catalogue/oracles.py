@@ -147,7 +147,7 @@ def _column_consistency(baseline: str, first="2024-01-16", last="2024-02-01", on
           FROM r CROSS JOIN days d
           LEFT JOIN counts c ON c.day = d.day AND c.status = r.status AND c.col = r.col
           LEFT JOIN baseline b ON b.status = r.status AND b.col = r.col {on})
-    SELECT 'KM' AS environment, 'gold' AS databaseName, 'EV_CHANNEL' AS tableName,
+    SELECT 'prod' AS environment, 'gold' AS databaseName, 'EV_CHANNEL' AS tableName,
            status AS viewMode, 'EVENTS' AS businessLine, CAST(NULL AS VARCHAR) AS viewType,
            col AS columnConsistencyField, CAST(n AS BIGINT) AS dayCount,
            {_drift('columnConsistencyPercentDiff', 'n', 'average')}, day AS partitionDate
@@ -167,8 +167,8 @@ LOGGED = f"""
 def _total_consistency(first: str, last: str, window: str, by="", on="") -> str:
     return f"""
     WITH v AS (SELECT *, {_day('data_dt')} AS day FROM ({ACCOUNT})),
-    r AS (SELECT * FROM (VALUES ('DIRECTV', 'Active', 'LIVE'), ('OTT', 'Pending', NULL),
-          ('U-verse', 'Suspended', 'VOD')) AS t(businessLine, viewMode, viewType)),
+    r AS (SELECT * FROM (VALUES ('SATELLITE', 'Active', 'LIVE'), ('OTT', 'Pending', NULL),
+          ('CABLE', 'Suspended', 'VOD')) AS t(businessLine, viewMode, viewType)),
     days AS ({_days(first, last)}),
     counts AS (SELECT business_line, status, day, count(*) AS n FROM v GROUP BY ALL),
     baseline AS (SELECT business_line, status, avg(n) AS average {by} FROM ({window}) GROUP BY ALL),
@@ -177,7 +177,7 @@ def _total_consistency(first: str, last: str, window: str, by="", on="") -> str:
           LEFT JOIN counts c ON c.day = d.day AND c.business_line = r.businessLine
                AND c.status = r.viewMode
           LEFT JOIN baseline b ON b.business_line = r.businessLine AND b.status = r.viewMode {on})
-    SELECT 'KM' AS environment, 'gold' AS databaseName, 'EV_ACCOUNT' AS tableName,
+    SELECT 'prod' AS environment, 'gold' AS databaseName, 'EV_ACCOUNT' AS tableName,
            viewMode, businessLine, viewType, CAST(n AS BIGINT) AS dayCount,
            {_drift('totalConsistencyPercentDiff', 'n', 'average')}, day AS partitionDate
     FROM f
@@ -186,7 +186,7 @@ def _total_consistency(first: str, last: str, window: str, by="", on="") -> str:
 
 def _duplicates(source, day, table, where, labels, keys, having, listed) -> str:
     return f"""
-    SELECT 'KM' AS environment, 'gold' AS databaseName, '{table}' AS tableName, {labels},
+    SELECT 'prod' AS environment, 'gold' AS databaseName, '{table}' AS tableName, {labels},
            '{listed}' AS selectColumns, '{having}' AS duplicateCheckColumn,
            count(*) AS duplicateCount, partitionDate
     FROM (SELECT {_day(day)} AS partitionDate, {keys} FROM ({source}) AS v WHERE {where}
@@ -199,8 +199,8 @@ def _viewing_duplicates() -> str:
     queries = []
     for key in ("ban", "device_id"):
         for line, mode, kind in (
-            ("DIRECTV", "STB", "LIVE"), ("DIRECTV", "TVE", "LIVE"), ("DIRECTV", "OTT", "LIVE"),
-            ("U-verse", "STB", "DVR"),
+            ("SATELLITE", "STB", "LIVE"), ("SATELLITE", "TVE", "LIVE"), ("SATELLITE", "OTT", "LIVE"),
+            ("CABLE", "STB", "DVR"),
         ):
             platform = "= 'STB'" if mode == "STB" else "!= 'STB'"
             queries.append(_duplicates(
@@ -264,24 +264,24 @@ def oracles() -> dict[str, str]:
         "quality_viewing": _viewing_quality(),
         "quality_viewing_unpivoted": _viewing_quality(),
         "quality_short_values": _quality(
-            [("KM", "gold", "CHANNEL", "EVENTS", "click", None, "channel_name", None, "9")],
+            [("prod", "gold", "CHANNEL", "EVENTS", "click", None, "channel_name", None, "9")],
             CHANNEL, "EV_CHANNEL", "data_dt", ACCOUNT_SEGMENT, ["channel_name"],
             "2024-01-01", "2024-01-30",
         ),
         "quality_null_values": _quality(
-            [("KM", "gold", "ev_account", line, status, None, "service_level",
+            [("prod", "gold", "ev_account", line, status, None, "service_level",
               "mediumPriorityColumn", "6")
-             for line in ("DIRECTV", "OTT") for status in ("Active", "Pending")],
+             for line in ("SATELLITE", "OTT") for status in ("Active", "Pending")],
             ACCOUNT, "EV_ACCOUNT", "data_dt", ACCOUNT_SEGMENT, ["service_level"],
             "1994-12-30", "2001-12-31", ", 'MEDIUMPRIORITYCOLUMN'",
         ),
         "quality_two_tables":
             "SELECT * FROM (" + _quality(
-                [("KM", "gold", "a", "OTT", None, None, "service_level", None, "1")],
+                [("prod", "gold", "a", "OTT", None, None, "service_level", None, "1")],
                 ACCOUNT, "EV_CHANNEL_PROGRAM_SCHEDULE", "data_dt", LINE_SEGMENT,
                 ["service_level"], "1994-12-30", "2001-12-31",
             ) + ") UNION ALL SELECT * FROM (" + _quality(
-                [("KM", "gold", "b", "EVENTS", "any", "any", "channel_key", None, "3")],
+                [("prod", "gold", "b", "EVENTS", "any", "any", "channel_key", None, "3")],
                 CHANNEL, "EV_ACCOUNT_PACKAGE_MARKET", "data_dt", LINE_SEGMENT,
                 ["channel_key"], "1994-12-30", "2001-12-31",
             ) + ")",
@@ -345,7 +345,7 @@ def oracles() -> dict[str, str]:
             CROSS JOIN (VALUES (20240201), (20240202)) AS l(logdate)
             WHERE q.partitionDate BETWEEN 20240101 AND 20240131 GROUP BY ALL""",
         "rule_files": """
-            SELECT DISTINCT 'KM' AS environment, 'gold' AS database, p_brand AS tableType,
+            SELECT DISTINCT 'prod' AS environment, 'gold' AS database, p_brand AS tableType,
                    p_type AS businessLine, nullif(p_type, 'PROMO') AS viewMode,
                    CAST(NULL AS VARCHAR) AS viewType, p_name AS dataQualityColumn,
                    'highPriorityColumn' AS priority, CAST(p_size AS VARCHAR) AS columnLength
@@ -353,23 +353,23 @@ def oracles() -> dict[str, str]:
         "segment_streaming": _segment_rows(
             VIEWING, WATCHED, f"{STREAMING} AND upper(channel_tune_type) = 'VOD'"),
         "segment_set_top_box": _segment_rows(
-            VIEWING, WATCHED, "business_line = 'DIRECTV' AND viewing_platform = 'STB' "
+            VIEWING, WATCHED, "business_line = 'SATELLITE' AND viewing_platform = 'STB' "
             "AND upper(channel_tune_type) = 'LIVE'"),
         "segment_other_platforms": _segment_rows(
-            VIEWING, WATCHED, "business_line = 'DIRECTV' AND viewing_platform != 'STB' "
+            VIEWING, WATCHED, "business_line = 'SATELLITE' AND viewing_platform != 'STB' "
             "AND upper(channel_tune_type) = 'LIVE'"),
         "segment_account": _segment_rows(
             ACCOUNT, "data_dt", "business_line = 'OTT' AND status = 'Active'"),
-        "segment_package": _segment_rows(ACCOUNT, "data_dt", "business_line = 'DIRECTV'"),
+        "segment_package": _segment_rows(ACCOUNT, "data_dt", "business_line = 'SATELLITE'"),
         "row_count_per_day":
             f"SELECT {_day('o_orderdate')} AS partitionDate, count(*) AS n FROM orders GROUP BY 1",
         "overlapping_segments": " UNION ALL ".join(
             f"SELECT {viewing_day} AS partitionDate, CAST({i} AS INTEGER) AS segment, "
             f"count(*) AS n FROM ({VIEWING}) AS v WHERE {test} GROUP BY 1"
             for i, test in enumerate([
-                "business_line = 'DIRECTV' AND viewing_platform = 'STB' AND upper(channel_tune_type) = 'LIVE'",
-                "business_line = 'DIRECTV' AND viewing_platform != 'STB' AND upper(channel_tune_type) = 'LIVE'",
-                "business_line = 'DIRECTV' AND viewing_platform != 'STB' AND upper(channel_tune_type) = 'LIVE'",
+                "business_line = 'SATELLITE' AND viewing_platform = 'STB' AND upper(channel_tune_type) = 'LIVE'",
+                "business_line = 'SATELLITE' AND viewing_platform != 'STB' AND upper(channel_tune_type) = 'LIVE'",
+                "business_line = 'SATELLITE' AND viewing_platform != 'STB' AND upper(channel_tune_type) = 'LIVE'",
                 "business_line = 'OTT' AND viewing_platform = 'STB' AND upper(channel_tune_type) = 'DVR'",
                 f"{STREAMING} AND upper(channel_tune_type) = 'DVR'",
                 "true",
@@ -381,7 +381,7 @@ def oracles() -> dict[str, str]:
             f"count(DISTINCT {name}) + max(CASE WHEN {name} IS NULL THEN 1 ELSE 0 END) AS n "
             f"FROM ({ACCOUNT}) AS v WHERE {test} GROUP BY 1"
             for segment, test in enumerate(
-                ["business_line = 'DIRECTV' AND status = 'Active'", "business_line = 'OTT'"])
+                ["business_line = 'SATELLITE' AND status = 'Active'", "business_line = 'OTT'"])
             for column, name in enumerate(["service_level", "ban", "status"])
             if not (column == 2 and segment == 0)
         ),

@@ -83,7 +83,7 @@ def quality_viewing_unpivoted(spark, sf_dir):
 @query
 def quality_short_values(spark, sf_dir):
     """Too-short values of one segment per day."""
-    rules = [("KM", "gold", "CHANNEL", "EVENTS", "click", None, "channel_name", None, "9")]
+    rules = [("prod", "gold", "CHANNEL", "EVENTS", "click", None, "channel_name", None, "9")]
     check = column_quality(
         spark, st.quality_rules(spark, rules), 20240101, 20240130,
         source=frames({"EV_CHANNEL": st.channel(spark, sf_dir)}), run=RUN,
@@ -95,8 +95,8 @@ def quality_short_values(spark, sf_dir):
 def quality_null_values(spark, sf_dir):
     """Missing values per account segment over the table's six years."""
     rules = [
-        ("KM", "gold", "ev_account", line, status, None, "service_level", "mediumPriorityColumn", "6")
-        for line in ("DIRECTV", "OTT") for status in ("Active", "Pending")
+        ("prod", "gold", "ev_account", line, status, None, "service_level", "mediumPriorityColumn", "6")
+        for line in ("SATELLITE", "OTT") for status in ("Active", "Pending")
     ]
     check = column_quality(
         spark, st.quality_rules(spark, rules), *ALL_ORDERS, threshold="MEDIUMPRIORITYCOLUMN",
@@ -109,8 +109,8 @@ def quality_null_values(spark, sf_dir):
 def quality_two_tables(spark, sf_dir):
     """Rules over two tables in one run; one is sliced by business line alone."""
     rules = [
-        ("KM", "gold", "EV_CHANNEL_PROGRAM_SCHEDULE", "OTT", None, None, "service_level", None, "1"),
-        ("KM", "gold", "EV_ACCOUNT_PACKAGE_MARKET", "EVENTS", "any", "any", "channel_key", None, "3"),
+        ("prod", "gold", "EV_CHANNEL_PROGRAM_SCHEDULE", "OTT", None, None, "service_level", None, "1"),
+        ("prod", "gold", "EV_ACCOUNT_PACKAGE_MARKET", "EVENTS", "any", "any", "channel_key", None, "3"),
     ]
     check = column_quality(
         spark, st.quality_rules(spark, rules), *ALL_ORDERS, run=RUN, max_days=None,
@@ -231,7 +231,7 @@ def rule_files(spark, sf_dir):
     parts = st.table(spark, sf_dir, "part")
     layout = dict.fromkeys(schemas.QUALITY_RULES.fieldNames())
     layout.update(
-        environment=F.lit("KM"), database=F.lit("gold"), tableType=F.col("p_brand"),
+        environment=F.lit("prod"), database=F.lit("gold"), tableType=F.col("p_brand"),
         businessLine=F.col("p_type"), viewMode=F.nullif(F.col("p_type"), F.lit("PROMO")),
         viewType=F.lit(None).cast("string"), dataQualityColumn=F.col("p_name"),
         priority=F.lit("highPriorityColumn"), columnLength=F.col("p_size").cast("string"),
@@ -259,13 +259,13 @@ def segment_streaming(spark, sf_dir):
 @query
 def segment_set_top_box(spark, sf_dir):
     """Rows per day of a set-top-box segment."""
-    return _viewing_counts(spark, sf_dir, [viewing_segment("DIRECTV", "STB", "LIVE")]).drop("segment")
+    return _viewing_counts(spark, sf_dir, [viewing_segment("SATELLITE", "STB", "LIVE")]).drop("segment")
 
 
 @query
 def segment_other_platforms(spark, sf_dir):
     """Rows per day of a segment on any platform but the set-top box; no platform is in none."""
-    return _viewing_counts(spark, sf_dir, [viewing_segment("DIRECTV", "TVE", "LIVE")]).drop("segment")
+    return _viewing_counts(spark, sf_dir, [viewing_segment("SATELLITE", "TVE", "LIVE")]).drop("segment")
 
 
 @query
@@ -279,7 +279,7 @@ def segment_account(spark, sf_dir):
 def segment_package(spark, sf_dir):
     """Rows per day of a segment by business line alone."""
     rows, day = st.account(spark, sf_dir), dates.day_of(F.col("data_dt"))
-    return measures.row_counts(rows, day, [line_segment("DIRECTV", None, None)]).drop("segment")
+    return measures.row_counts(rows, day, [line_segment("SATELLITE", None, None)]).drop("segment")
 
 
 @query
@@ -293,9 +293,9 @@ def row_count_per_day(spark, sf_dir):
 def overlapping_segments(spark, sf_dir):
     """Segments that share rows, counted in one pass."""
     segments = [
-        viewing_segment("DIRECTV", "STB", "LIVE"),
-        viewing_segment("DIRECTV", "TVE", "LIVE"),
-        viewing_segment("DIRECTV", "OTT", "LIVE"),
+        viewing_segment("SATELLITE", "STB", "LIVE"),
+        viewing_segment("SATELLITE", "TVE", "LIVE"),
+        viewing_segment("SATELLITE", "OTT", "LIVE"),
         viewing_segment("OTT", "STB", "DVR"),
         viewing_segment("DIRECT-NOW", "STB", "DVR"),
         whole_table("", None, None),
@@ -308,7 +308,7 @@ def overlapping_segments(spark, sf_dir):
 def distinct_per_day(spark, sf_dir):
     """Distinct values per day and segment, NULL included, of columns of several types."""
     rows, day = st.account(spark, sf_dir), dates.day_of(F.col("data_dt"))
-    segments = [status_segment("DIRECTV", "Active", None), line_segment("OTT", None, None)]
+    segments = [status_segment("SATELLITE", "Active", None), line_segment("OTT", None, None)]
     wanted = [("service_level", [0, 1]), ("ban", [0, 1]), ("status", [1])]
     return measures.distinct_counts(rows, day, segments, wanted)
 
@@ -316,13 +316,13 @@ def distinct_per_day(spark, sf_dir):
 # ---- consistency ------------------------------------------------------------
 
 CHANNEL_RULES = [
-    ("KM", "gold", "channel", "EVENTS", status, None, column, "highPriorityColumn", None)
+    ("prod", "gold", "channel", "EVENTS", status, None, column, "highPriorityColumn", None)
     for status in ("click", "view", "purchase") for column in ("channel_name", "channel_key")
 ]
 
 # A rule without a priority is low, so it does not pass a high threshold here.
 CHANNEL_RULES_GATED = CHANNEL_RULES + [
-    ("KM", "gold", "channel", "EVENTS", "signup", None, "channel_key", None, None)
+    ("prod", "gold", "channel", "EVENTS", "signup", None, "channel_key", None, None)
 ]
 
 
@@ -364,7 +364,7 @@ def _logged_columns(spark, sf_dir) -> DataFrame:
     )
     return rows.select("viewMode", "partitionDate", F.inline(runs)).select(
         (F.col("partitionDate").cast("long") * 10 + F.col("run")).alias("queryid"),
-        F.lit("KM").alias("environment"), F.lit("gold").alias("databaseName"),
+        F.lit("prod").alias("environment"), F.lit("gold").alias("databaseName"),
         F.lit("EV_CHANNEL").alias("tableName"), "viewMode", F.lit("EVENTS").alias("businessLine"),
         F.lit(None).cast("string").alias("viewType"),
         F.lit("channel_key").alias("columnConsistencyField"),
@@ -405,9 +405,9 @@ def column_consistency_daily(spark, sf_dir):
 
 
 TOTAL_RULES = [
-    ("KM", "gold", "ACCOUNT", "DIRECTV", "Active", "LIVE"),
-    ("KM", "gold", "account", "OTT", "Pending", None),
-    ("KM", "gold", "ev_account", "U-verse", "Suspended", "VOD"),
+    ("prod", "gold", "ACCOUNT", "SATELLITE", "Active", "LIVE"),
+    ("prod", "gold", "account", "OTT", "Pending", None),
+    ("prod", "gold", "ev_account", "CABLE", "Suspended", "VOD"),
 ]
 
 
@@ -511,7 +511,7 @@ def _duplicates(check) -> DataFrame:
 def duplicates_keys(spark, sf_dir):
     """Repeated order lines per return flag and ship day, over the whole table."""
     rules = [
-        ("KM", "gold", "lines", "l_shipdate", "l_orderkey, l_linenumber", "any", flag, None)
+        ("prod", "gold", "lines", "l_shipdate", "l_orderkey, l_linenumber", "any", flag, None)
         for flag in ("A", "N", "R")
     ]
     check = duplicate_check(
@@ -528,7 +528,7 @@ def duplicates_null_having(spark, sf_dir):
         "kept_status", F.nullif(F.col("l_linestatus"), F.lit("F"))
     )
     rules = [
-        ("KM", "gold", "lineitem", having, "l_suppkey,l_linenumber", "any", flag, None)
+        ("prod", "gold", "lineitem", having, "l_suppkey,l_linenumber", "any", flag, None)
         for flag in ("A", "R") for having in ("kept_status", "l_orderkey")
     ]
     check = duplicate_check(
@@ -552,11 +552,11 @@ def duplicates_any_day(spark, sf_dir):
 def duplicates_viewing(spark, sf_dir):
     """One device, one start time: two key lists over several segments, NULL keys included."""
     rules = [
-        ("KM", "gold", "viewership", "business_line", keys, line, mode, kind)
+        ("prod", "gold", "viewership", "business_line", keys, line, mode, kind)
         for keys in ("ban, program_watch_start_time_local", "device_id, program_watch_start_time_local")
         for line, mode, kind in (
-            ("DIRECTV", "STB", "LIVE"), ("DIRECTV", "TVE", "LIVE"), ("DIRECTV", "OTT", "LIVE"),
-            ("U-verse", "STB", "DVR"),
+            ("SATELLITE", "STB", "LIVE"), ("SATELLITE", "TVE", "LIVE"), ("SATELLITE", "OTT", "LIVE"),
+            ("CABLE", "STB", "DVR"),
         )
     ]
     check = duplicate_check(
@@ -636,7 +636,7 @@ def merge_in_place(spark, sf_dir):
 def merge_reconcile(spark, sf_dir):
     """Rows per leaf before and after a merge; years that were not merged do not agree."""
     tree, out = st.order_tree(spark, sf_dir), scratch_path(spark, "merged")
-    merge.merge_loads(spark, tree, out, ["yr", "status"], name_filter="199")
+    merge.merge_loads(spark, tree, out, ["yr", "status"], name_filter="yr=199")
     return merge.reconcile_merge(
         merge.read_loads(spark, tree), merge.read_loads(spark, out), ["yr", "status"]
     )

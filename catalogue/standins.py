@@ -23,8 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # platform, mixed-case tune types, and a column of missing and filler values.
 VIEWING = [
     "ts AS program_watch_start_dt_local",
-    """CASE event_type WHEN 'view' THEN 'DIRECTV' WHEN 'error' THEN 'DIRECTV'
-           WHEN 'click' THEN 'OTT' WHEN 'signup' THEN 'ATT-OTT' ELSE 'U-verse' END
+    """CASE event_type WHEN 'view' THEN 'SATELLITE' WHEN 'error' THEN 'SATELLITE'
+           WHEN 'click' THEN 'OTT' WHEN 'signup' THEN 'ATT-OTT' ELSE 'CABLE' END
        AS business_line""",
     """CASE WHEN value < 20 THEN 'QUICKPLAY' WHEN value < 60 THEN 'OMNITURE' ELSE 'AMS' END
        AS source_system""",
@@ -45,7 +45,7 @@ VIEWING = [
 # Accounts out of orders: daily partitions over six years, a nullable column.
 ACCOUNT = [
     "o_orderdate AS data_dt",
-    """CASE WHEN o_orderpriority < '3' THEN 'DIRECTV' WHEN o_orderpriority < '4' THEN 'U-verse'
+    """CASE WHEN o_orderpriority < '3' THEN 'SATELLITE' WHEN o_orderpriority < '4' THEN 'CABLE'
            ELSE 'OTT' END AS business_line""",
     "CASE o_orderstatus WHEN 'F' THEN 'Active' WHEN 'O' THEN 'Suspended' ELSE 'Pending' END AS status",
     "nullif(o_orderpriority, '4-NOT SPECIFIED') AS service_level",
@@ -110,18 +110,18 @@ def _rules(spark, layout, rows):
 # Rules over the viewing stand-in: all segment kinds, a repeated rule, a rule
 # below the threshold, one of unknown priority and one without a priority.
 VIEWING_RULES = [
-    ("KM", "gold", "Viewership", "DIRECTV", "STB", "LIVE", "ban", "highPriorityColumn", "2"),
-    ("KM", "gold", "Viewership", "DIRECTV", "STB", "LIVE", "ban", "highPriorityColumn", "2"),
-    ("KM", "gold", "ev_viewing_history", "DIRECTV", "STB", "LIVE", "series_id", "HIGHpriorityColumn", "9"),
-    ("KM", "gold", "EV_VIEWING_HISTORY", "DIRECTV", "STB", "VOD", "ban", None, None),
-    ("KM", "gold", "viewership", "DIRECTV", "TVE", "LIVE", "device_id", "highPriorityColumn", "2"),
-    ("KM", "gold", "viewership", "DIRECTV", "OTT", "LIVE", "device_id", "highPriorityColumn", "3"),
-    ("KM", "gold", "viewership", "DTVNow", "OTT", "DVR", "ban", "highPriorityColumn", "1"),
-    ("KM", "gold", "viewership", "Direct-Now", "TVE", "LIVE", "series_id", "highPriorityColumn", "1"),
-    ("KM", "gold", "viewership", "U-verse", "STB", "live", "ban", "highPriorityColumn", "1"),
-    ("KM", "gold", "viewership", "U-verse", "STB", "LIVE", "client_id", "highPriorityColumn", "4"),
-    ("KM", "gold", "viewership", "U-verse", "STB", "LIVE", "ban", "lowPriorityColumn", "1"),
-    ("KM", "gold", "viewership", "U-verse", "STB", "DVR", "ban", "someday", "1"),
+    ("prod", "gold", "Viewership", "SATELLITE", "STB", "LIVE", "ban", "highPriorityColumn", "2"),
+    ("prod", "gold", "Viewership", "SATELLITE", "STB", "LIVE", "ban", "highPriorityColumn", "2"),
+    ("prod", "gold", "ev_viewing_history", "SATELLITE", "STB", "LIVE", "series_id", "HIGHpriorityColumn", "9"),
+    ("prod", "gold", "EV_VIEWING_HISTORY", "SATELLITE", "STB", "VOD", "ban", None, None),
+    ("prod", "gold", "viewership", "SATELLITE", "TVE", "LIVE", "device_id", "highPriorityColumn", "2"),
+    ("prod", "gold", "viewership", "SATELLITE", "OTT", "LIVE", "device_id", "highPriorityColumn", "3"),
+    ("prod", "gold", "viewership", "DTVNow", "OTT", "DVR", "ban", "highPriorityColumn", "1"),
+    ("prod", "gold", "viewership", "Direct-Now", "TVE", "LIVE", "series_id", "highPriorityColumn", "1"),
+    ("prod", "gold", "viewership", "CABLE", "STB", "live", "ban", "highPriorityColumn", "1"),
+    ("prod", "gold", "viewership", "CABLE", "STB", "LIVE", "client_id", "highPriorityColumn", "4"),
+    ("prod", "gold", "viewership", "CABLE", "STB", "LIVE", "ban", "lowPriorityColumn", "1"),
+    ("prod", "gold", "viewership", "CABLE", "STB", "DVR", "ban", "someday", "1"),
 ]
 
 

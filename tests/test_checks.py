@@ -24,7 +24,7 @@ def rules(spark, layout, *rows):
 
 
 def quality_rule(column="zip", priority="highPriorityColumn", length="5", status="Active", table="account"):
-    return ("KM", "gold", table, "A", status, None, column, priority, length)
+    return ("prod", "gold", table, "A", status, None, column, priority, length)
 
 
 def test_quality_rows_without_data(spark, run):
@@ -113,7 +113,7 @@ def test_query_log_matches_rows(spark, run):
     assert {(r.scenario, r.logDate) for r in log} == {("ColumnQuality", 20240201)}
 
 
-DUPLICATE_RULE = ("KM", "gold", "account", "business_line", "zip, ban", "A", "Active", None)
+DUPLICATE_RULE = ("prod", "gold", "account", "business_line", "zip, ban", "A", "Active", None)
 
 
 def test_duplicates(spark, run):
@@ -143,7 +143,7 @@ HISTORY = (
 
 
 def logged(day, count, logdate, queryid, database="gold", mode="Active", kind=None, table="EV_ACCOUNT", field="zip"):
-    return (queryid, "KM", database, table, mode, "A", kind, field, count, logdate, day)
+    return (queryid, "prod", database, table, mode, "A", kind, field, count, logdate, day)
 
 
 def consistency(spark, run, history, **options):
@@ -212,7 +212,7 @@ def daily(spark):
     )
 
 
-TOTAL_RULE = ("KM", "gold", "account", "A", "Active", None)
+TOTAL_RULE = ("prod", "gold", "account", "A", "Active", None)
 
 
 def test_total_windows(spark, run):
@@ -255,7 +255,7 @@ def test_a_stored_log_serves_as_history(spark, tmp_path):
 def test_same_rules_in_two_databases(spark, run):
     data = {"gold": [(20240101, "A", "Active", "1", 1)], "silver": [(20240101, "A", "Active", "12345", 1)]}
     check = column_quality(
-        spark, rules(spark, schemas.QUALITY_RULES, quality_rule(), ("KM", "silver", *quality_rule()[2:])),
+        spark, rules(spark, schemas.QUALITY_RULES, quality_rule(), ("prod", "silver", *quality_rule()[2:])),
         20240101, 20240101, run=run, source=lambda db, table: spark.createDataFrame(data[db], ROWS),
     )
     assert {r.databaseName: r.improperColumnCount for r in check.metrics.collect()} == {"gold": 1, "silver": 0}

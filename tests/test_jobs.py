@@ -12,25 +12,25 @@ DUPLICATES = "environment^database^table^havingColumn^duplicateCheckColumns^busi
 
 @pytest.fixture(scope="module")
 def database(spark):
-    for name in ("eview", "outcome"):
+    for name in ("views", "outcome"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
     days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-02-03')) AS d")
     days.select(
         F.explode(F.sequence(F.lit(1), F.dayofmonth("d"))).alias("device_id"),
-        F.lit("DIRECTV").alias("business_line"), F.lit("STB").alias("viewing_platform"),
+        F.lit("SATELLITE").alias("business_line"), F.lit("STB").alias("viewing_platform"),
         F.lit("AMS").alias("source_system"), F.lit("live").alias("channel_tune_type"),
         F.date_format("d", "yyyyMMdd").cast("int").alias("program_watch_start_dt_local"),
-    ).write.partitionBy("program_watch_start_dt_local").saveAsTable("eview.ev_viewing_history")
+    ).write.partitionBy("program_watch_start_dt_local").saveAsTable("views.ev_viewing_history")
     return "outcome"
 
 
 def test_daily_jobs(spark, database, tmp_path):
     (tmp_path / "quality.txt").write_text(
-        QUALITY + "KM^eview^ev_viewing_history^DIRECTV^STB^LIVE^device_id^highPriorityColumn^2\n"
+        QUALITY + "prod^views^ev_viewing_history^SATELLITE^STB^LIVE^device_id^highPriorityColumn^2\n"
     )
-    (tmp_path / "total.txt").write_text(TOTAL + "KM^eview^ev_viewing_history^DIRECTV^STB^LIVE\n")
+    (tmp_path / "total.txt").write_text(TOTAL + "prod^views^ev_viewing_history^SATELLITE^STB^LIVE\n")
     (tmp_path / "duplicates.txt").write_text(
-        DUPLICATES + "KM^eview^ev_viewing_history^business_line^channel_tune_type, source_system^DIRECTV^STB^LIVE\n"
+        DUPLICATES + "prod^views^ev_viewing_history^business_line^channel_tune_type, source_system^SATELLITE^STB^LIVE\n"
     )
     main(["quality", str(tmp_path / "quality.txt"), "20240110", "20240112", "--results", database])
     quality = spark.table("outcome.ColumnQualityCheck").orderBy("partitionDate").collect()

@@ -11,15 +11,15 @@ HEADER = "environment^database^tableType^businessLine^viewMode^viewType^dataQual
 
 
 def test_directory_of_files(spark, tmp_path):
-    (tmp_path / "a.txt").write_text(HEADER + "KM^g^viewership^DIRECTV^STB^DVR^ban^highPriorityColumn^5\n")
+    (tmp_path / "a.txt").write_text(HEADER + "prod^g^viewership^SATELLITE^STB^DVR^ban^highPriorityColumn^5\n")
     (tmp_path / "b.txt").write_text(
-        HEADER + "KM^g^account^U-verse^Active^^zip^^\n"
-        "KM^g^viewership^DIRECTV^STB^DVR^ban^highPriorityColumn^5\n"
+        HEADER + "prod^g^account^CABLE^Active^^zip^^\n"
+        "prod^g^viewership^SATELLITE^STB^DVR^ban^highPriorityColumn^5\n"
     )
     got = r.read_rules(spark, str(tmp_path), schemas.QUALITY_RULES).orderBy("tableType").collect()
     assert [tuple(x) for x in got] == [
-        ("KM", "g", "account", "U-verse", "Active", None, "zip", None, None),
-        ("KM", "g", "viewership", "DIRECTV", "STB", "DVR", "ban", "highPriorityColumn", "5"),
+        ("prod", "g", "account", "CABLE", "Active", None, "zip", None, None),
+        ("prod", "g", "viewership", "SATELLITE", "STB", "DVR", "ban", "highPriorityColumn", "5"),
     ]
 
 
@@ -58,22 +58,22 @@ def test_names_resolve_in_any_case():
 
 def test_bad_rules_stop_before_any_job(spark):
     with pytest.raises(ValueError, match="unknown table 'sales'"):
-        r.bind(total_rules(spark, ("KM", "g", "sales", "A", "B", "C")), KNOWN_TABLES)
+        r.bind(total_rules(spark, ("prod", "g", "sales", "A", "B", "C")), KNOWN_TABLES)
     with pytest.raises(ValueError, match="view mode"):
-        r.bind(total_rules(spark, ("KM", "g", "viewership", "A", None, "C")), KNOWN_TABLES)
+        r.bind(total_rules(spark, ("prod", "g", "viewership", "A", None, "C")), KNOWN_TABLES)
     with pytest.raises(ValueError, match="without businessLine"):
-        r.bind(total_rules(spark, ("KM", "g", "account", None, "B", "C")), KNOWN_TABLES)
+        r.bind(total_rules(spark, ("prod", "g", "account", None, "B", "C")), KNOWN_TABLES)
 
 
 def test_repeats_are_dropped_and_order_is_stable(spark):
-    rows = [("KM", "g", "account", line, "B", None) for line in ("b", "a", "b")]
+    rows = [("prod", "g", "account", line, "B", None) for line in ("b", "a", "b")]
     bound = r.bind(total_rules(spark, *rows), KNOWN_TABLES)
     assert [(x.number, x.business_line) for x in bound] == [(0, "a"), (1, "b")]
     assert r.bind(total_rules(spark, *rows[::-1]), KNOWN_TABLES) == bound
 
 
 def test_names_that_are_no_columns_are_refused(spark):
-    bound = r.bind(total_rules(spark, ("KM", "g", "account", "A", "B", None)), KNOWN_TABLES)
+    bound = r.bind(total_rules(spark, ("prod", "g", "account", "A", "B", None)), KNOWN_TABLES)
     rows = spark.createDataFrame([], "data_dt int, business_line string, status string")
     source = frames({"EV_ACCOUNT": rows})
     assert by_table(bound, source, lambda rule: ["STATUS"])
@@ -88,6 +88,6 @@ def test_metastore_tables(spark):
 
 
 def test_segment_of_rule(spark):
-    bound = r.bind(total_rules(spark, ("KM", "g", "channel", "A", "B", None)), KNOWN_TABLES)
+    bound = r.bind(total_rules(spark, ("prod", "g", "channel", "A", "B", None)), KNOWN_TABLES)
     assert bound[0].segment == s.status_segment("A", "B", None)
     assert bound[0].labels()["tableName"] == "EV_CHANNEL"

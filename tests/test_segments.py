@@ -9,10 +9,10 @@ ROWS = [
     ("OTT", "QUICKPLAY", "OTT", "LIVE", "Active"),
     ("ATT-OTT", "OMNITURE", "OTT", "live", "Active"),
     ("OTT", "OMNITURE", "OTT", "LIVE", "Closed"),
-    ("DIRECTV", "AMS", "STB", "LIVE", "Active"),
-    ("DIRECTV", "AMS", "TVE", "Live", None),
-    ("DIRECTV", "AMS", None, "LIVE", "Active"),
-    ("directv", "AMS", "STB", "LIVE", "Active"),
+    ("SATELLITE", "AMS", "STB", "LIVE", "Active"),
+    ("SATELLITE", "AMS", "TVE", "Live", None),
+    ("SATELLITE", "AMS", None, "LIVE", "Active"),
+    ("satellite", "AMS", "STB", "LIVE", "Active"),
     (None, "AMS", "STB", "LIVE", "Active"),
 ]
 
@@ -30,18 +30,18 @@ def kept(rows, segment):
 def test_viewing_segments(rows):
     assert kept(rows, s.viewing_segment("DTVNow", "OTT", "LIVE")) == [0, 1]
     assert kept(rows, s.viewing_segment("direct-now", "OTT", "LIVE")) == [0, 1]
-    assert kept(rows, s.viewing_segment("DIRECTV", "STB", "LIVE")) == [3]
+    assert kept(rows, s.viewing_segment("SATELLITE", "STB", "LIVE")) == [3]
     # Any other mode means "not a set-top box"; a missing platform is neither.
-    assert kept(rows, s.viewing_segment("DIRECTV", "OTT", "LIVE")) == [4]
-    assert kept(rows, s.viewing_segment("DIRECTV", "stb", "LIVE")) == [4]
+    assert kept(rows, s.viewing_segment("SATELLITE", "OTT", "LIVE")) == [4]
+    assert kept(rows, s.viewing_segment("SATELLITE", "stb", "LIVE")) == [4]
     # A lower-case type matches nothing; a list of lines is one literal.
-    assert kept(rows, s.viewing_segment("DIRECTV", "STB", "live")) == []
-    assert kept(rows, s.viewing_segment("DIRECTV,ATT-OTT", "TVE", "LIVE")) == []
+    assert kept(rows, s.viewing_segment("SATELLITE", "STB", "live")) == []
+    assert kept(rows, s.viewing_segment("SATELLITE,ATT-OTT", "TVE", "LIVE")) == []
 
 
 def test_other_segments(rows):
-    assert kept(rows, s.status_segment("DIRECTV", "Active", None)) == [3, 5]
-    assert kept(rows, s.line_segment("DIRECTV", None, None)) == [3, 4, 5]
+    assert kept(rows, s.status_segment("SATELLITE", "Active", None)) == [3, 5]
+    assert kept(rows, s.line_segment("SATELLITE", None, None)) == [3, 4, 5]
     assert kept(rows, s.whole_table("x", None, None)) == list(range(8))
 
 
@@ -53,8 +53,8 @@ def test_missing_modes_are_refused():
 
 
 @pytest.mark.parametrize("segment", [
-    s.viewing_segment("DTVNow", "OTT", "LIVE"), s.viewing_segment("DIRECTV", "TVE", "LIVE"),
-    s.status_segment("DIRECTV", "Active", None), s.whole_table("", None, None),
+    s.viewing_segment("DTVNow", "OTT", "LIVE"), s.viewing_segment("SATELLITE", "TVE", "LIVE"),
+    s.status_segment("SATELLITE", "Active", None), s.whole_table("", None, None),
 ])
 def test_text_means_the_same(rows, segment):
     assert sorted(r.id for r in rows.where(segment.text()).collect()) == kept(rows, segment)
