@@ -24,8 +24,7 @@ def append(frame: DataFrame, target: str, partition: str | None = None) -> None:
 
     Rows are brought together by partition first, so that a run adds few files.
     """
-    if partition:
-        frame = frame.hint("rebalance", F.col(partition))
+    frame = frame.hint("rebalance", *([F.col(partition)] if partition else []))
     writer = frame.write.mode("append").format("parquet")
     if partition:
         writer = writer.partitionBy(partition)

@@ -297,3 +297,34 @@ def test_daily_anchor_with_a_log(spark, run):
 def test_unknown_anchor(spark, run, options):
     with pytest.raises(ValueError):
         consistency(spark, run, [], **options)
+
+
+def test_a_wide_rule_set(spark, run):
+    """Hundreds of rules over dozens of columns and overlapping segments, in both forms."""
+    columns = [f"c{i}" for i in range(57)]
+    rows = spark.range(400).select(
+        F.lit(20240101).alias("program_watch_start_dt_local"),
+        F.element_at(F.array(F.lit("SAT"), F.lit("OTT"), F.lit("ATT-OTT")), (F.col("id") % 3 + 1).cast("int")).alias("business_line"),
+        F.element_at(F.array(F.lit("QUICKPLAY"), F.lit("OMNITURE")), (F.col("id") % 2 + 1).cast("int")).alias("source_system"),
+        F.when(F.col("id") % 5 < 2, "STB").when(F.col("id") % 5 < 4, "TVE").alias("viewing_platform"),
+        F.element_at(F.array(F.lit("Live"), F.lit("VOD")), (F.floor(F.col("id") / 7) % 2 + 1).cast("int")).alias("channel_tune_type"),
+        *[F.when(F.col("id") % (i + 2) != 0, F.col("id").cast("string")).alias(c) for i, c in enumerate(columns)],
+    )
+    wide = rules(spark, schemas.QUALITY_RULES, *[
+        ("prod", "gold", "viewership", line, mode, kind, c, "highPriorityColumn", str(1 + i % 4))
+        for line in ("SAT", "OTT", "DTVNow") for mode in ("STB", "TVE", "OTT") for kind in ("LIVE", "VOD")
+        for i, c in enumerate(columns)
+    ])
+    source = frames({"EV_VIEWING_HISTORY": rows})
+    got = [
+        {r.queryid: (r.improperColumnCount, r.totalColumnCount) for r in column_quality(
+            spark, wide, 20240101, 20240101, source=source, run=run, form=form).metrics.collect()}
+        for form in ("conditional", "unpivoted")
+    ]
+    assert len(got[0]) == 18 * 57 and got[0] == got[1]
+    distinct = column_consistency(spark, wide, 20240101, 20240101, source=source, run=run).metrics
+    one = distinct.where("businessLine = 'SAT' AND viewMode = 'OTT' AND viewType = 'LIVE' AND columnConsistencyField = 'c9'")
+    expected = rows.where(
+        "business_line = 'SAT' AND viewing_platform != 'STB' AND upper(channel_tune_type) = 'LIVE'"
+    ).select("c9").distinct().count()
+    assert distinct.count() == 18 * 57 and one.head().dayCount == expected > 1
