@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.dates import TRAILING_DAYS, date_of, partition_in
 from plumbline.operators.measures import DAY
+from plumbline.sources.tables import Catalog
 
 PER_DAY = "per_day"
 LATEST_ROW = "latest_row"
@@ -21,6 +22,9 @@ FROM_RUN = "run"
 FROM_DAY = "day"
 ANCHORS = (FROM_RUN, FROM_DAY)
 
+# Fixed value: how other writers log a missing view mode or type.
+MISSING = "null"
+
 # What a logged row must share with a rule, besides the check's own field.
 MATCH_KEYS = ("environment", "tableName", "viewMode", "businessLine", "viewType")
 
@@ -37,6 +41,19 @@ def latest_row(rows: DataFrame, keys: Sequence[str], newest_first: Sequence[str]
     return rows.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*rows.columns)
 
 
+def normalised(history: DataFrame, catalog: Catalog) -> DataFrame:
+    """Logged rows under canonical table names, with missing modes and types as NULL.
+
+    Logs of other writers hold the table name as a rule spelled it, and the
+    text ``null`` for a missing mode or type.
+    """
+    return history.withColumns({
+        "tableName": F.coalesce(catalog.canonical_name(F.col("tableName")), F.col("tableName")),
+        "viewMode": F.nullif(F.col("viewMode"), F.lit(MISSING)),
+        "viewType": F.nullif(F.col("viewType"), F.lit(MISSING)),
+    })
+
+
 def logged_counts(history: DataFrame, windows: Sequence[tuple[Column, Column]],
                   keys: Sequence[str], mode: str = PER_DAY) -> DataFrame:
     """Logged day counts inside the windows as (keys, partitionDate, n).

@@ -19,6 +19,7 @@ from plumbline.operators.history import (
     PER_DAY,
     daily_baseline,
     logged_counts,
+    normalised,
     run_baseline,
 )
 from plumbline.operators.measures import DAY, distinct_counts, row_counts
@@ -85,7 +86,7 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
     keys = ["source", "segment", "column"]
     if history is not None:
         match = [*MATCH_KEYS, "columnConsistencyField"]
-        earlier = [logged_counts(history, windows, match, baseline)]
+        earlier = [logged_counts(normalised(history, catalog), windows, match, baseline)]
         counts = _of_rules(ruled, earlier, match)
     else:
         counts = _of_rules(ruled, earlier, keys)
@@ -128,7 +129,7 @@ def total_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
     ruled = rule_rows(spark, bound, statements, fields, "source int, segment int")
     keys = ["source", "segment"]
     if history is not None:
-        earlier = [logged_counts(history, windows, MATCH_KEYS, baseline)]
+        earlier = [logged_counts(normalised(history, catalog), windows, MATCH_KEYS, baseline)]
         counts = _of_rules(ruled, earlier, list(MATCH_KEYS))
     else:
         counts = _of_rules(ruled, earlier, keys)

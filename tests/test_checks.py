@@ -180,6 +180,17 @@ def test_literal_mode_keeps_one_row(spark, run):
     assert consistency(spark, run, other, baseline="latest_row").averageRecordCount == 11.0
 
 
+def test_logs_of_other_writers(spark, run):
+    """A table may be logged as a rule spelled it, and a missing type as the text null."""
+    history = [
+        logged(20240102, 10, 20240102, 1, table="account"), logged(20240103, 20, 20240103, 2, kind="null"),
+        logged(20240104, 30, 20240104, 3, table="Ev_Account", kind="null"),
+        # One day under two spellings is still one day; the later run counts.
+        logged(20240104, 60, 20240105, 4), logged(20240106, 999, 20240106, 5, table="sales"),
+    ]
+    assert consistency(spark, run, history).averageRecordCount == 30.0
+
+
 def test_unknown_baseline_mode(spark, run):
     with pytest.raises(ValueError, match="baseline mode"):
         consistency(spark, run, [], baseline="median").collect()
