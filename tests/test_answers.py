@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from catalogue import oracles, queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = queries.queries()
+SQL = oracles.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def connection():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
