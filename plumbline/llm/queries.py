@@ -40,6 +40,44 @@ def op2_sum_of_squares_packing(spark, sf_dir):
     return piece_digests(pieces)
 
 
+@query
+def op5_weak_label_quality(spark, sf_dir):
+    """Weak label and score of every document."""
+    from plumbline.llm import quality
+
+    documents = table(spark, sf_dir, "documents")
+    return quality.score(documents, quality.train(documents))
+
+
+@query
+def op8_prefix_filtered_decontamination(spark, sf_dir):
+    """Benchmark windows in every document."""
+    from plumbline.llm.decontaminate import contamination
+
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+@query
+def op9_classifier_chain_toxicity(spark, sf_dir):
+    """Toxicity categories of every document, learned from the labelled ones."""
+    from plumbline.llm import toxicity
+
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_tensored_minhash_near_duplicates(spark, sf_dir):
+    """Components of documents whose two-word shingles are alike by 0.8 or more."""
+    from plumbline.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
 def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
