@@ -26,9 +26,10 @@ from plumbline.llm.words import slices
 
 SEQUENCE_TOKENS = 4096
 OPEN_WINDOWS = 1024
-#: Words whose ids a Python worker remembers, and the longest of them in bytes.
-CACHED_WORDS, CACHED_BYTES = 400_000, 64
+#: Words whose ids a Python worker remembers, twice over, and the longest of them in bytes.
+CACHED_WORDS, CACHED_BYTES = 500_000, 64
 JOINED_WORDS = 2000
+MARKS = b".,;:!?"
 ID_BYTES = 4
 
 _tokenizers: dict[str, WordIds] = {}
@@ -38,38 +39,65 @@ class WordIds:
     """Token ids of texts, looked up by white-space separated parts.
 
     Neither the normaliser nor the pre-tokeniser of a tokenizer that drops white space looks across
-    it, so the ids of a text are those of its parts, and a part seen before needs no second look.
+    it, so the ids of a text are those of its parts, and a part seen before needs no second look. A part of
+    ASCII letters, with or without marks behind it, is one word to the tokenizer and goes to its
+    model directly; everything else takes the tokenizer's whole way.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
+        self._marks: dict[bytes, bytes] = {}
 
-    def _encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
+    def _word(self, letters: bytes) -> bytes:
+        tokens = self._model.tokenize(letters.lower().decode())
+        return b"".join([token.id.to_bytes(ID_BYTES, "little") for token in tokens])
+
+    def _whole_way(self, parts: list[bytes]) -> dict[bytes, bytes]:
         found = {}
         for i in range(0, len(parts), JOINED_WORDS):
             some = parts[i: i + JOINED_WORDS]
             texts = [part.decode() for part in some]
             starts = np.cumsum([0] + [len(text) + 1 for text in texts])
             encoded = self._tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4")
             at = np.array([offset[0] for offset in encoded.offsets], np.int64)
             cuts = np.searchsorted(at, starts) * ID_BYTES
-            raw = ids.tobytes()
+            raw = np.array(encoded.ids, "<u4").tobytes()
             found.update((part, raw[cuts[k]: cuts[k + 1]]) for k, part in enumerate(some))
         return found
 
+    def _encode(self, parts: set[bytes]) -> dict[bytes, bytes]:
+        found, others = {}, []
+        for part in parts:
+            if part in self._older:
+                found[part] = self._older[part]
+            elif part.isalpha():
+                found[part] = self._word(part)
+            elif (letters := part.rstrip(MARKS)).isalpha():
+                marks = part[len(letters):]
+                if marks not in self._marks and len(self._marks) < CACHED_BYTES:
+                    self._marks |= self._whole_way([marks])
+                behind = self._marks.get(marks) or self._whole_way([marks])[marks]
+                found[part] = self._known.get(letters) or self._word(letters)
+                found[part] += behind
+            else:
+                others.append(part)
+        return found | self._whole_way(others)
+
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [text.split() for text in texts]
-        new = set().union(*split).difference(self._known)
+        every = set().union(*split)
+        new = every.difference(self._known)
         if len(self._known) + len(new) > CACHED_WORDS:
-            self._known.clear()
-            new = set().union(*split)
+            self._older, self._known = self._known, {}
+            new = every
+        found = self._encode(new)
         known = self._known
-        found = self._encode(list(new))
         known.update((part, ids) for part, ids in found.items() if len(part) <= CACHED_BYTES)
         long = {part: ids for part, ids in found.items() if len(part) > CACHED_BYTES}
         if long:
@@ -217,3 +245,9 @@ def pieces(done: list[tuple], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
         types = [id_type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
         columns = [pa.array(values, kind) for values, kind in zip(zip(*done), types)]
         yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def with_digests(pieces: DataFrame) -> DataFrame:
+    """Pieces with their length and the unsigned crc32 of their ids."""
+    length = (F.octet_length("ids") / ID_BYTES).cast("long")
+    return pieces.withColumns({"length": length, "ids_crc32": F.crc32("ids")})
