@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.llm import quality, toxicity
 from plumbline.llm.decontaminate import contamination
 from plumbline.llm.neardup import near_duplicates
-from plumbline.llm.packing import pack
-from plumbline.llm.queries import piece_digests
+from plumbline.llm.packing import pack, with_digests
 from plumbline.session import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -62,8 +61,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences, with their ids and digests."""
-    pieces = pack(docs, public_tokenizers.path(TOKENIZER), END_ID)
-    return piece_digests(pieces)
+    return with_digests(pack(docs, public_tokenizers.path(TOKENIZER), END_ID))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _registry: dict[str, Query] = {}
@@ -22,22 +24,54 @@ def queries() -> dict[str, Query]:
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    from plumbline.llm import oracles as sql
+
+    found = sql.oracles()
+    if corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_multi_index_hashing(spark, sf_dir):
+    """The 10 nearest sign codes of every vector whose id is divisible by 20, among all vectors."""
+    from plumbline.llm.hamming import sign_code, top_k
+
+    vectors = table(spark, sf_dir, "embeddings")
+    codes = vectors.select(F.col("vec_id").alias("id"), sign_code("embedding").alias("code"))
+    return top_k(codes, codes.where("id % 20 = 0"), 10)
+
+
 @query
 def op2_sum_of_squares_packing(spark, sf_dir):
     """All documents in sequences of at most 4096 tokens, a row per piece."""
     import public_tokenizers
 
-    from plumbline.llm.packing import pack
+    from plumbline.llm.packing import pack, with_digests
 
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
-    return piece_digests(pieces)
+    return with_digests(pieces).drop("ids")
+
+
+@query
+def op3_rare_token_licenses(spark, sf_dir):
+    """Licence phrases and notices in every document."""
+    from plumbline.llm.licenses import scan
+
+    found = scan(table(spark, sf_dir, "documents")).drop("places")
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query
+def op4_character_model_urls(spark, sf_dir):
+    """Rule and verdict of every page's URL."""
+    from plumbline.llm.urls import judge
+
+    return judge(table(spark, sf_dir, "pages")).withColumn("score", F.round("score", 6))
 
 
 @query
@@ -49,6 +83,28 @@ def op5_weak_label_quality(spark, sf_dir):
     return quality.score(documents, quality.train(documents))
 
 
+@query
+def op6_class_language_model(spark, sf_dir):
+    """Log probabilities of all documents, learned from those that are not held out."""
+    from plumbline.llm import classlm
+
+    held_out = classlm.is_held_out(F.col("doc_id"))
+    documents = table(spark, sf_dir, "documents")
+    model = classlm.train(documents.where(~held_out).select("text"))
+    return classlm.score(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.train_tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity",
+    )
+
+
+@query
+def op7_snapshot_collapse(spark, sf_dir):
+    """Maximal conversations, rendered."""
+    from plumbline.llm.chat import collapse_and_render
+
+    return collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op8_prefix_filtered_decontamination(spark, sf_dir):
     """Benchmark windows in every document."""
@@ -78,8 +134,7 @@ def op10_tensored_minhash_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
-def piece_digests(pieces: DataFrame) -> DataFrame:
-    return pieces.select(
-        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
-        F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
-    )
+@query
+def pipeline(spark, sf_dir):
+    """All stages of the corpus pipeline on all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
