@@ -120,7 +120,7 @@ WATCHED = "program_watch_start_dt_local"
 
 def _drift(kind: str, day_count: str, baseline: str) -> str:
     """Difference and category from a day count and a nullable baseline."""
-    difference = f"CAST(trunc(({day_count} - {baseline}) / {baseline} * 100.0) AS INTEGER)"
+    difference = f"CAST(trunc(({day_count} - {baseline}) / {baseline} * 100.0) AS BIGINT)"
     percent = f"CASE WHEN {baseline} > 0 THEN {difference} END"
     return f"""
            coalesce({baseline}, 0.0) AS averageRecordCount,
@@ -164,14 +164,15 @@ LOGGED = f"""
 """
 
 
-def _total_consistency(first: str, last: str, window: str, by="", on="") -> str:
+def _total_consistency(first: str, last: str, window: str, days: str, by="", on="") -> str:
+    """``window`` gives the counts that a baseline sums, ``days`` the number of days it is shared by."""
     return f"""
     WITH v AS (SELECT *, {_day('data_dt')} AS day FROM ({ACCOUNT})),
     r AS (SELECT * FROM (VALUES ('SATELLITE', 'Active', 'LIVE'), ('OTT', 'Pending', NULL),
           ('CABLE', 'Suspended', 'VOD')) AS t(businessLine, viewMode, viewType)),
     days AS ({_days(first, last)}),
     counts AS (SELECT business_line, status, day, count(*) AS n FROM v GROUP BY ALL),
-    baseline AS (SELECT business_line, status, avg(n) AS average {by} FROM ({window}) GROUP BY ALL),
+    baseline AS (SELECT business_line, status, CAST(sum(n) AS DOUBLE) / {days} AS average {by} FROM ({window}) GROUP BY ALL),
     f AS (SELECT r.*, d.day, coalesce(c.n, 0) AS n, b.average
           FROM r CROSS JOIN days d
           LEFT JOIN counts c ON c.day = d.day AND c.business_line = r.businessLine
@@ -258,11 +259,13 @@ def oracles() -> dict[str, str]:
     brand = "(p_brand || CASE WHEN p_type = 'ECONOMY' THEN '-E' ELSE '' END)"
     brand_int, brand_text = _clean(brand)
     improper_sql = "upper(ban) IN ('NULL', 'UNKNOWN', '', 'NA', 'N/A')"
-    log_rules = _values([(r[3], r[4], r[5], r[6], r[8] or "1") for r in st.VIEWING_RULES[2:5]]
-                        + [tuple(st.VIEWING_RULES[0][i] for i in (3, 4, 5, 6, 8))])
+    gated = [r for r in dict.fromkeys(st.VIEWING_RULES) if (r[7] or "high").lower().startswith("high")]
+    log_rules = _values([(r[3], r[4], r[5], r[6], r[8] or "1") for r in gated])
+    streams = "r.businessLine IN ('DTVNow', 'Direct-Now')"
+    streaming_test = STREAMING.split(" AND viewing_platform")[0]
+    streaming_text = " ".join(streaming_test.split()).replace("'", "''")
     return {
         "quality_viewing": _viewing_quality(),
-        "quality_viewing_unpivoted": _viewing_quality(),
         "quality_short_values": _quality(
             [("prod", "gold", "CHANNEL", "EVENTS", "click", None, "channel_name", None, "9")],
             CHANNEL, "EV_CHANNEL", "data_dt", ACCOUNT_SEGMENT, ["channel_name"],
@@ -325,17 +328,20 @@ def oracles() -> dict[str, str]:
             v AS (SELECT *, {viewing_day} AS day FROM ({VIEWING})),
             days AS ({_days('2023-12-30', '2024-02-02')})
             SELECT 'SELECT ' || dataQualityColumn || ' FROM gold.ev_viewing_history WHERE '
-                   || 'program_watch_start_dt_local = ' || d.day || ' AND business_line = '''
-                   || businessLine || ''' AND viewing_platform '
-                   || CASE WHEN viewMode = 'STB' THEN '= ''STB''' ELSE '!= ''STB''' END
+                   || 'program_watch_start_dt_local = ' || d.day || ' AND '
+                   || CASE WHEN {streams} THEN '{streaming_text} AND viewing_platform = ''' || viewMode || ''''
+                      ELSE 'business_line = ''' || businessLine || ''' AND viewing_platform '
+                           || CASE WHEN viewMode = 'STB' THEN '= ''STB''' ELSE '!= ''STB''' END END
                    || ' AND upper(channel_tune_type) = ''' || viewType || ''' AND ('
                    || dataQualityColumn || ' IS NULL OR length(' || dataQualityColumn || ') < ' || n
                    || ' OR upper(' || dataQualityColumn
                    || ') IN (''NULL'', ''UNKNOWN'', '''', ''NA'', ''N/A''))' AS query,
                    'ColumnQuality' AS scenario, d.day AS executionDate,
                    20240201 AS logDate, dataQualityColumn,
-                   (SELECT count(*) FROM v WHERE v.day = d.day AND v.business_line = r.businessLine
-                    AND (r.viewMode = 'STB') = (v.viewing_platform = 'STB')
+                   (SELECT count(*) FROM v WHERE v.day = d.day
+                    AND CASE WHEN {streams} THEN {streaming_test} AND v.viewing_platform = r.viewMode
+                        ELSE v.business_line = r.businessLine
+                             AND (r.viewMode = 'STB') = (v.viewing_platform = 'STB') END
                     AND upper(v.channel_tune_type) = r.viewType) AS totalColumnCount
             FROM r CROSS JOIN days d""",
         "stored_results": f"""
@@ -386,7 +392,7 @@ def oracles() -> dict[str, str]:
             if not (column == 2 and segment == 0)
         ),
         "column_consistency_source": _column_consistency(
-            "SELECT status, col, avg(n) AS average FROM counts "
+            "SELECT status, col, CAST(sum(n) AS DOUBLE) / 30 AS average FROM counts "
             "WHERE day BETWEEN 20231217 AND 20240115 GROUP BY ALL"),
         "column_consistency_per_day": _column_consistency(
             f"SELECT status, 'channel_key' AS col, avg(late) AS average FROM ({LOGGED}) GROUP BY status"),
@@ -394,22 +400,23 @@ def oracles() -> dict[str, str]:
             "SELECT status, 'channel_key' AS col, CAST(late AS DOUBLE) AS average "
             f"FROM ({LOGGED}) QUALIFY row_number() OVER (PARTITION BY status ORDER BY day DESC) = 1"),
         "column_consistency_daily": _column_consistency(
-            "SELECT c.status, c.col, d.day, avg(c.n) AS average FROM counts c JOIN days d "
+            "SELECT c.status, c.col, d.day, CAST(sum(c.n) AS DOUBLE) / 30 AS average FROM counts c JOIN days d "
             "ON strptime(CAST(c.day AS VARCHAR), '%Y%m%d') "
             "BETWEEN d.date - INTERVAL 30 DAY AND d.date - INTERVAL 1 DAY GROUP BY ALL",
             "2023-12-30", "2024-02-02", "AND b.day = d.day"),
         "total_consistency_daily": _total_consistency(
             "1994-12-30", "2001-12-31",
-            """SELECT c.business_line, c.status, c.n, d.day AS on_day
+            """SELECT c.business_line, c.status, c.n, d.day AS on_day,
+                      30 + day(last_day(CAST(d.date - INTERVAL 1 YEAR AS DATE))) AS n_days
                FROM (SELECT *, strptime(CAST(day AS VARCHAR), '%Y%m%d') AS date FROM counts) c
                JOIN days d ON c.date BETWEEN d.date - INTERVAL 30 DAY AND d.date - INTERVAL 1 DAY
                     OR c.date BETWEEN date_trunc('month', d.date - INTERVAL 1 YEAR)
                        AND last_day(CAST(d.date - INTERVAL 1 YEAR AS DATE))""",
-            ", on_day", "AND b.on_day = d.day"),
+            "any_value(n_days)", ", on_day", "AND b.on_day = d.day"),
         "total_consistency_source": _total_consistency(
             "1996-02-15", "2001-12-31",
             "SELECT * FROM counts WHERE day BETWEEN 19950201 AND 19950228 "
-            "OR day BETWEEN 19960116 AND 19960214"),
+            "OR day BETWEEN 19960116 AND 19960214", "58"),
         "total_consistency_logged": _total_consistency(
             "1998-03-01", "2001-12-31",
             f"""SELECT s.business_line, s.status, d.day, coalesce(c.n, 0) AS n
@@ -417,9 +424,51 @@ def oracles() -> dict[str, str]:
                 CROSS JOIN (SELECT * FROM ({_days('1997-03-01', '1997-03-31')})
                             UNION ALL SELECT * FROM ({_days('1998-01-30', '1998-02-28')})) d
                 LEFT JOIN counts c ON c.business_line = s.business_line AND c.status = s.status
-                     AND c.day = d.day"""),
+                     AND c.day = d.day""", "61"),
+        "total_consistency_latest_row": _total_consistency(
+            "1998-03-01", "1998-03-31",
+            """SELECT s.business_line, s.status, coalesce(c.n, 0) AS n
+               FROM (SELECT DISTINCT business_line, status FROM counts) s
+               LEFT JOIN counts c ON c.business_line = s.business_line AND c.status = s.status
+                    AND c.day = 19980228""", "1"),
+        "baseline_of_source_and_log": f"""
+            SELECT viewMode, average AS from_source, average AS from_log FROM (
+                SELECT r.viewMode, CAST(count(v.day) AS DOUBLE) / 61 AS average
+                FROM (VALUES ('SATELLITE', 'Active'), ('OTT', 'Pending'), ('CABLE', 'Suspended'))
+                    AS r(businessLine, viewMode)
+                LEFT JOIN (SELECT *, {_day('data_dt')} AS day FROM ({ACCOUNT})) v
+                    ON v.business_line = r.businessLine AND v.status = r.viewMode
+                    AND (v.day BETWEEN 19970301 AND 19970331 OR v.day BETWEEN 19980130 AND 19980228)
+                GROUP BY r.viewMode)""",
+        "large_differences": """
+            SELECT o_custkey, count(*) * 2500000000 - 100 AS difference, 'GreaterThan15Percent' AS category
+            FROM orders GROUP BY o_custkey""",
+        "query_ids_of_all_checks": """
+            SELECT scenario, CAST(1 AS BIGINT) AS most_rows_of_an_id, true AS logged
+            FROM (VALUES ('ColumnQuality'), ('ColumnConsistencyCheck'), ('TotalConsistencyCheck'),
+                  ('DuplicateCheck')) AS t(scenario) WHERE EXISTS (SELECT 1 FROM orders)""",
+        "result_tables": f"""
+            SELECT 'EV_ACCOUNT' AS tableName, status AS viewMode, businessLine, count(v.day) AS dayCount,
+                   d.day AS partitionDate, 'TotalConsistencyCheck' AS scenario
+            FROM (VALUES ('SATELLITE', 'Active'), ('OTT', 'Pending'), ('CABLE', 'Suspended'))
+                AS r(businessLine, viewMode)
+            CROSS JOIN ({_days('1996-03-01', '1996-03-31')}) d
+            LEFT JOIN (SELECT business_line, status AS own, {_day('data_dt')} AS day FROM ({ACCOUNT})) v
+                ON v.business_line = r.businessLine AND v.own = r.viewMode AND v.day = d.day
+            CROSS JOIN LATERAL (SELECT r.viewMode AS status)
+            GROUP BY ALL""",
+        "merge_mixed_schemas": """
+            SELECT o_orderstatus AS status, position, name, type, n AS load_rows, n AS merged_rows, true AS complete
+            FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1) JOIN (
+                VALUES ('F', 0, 'o_orderkey', 'bigint'), ('F', 1, 'o_custkey', 'bigint'), ('F', 2, 'o_totalprice', 'double'),
+                       ('O', 0, 'o_custkey', 'bigint'), ('O', 1, 'o_orderkey', 'bigint'), ('O', 2, 'o_totalprice', 'double'),
+                       ('P', 0, 'o_orderkey', 'bigint'), ('P', 1, 'o_custkey', 'int'), ('P', 2, 'o_totalprice', 'double')
+            ) AS t(status, position, name, type) ON o_orderstatus = status""",
+        "partition_tree_default": """
+            SELECT DISTINCT 'status=' || o_orderstatus || '/yr=' || year(o_orderdate) || '/' AS place
+            FROM orders WHERE o_orderstatus != 'P'""",
         "total_no_baseline": _total_consistency(
-            "1995-01-01", "2001-12-31", "SELECT * FROM counts WHERE day < 19950101"),
+            "1995-01-01", "2001-12-31", "SELECT * FROM counts WHERE day < 19950101", "61"),
         "latest_row_per_key": """
             SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus FROM orders
             QUALIFY row_number() OVER

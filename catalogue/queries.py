@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,14 @@ from plumbline.functions.segments import (
 from plumbline.operators import measures
 from plumbline.operators.counts import compare_counts, grouped_counts
 from plumbline.operators.history import LATEST_ROW, latest_row
+from plumbline.operators.footers import location_schemas
 from plumbline.plans import merge
 from plumbline.plans import schema_check as sc
+from plumbline.plans.common import CheckResult
 from plumbline.plans.consistency import column_consistency, total_consistency
 from plumbline.plans.duplicates import duplicate_check
-from plumbline.plans.quality import UNPIVOTED, column_quality
-from plumbline.session import scratch_path
+from plumbline.plans.quality import column_quality
+from plumbline.session import materialise, scratch_path
 from plumbline.sources.rules import HIGH, PRIORITY_RANK, passes_gate, priority_rank, read_rules
 from plumbline.sources.tables import KNOWN_TABLES, frames, read_rows, register_view
 from plumbline.sources.tree import partition_locations
@@ -65,17 +68,7 @@ def quality_viewing(spark, sf_dir):
     """All segment kinds of the viewing table, gated and de-duplicated rules, empty days."""
     check = column_quality(
         spark, st.quality_rules(spark, st.VIEWING_RULES), *ALL_EVENTS,
-        source=frames({"EV_VIEWING_HISTORY": st.viewing(spark, sf_dir)}), run=RUN, max_days=None,
-    )
-    return _quality(check)
-
-
-@query
-def quality_viewing_unpivoted(spark, sf_dir):
-    """The same check measured in its long form."""
-    check = column_quality(
-        spark, st.quality_rules(spark, st.VIEWING_RULES), *ALL_EVENTS, form=UNPIVOTED,
-        source=frames({"EV_VIEWING_HISTORY": st.viewing(spark, sf_dir)}), run=RUN, max_days=None,
+        source=frames({"EV_VIEWING_HISTORY": st.viewing(spark, sf_dir)}), run=RUN,
     )
     return _quality(check)
 
@@ -100,7 +93,7 @@ def quality_null_values(spark, sf_dir):
     ]
     check = column_quality(
         spark, st.quality_rules(spark, rules), *ALL_ORDERS, threshold="MEDIUMPRIORITYCOLUMN",
-        source=frames({"EV_ACCOUNT": st.account(spark, sf_dir)}), run=RUN, max_days=None,
+        source=frames({"EV_ACCOUNT": st.account(spark, sf_dir)}), run=RUN,
     )
     return _quality(check)
 
@@ -113,7 +106,7 @@ def quality_two_tables(spark, sf_dir):
         ("prod", "gold", "EV_ACCOUNT_PACKAGE_MARKET", "EVENTS", "any", "any", "channel_key", None, "3"),
     ]
     check = column_quality(
-        spark, st.quality_rules(spark, rules), *ALL_ORDERS, run=RUN, max_days=None,
+        spark, st.quality_rules(spark, rules), *ALL_ORDERS, run=RUN,
         source=frames({
             "EV_CHANNEL_PROGRAM_SCHEDULE": st.account(spark, sf_dir),
             "EV_ACCOUNT_PACKAGE_MARKET": st.channel(spark, sf_dir),
@@ -193,14 +186,51 @@ def table_resolution(spark, sf_dir):
 
 @query
 def query_log(spark, sf_dir):
-    """The log a quality run leaves, joined back to its result rows by query id."""
-    rules = st.VIEWING_RULES[:5]
+    """The log a quality run leaves over all rules, joined back to its result rows by query id."""
     check = column_quality(
-        spark, st.quality_rules(spark, rules), *ALL_EVENTS, run=RUN, max_days=None,
+        spark, st.quality_rules(spark, st.VIEWING_RULES), *ALL_EVENTS, run=RUN,
         source=frames({"EV_VIEWING_HISTORY": st.viewing(spark, sf_dir)}),
     )
-    rows = check.metrics.select("queryid", "dataQualityColumn", "totalColumnCount")
-    return check.query_log.join(rows, "queryid").drop("queryid")
+    once = CheckResult(materialise(check.frame, "check"), check.schema, check.scenario)
+    rows = once.metrics.select("queryid", "dataQualityColumn", "totalColumnCount")
+    return once.query_log.join(rows, "queryid").drop("queryid")
+
+
+@query
+def query_ids_of_all_checks(spark, sf_dir):
+    """Four checks that start in one second and share a log: every id belongs to one row."""
+    log = scratch_path(spark, "log")
+    viewing = frames({"EV_VIEWING_HISTORY": st.viewing(spark, sf_dir)})
+    account = frames({"EV_ACCOUNT": st.account(spark, sf_dir)})
+    channel = frames({"EV_CHANNEL": st.channel(spark, sf_dir)})
+    keys = [("prod", "gold", "viewership", "business_line", "ban", "SATELLITE", "STB", "LIVE")]
+    checks = [
+        column_quality(spark, st.quality_rules(spark, st.VIEWING_RULES), 20240101, 20240131, run=RUN, source=viewing),
+        column_consistency(spark, st.quality_rules(spark, CHANNEL_RULES), 20240101, 20240131, run=RUN, source=channel),
+        total_consistency(spark, st.total_rules(spark, TOTAL_RULES), 19960301, 19960331, run=RUN, source=account),
+        duplicate_check(spark, st.duplicate_rules(spark, keys), 20240101, 20240131, run=RUN, source=viewing),
+    ]
+    for check in checks:
+        sinks.store(check, scratch_path(spark, "results"), log)
+    logged = spark.read.parquet(log)
+    once = logged.groupBy("queryid").agg(F.count("*").alias("n"), F.first("scenario").alias("scenario"))
+    return once.groupBy("scenario").agg(F.max("n").alias("most_rows_of_an_id"), (F.count("*") > 0).alias("logged"))
+
+
+@query
+def result_tables(spark, sf_dir):
+    """Result tables that are created, appended to by a check of a catalog table, and read back."""
+    database = f"results_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    st.account(spark, sf_dir).write.saveAsTable(f"{database}.ev_account")
+    rules = [(environment, database, *rest) for environment, _, *rest in TOTAL_RULES]
+    for _ in range(2):
+        sinks.create_result_tables(spark, database)
+    check = total_consistency(spark, st.total_rules(spark, rules), 19960301, 19960331, run=RUN)
+    sinks.store(check, f"{database}.TotalConsistencyCheck", f"{database}.dataValidation_QueryDetails")
+    logged = spark.table(f"{database}.dataValidation_QueryDetails").select("queryid", "scenario")
+    stored = spark.table(f"{database}.TotalConsistencyCheck").join(logged, "queryid")
+    return stored.select("tableName", "viewMode", "businessLine", "dayCount", "partitionDate", "scenario")
 
 
 @query
@@ -394,12 +424,22 @@ def column_consistency_latest_row(spark, sf_dir):
     return _consistency_with_log(spark, sf_dir, baseline=LATEST_ROW)
 
 
+@query
+def large_differences(spark, sf_dir):
+    """Differences of any size from a tiny baseline keep their percent."""
+    spent = st.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        (F.count("*") * 25_000_000).alias("n"), F.lit(1.0).alias("baseline")
+    )
+    difference = metrics.percent_difference(F.col("n"), F.col("baseline"))
+    return spent.select("o_custkey", difference.alias("difference"), metrics.drift_category(difference).alias("category"))
+
+
 @query
 def column_consistency_daily(spark, sf_dir):
     """Every day against the 30 days before that day, over the whole table."""
     check = column_consistency(
         spark, st.quality_rules(spark, CHANNEL_RULES), *ALL_EVENTS, run=RUN, anchor="day",
-        source=frames({"EV_CHANNEL": st.channel(spark, sf_dir)}), max_days=None,
+        source=frames({"EV_CHANNEL": st.channel(spark, sf_dir)}),
     )
     return _column_drift(check)
 
@@ -413,9 +453,9 @@ TOTAL_RULES = [
 
 @query
 def total_consistency_source(spark, sf_dir):
-    """Rows per day against the year-ago month and the last 30 days, over the whole table."""
+    """Rows per day from the second year on, against the year-ago month and the 30 days before."""
     check = total_consistency(
-        spark, st.total_rules(spark, TOTAL_RULES), 19960215, 20011231, run=RUN, max_days=None,
+        spark, st.total_rules(spark, TOTAL_RULES), 19960215, 20011231, run=RUN,
         source=frames({"EV_ACCOUNT": st.account(spark, sf_dir)}),
     )
     return _total_drift(check)
@@ -426,24 +466,54 @@ def total_consistency_logged(spark, sf_dir):
     """The same against a stored log of an earlier run, NULL view types included."""
     source = frames({"EV_ACCOUNT": st.account(spark, sf_dir)})
     rules = st.total_rules(spark, TOTAL_RULES)
+    results = _two_logged_months(spark, source, rules)
+    check = total_consistency(
+        spark, rules, 19980301, 20011231, source=source, run=RUN,
+        history=spark.read.parquet(results),
+    )
+    return _total_drift(check)
+
+
+def _two_logged_months(spark, source, rules) -> str:
     results = scratch_path(spark, "totals")
     for first, last in ((19970301, 19970331), (19980130, 19980228)):
         earlier = metrics.Run(dt.datetime.combine(dates.parse_day(last), dt.time(6), dt.timezone.utc))
         sinks.store(
             total_consistency(spark, rules, first, last, source=source, run=earlier), results
         )
-    check = total_consistency(
-        spark, rules, 19980301, 20011231, source=source, run=RUN, max_days=None,
-        history=spark.read.parquet(results),
-    )
-    return _total_drift(check)
+    return results
+
+
+@query
+def total_consistency_latest_row(spark, sf_dir):
+    """Baseline from the one latest logged row of each rule."""
+    source = frames({"EV_ACCOUNT": st.account(spark, sf_dir)})
+    rules = st.total_rules(spark, TOTAL_RULES)
+    history = spark.read.parquet(_two_logged_months(spark, source, rules))
+    return _total_drift(total_consistency(
+        spark, rules, 19980301, 19980331, source=source, run=RUN, history=history, baseline=LATEST_ROW,
+    ))
+
+
+@query
+def baseline_of_source_and_log(spark, sf_dir):
+    """The baseline of a run, measured from the source and from the log of the same days."""
+    source = frames({"EV_ACCOUNT": st.account(spark, sf_dir)})
+    rules = st.total_rules(spark, TOTAL_RULES)
+    history = spark.read.parquet(_two_logged_months(spark, source, rules))
+    found = [
+        total_consistency(spark, rules, 19980301, 19980301, source=source, run=RUN, history=earlier)
+        .frame.select("viewMode", F.col("averageRecordCount").alias(name))
+        for name, earlier in (("from_source", None), ("from_log", history))
+    ]
+    return found[0].join(found[1], "viewMode")
 
 
 @query
 def total_consistency_daily(spark, sf_dir):
     """Every day against its own year-ago month and last 30 days, over the whole table."""
     check = total_consistency(
-        spark, st.total_rules(spark, TOTAL_RULES), *ALL_ORDERS, run=RUN, anchor="day", max_days=None,
+        spark, st.total_rules(spark, TOTAL_RULES), *ALL_ORDERS, run=RUN, anchor="day",
         source=frames({"EV_ACCOUNT": st.account(spark, sf_dir)}),
     )
     return _total_drift(check)
@@ -453,7 +523,7 @@ def total_consistency_daily(spark, sf_dir):
 def total_no_baseline(spark, sf_dir):
     """Days without any earlier data have no difference and their own category."""
     check = total_consistency(
-        spark, st.total_rules(spark, TOTAL_RULES), 19950101, 20011231, run=RUN, max_days=None,
+        spark, st.total_rules(spark, TOTAL_RULES), 19950101, 20011231, run=RUN,
         source=frames({"EV_ACCOUNT": st.account(spark, sf_dir)}),
     )
     return _total_drift(check)
@@ -515,7 +585,7 @@ def duplicates_keys(spark, sf_dir):
         for flag in ("A", "N", "R")
     ]
     check = duplicate_check(
-        spark, st.duplicate_rules(spark, rules), *ALL_ORDERS, run=RUN, max_days=None,
+        spark, st.duplicate_rules(spark, rules), *ALL_ORDERS, run=RUN,
         catalog=st.LINES, source=frames({"LINEITEM": st.table(spark, sf_dir, "lineitem")}),
     )
     return _duplicates(check)
@@ -532,7 +602,7 @@ def duplicates_null_having(spark, sf_dir):
         for flag in ("A", "R") for having in ("kept_status", "l_orderkey")
     ]
     check = duplicate_check(
-        spark, st.duplicate_rules(spark, rules), *ALL_ORDERS, run=RUN, max_days=None,
+        spark, st.duplicate_rules(spark, rules), *ALL_ORDERS, run=RUN,
         catalog=st.LINES, source=frames({"LINEITEM": rows}),
     )
     return _duplicates(check)
@@ -560,7 +630,7 @@ def duplicates_viewing(spark, sf_dir):
         )
     ]
     check = duplicate_check(
-        spark, st.duplicate_rules(spark, rules), *ALL_EVENTS, run=RUN, max_days=None,
+        spark, st.duplicate_rules(spark, rules), *ALL_EVENTS, run=RUN,
         source=frames({"EV_VIEWING_HISTORY": st.viewing(spark, sf_dir)}),
     )
     return _duplicates(check)
@@ -642,6 +712,17 @@ def merge_reconcile(spark, sf_dir):
     )
 
 
+@query
+def merge_mixed_schemas(spark, sf_dir):
+    """Leaves of different columns and types merge on their own: no leaf gets another's."""
+    tree, out = st.mixed_load_tree(spark, sf_dir), scratch_path(spark, "merged")
+    merge.merge_loads(spark, tree, out, ["status"])
+    fields = location_schemas(partition_locations(spark, out, 2)).select("location", F.inline("fields"))
+    leaf = F.regexp_extract("location", "status=([^/]*)/", 1)
+    rows = merge.reconcile_leaves(spark, tree, out, ["status"])
+    return fields.select(leaf.alias("status"), "position", "name", "type").join(rows, "status")
+
+
 @query
 def merge_written_files(spark, sf_dir):
     """Rows in the files a merge wrote, per leaf."""
@@ -709,6 +790,17 @@ def schema_check_merged(spark, sf_dir):
     return checked.select("schema_status", leaf.alias("leaf"))
 
 
+@query
+def partition_tree_default(spark, sf_dir):
+    """Locations of a tree that also holds the partition of missing values, which is skipped."""
+    path = scratch_path(spark, "default-tree")
+    st.table(spark, sf_dir, "orders").select(
+        F.nullif("o_orderstatus", F.lit("P")).alias("status"), F.year("o_orderdate").alias("yr"), "o_orderkey"
+    ).write.partitionBy("status", "yr").parquet(path)
+    found = partition_locations(spark, path, 2)
+    return found.select(F.regexp_extract("location", r"(status=.*)$", 1).alias("place")).distinct()
+
+
 @query
 def partition_tree(spark, sf_dir):
     """Locations at each depth of a tree, filtered on the first level."""

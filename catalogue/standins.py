@@ -141,15 +141,30 @@ def order_tree(spark: SparkSession, sf_dir: str) -> str:
 
 
 def mixed_schema_tree(spark: SparkSession, sf_dir: str) -> str:
-    """Orders by status: one leaf as the reference, one reordered, one re-typed."""
+    """Orders by status: one leaf as the reference, one reordered, the others re-typed."""
     path = scratch_path(spark, "schema-tree")
-    orders = table(spark, sf_dir, "orders")
-    leaves = {
+    for status, leaf in _leaves(spark, sf_dir):
+        leaf.drop("load_dt").write.parquet(f"{path}/status={status}")
+    return path
+
+
+def mixed_load_tree(spark: SparkSession, sf_dir: str) -> str:
+    """The same leaves, each in two loads."""
+    path = scratch_path(spark, "mixed-loads")
+    for status, leaf in _leaves(spark, sf_dir):
+        leaf.write.partitionBy("load_dt").parquet(f"{path}/status={status}")
+    return path
+
+
+def _leaves(spark: SparkSession, sf_dir: str):
+    orders = table(spark, sf_dir, "orders").withColumn("load_dt", F.col("o_orderkey") % 2)
+    columns = {
         "F": ["o_orderkey", "o_custkey", "o_totalprice"],
         "O": ["o_custkey", "o_orderkey", "o_totalprice"],
-        "P": ["o_orderkey", "CAST(o_custkey AS int) AS o_custkey", "o_totalprice"],
     }
-    for status, columns in leaves.items():
-        leaf = orders.where(F.col("o_orderstatus") == status).selectExpr(*columns)
-        leaf.write.parquet(f"{path}/status={status}")
-    return path
+    retyped = ["o_orderkey", "CAST(o_custkey AS int) AS o_custkey", "o_totalprice"]
+    for row in orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect():
+        status = row["o_orderstatus"]
+        yield status, orders.where(F.col("o_orderstatus") == status).selectExpr(
+            *columns.get(status, retyped), "load_dt"
+        )

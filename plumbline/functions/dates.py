@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DAY_FORMAT = "yyyyMMdd"
-MAX_RUN_DAYS = 31
 
 # Fixed value: days before a run that its baseline covers.
 TRAILING_DAYS = 30
@@ -34,8 +33,11 @@ def parse_day(day: int | str | dt.date) -> dt.date:
         raise ValueError(f"no such day: {day!r}") from exc
 
 
-def run_range(start, end, max_days: int | None = MAX_RUN_DAYS) -> tuple[dt.date, dt.date]:
-    """Validated (first, last) day of a run. A reversed range is legal and holds no days."""
+def run_range(start, end, max_days: int | None = None) -> tuple[dt.date, dt.date]:
+    """Validated (first, last) day of a run. A reversed range is legal and holds no days.
+
+    A range is as long as asked for, unless ``max_days`` limits it.
+    """
     first, last = parse_day(start), parse_day(end)
     if max_days is not None and (last - first).days + 1 > max_days:
         raise ValueError(f"{first}..{last} is longer than the allowed {max_days} days")

@@ -17,7 +17,8 @@ OVER_15 = "GreaterThan15Percent"
 # Category of a day that has no baseline to compare with.
 NO_BASELINE = "noBaseline"
 
-_ID_BITS = 30
+# An id holds the second a run started, the check, and the row's number.
+_ROW_BITS, _CHECK_BITS = 30, 2
 
 
 def improper_percent(improper: Column, total: Column) -> Column:
@@ -34,9 +35,8 @@ def rounded_percent(improper: Column, total: Column) -> Column:
 
 def percent_difference(value: Column, baseline: Column) -> Column:
     """Difference from the baseline in percent, cut toward zero; NULL without a baseline."""
-    return F.when(
-        baseline > 0, ((value - baseline) / baseline * F.lit(100.0)).cast("int")
-    )
+    percent = (value - baseline) / baseline * F.lit(100.0)
+    return F.when(baseline > 0, F.when(percent < 0, F.ceil(percent)).otherwise(F.floor(percent)))
 
 
 def category(percent: Column) -> Column:
@@ -69,11 +69,13 @@ class Run:
     def log_time(self) -> int:
         return int(self.started.strftime("%Y%m%d%H%M%S"))
 
-    def query_id(self, row_number: Column) -> Column:
-        """Id of one result row: the run's start second, then the row's number in the run.
+    def query_id(self, row_number: Column, check: int = 0) -> Column:
+        """Id of one result row: the run's start second, the number of its check, the row's in the run.
 
-        Unlike a hash it cannot collide within a run, and a later run always has
-        the larger id, which settles "latest" between runs of one log date.
+        Unlike a hash it cannot collide, also between checks that share a log, and a later run
+        always has the larger id, which settles "latest" between runs of one log date.
         """
-        seconds = int(self.started.timestamp())
-        return F.lit(seconds << _ID_BITS) + row_number.cast("long")
+        if not 0 <= check < 1 << _CHECK_BITS:
+            raise ValueError(f"no such check number: {check}")
+        prefix = int(self.started.timestamp()) << _CHECK_BITS | check
+        return F.lit(prefix << _ROW_BITS) + row_number.cast("long")

@@ -6,6 +6,7 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from plumbline import schemas, sinks
 from plumbline.functions.metrics import Run
@@ -16,6 +17,7 @@ from plumbline.plans import schema_check as sc
 from plumbline.plans.consistency import column_consistency, total_consistency
 from plumbline.plans.duplicates import duplicate_check
 from plumbline.plans.quality import column_quality
+from plumbline.session import materialise
 from plumbline.sources.rules import HIGH, PRIORITY_RANK, read_rules
 from plumbline.sources.tables import read_rows
 
@@ -41,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--results", default="validation_framework", help="database of the result tables")
         job.add_argument("--delimiter", default="^")
         job.add_argument("--no-header", action="store_true")
+        job.add_argument("--max-days", type=int, help="refuse longer ranges; any length by default")
         if name in ("quality", "column-consistency"):
             job.add_argument("--threshold", default=HIGH, choices=list(PRIORITY_RANK))
         if name.endswith("consistency"):
@@ -67,6 +70,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--columns", required=True, help="comma list")
     job.add_argument("--day", help="day column of the pattern")
     job.add_argument("--like", help="pattern such as 2018%%")
+    job.add_argument("--results", help="Parquet path (with a slash) or table that all groups are appended to")
+    job.add_argument("--show", type=int, help="groups to print, differences first; all by default")
     return top
 
 
@@ -90,20 +95,26 @@ def main(argv: Sequence[str] | None = None) -> None:
             spark, args.input, args.output, partitions, load_column=args.load_column,
             name_filter=args.filter, compact=not args.no_compact,
         )
-        short = merge.reconcile_merge(
-            merge.read_loads(spark, args.input, args.filter),
-            merge.read_loads(spark, args.output, args.filter),
-            partitions, load_column=args.load_column,
-        ).where("NOT complete")
-        if not short.isEmpty():
-            short.show(truncate=False)
-            raise SystemExit("the merge does not hold the rows of every leaf above")
+        short = materialise(merge.reconcile_leaves(
+            spark, args.input, args.output, partitions, load_column=args.load_column,
+            name_filter=args.filter,
+        ).where("NOT complete"), "short-leaves")
+        leaves = short.count()
+        if leaves:
+            short.orderBy(*partitions).show(leaves, truncate=False)
+            raise SystemExit(f"the merge does not hold the rows of the {leaves} leaves above")
     else:
         compared = compare_counts(
             read_rows(spark, args.left), read_rows(spark, args.right), names(args.columns),
             day=args.day, like=args.like,
         )
-        compared.orderBy(*names(args.columns)).show(100, truncate=False)
+        compared = materialise(compared, "compared")
+        if args.results:
+            sinks.append(compared, args.results)
+        groups, differing = compared.count(), compared.where("difference <> 0").count()
+        print(f"{groups} groups, {differing} of them differ")
+        shown = groups if args.show is None else args.show
+        compared.orderBy(F.col("difference") == 0, *names(args.columns)).show(shown, truncate=False)
 
 
 def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -111,7 +122,7 @@ def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
     results = f"{args.results}.{table}"
     sinks.create_result_tables(spark, args.results)
     rules = read_rules(spark, args.rules, layout, args.delimiter, not args.no_header)
-    options = {}
+    options = {"max_days": args.max_days}
     if args.job in ("quality", "column-consistency"):
         options["threshold"] = args.threshold
     if args.job.endswith("consistency"):

@@ -75,7 +75,7 @@ def logged_counts(history: DataFrame, windows: Sequence[tuple[Column, Column]],
 
 
 def run_baseline(counts: DataFrame) -> DataFrame:
-    """One baseline per rule: the average of its counts. Absent days are skipped."""
+    """One baseline per rule: the average of the days it has counts of."""
     return counts.groupBy("rule").agg(F.avg("n").alias("baseline"))
 
 

@@ -27,7 +27,7 @@ from plumbline.functions.values import identifier, improper_sql
 
 DAY = "partitionDate"
 
-# Conditional counts, or unpivoted columns, that share one scan. Beyond about 40
+# Conditional counts, or columns, that share one scan. Beyond about 40
 # the generated row loop passes 8,000 bytecodes, where the JVM stops compiling it.
 COUNTERS_PER_PASS = 24
 COLUMNS_PER_PASS = 24
@@ -102,27 +102,6 @@ def improper_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
     )
 
 
-def improper_counts_unpivoted(rows: DataFrame, day: Column, segments: Sequence[Segment],
-                              counters: Sequence[tuple[str, int]]) -> DataFrame:
-    """The same counts in long form: one row per value, then one narrow aggregate.
-
-    Its plan does not grow with the counters, but every row is copied per
-    counter before it is counted. Kept for rule sets too wide for the other form.
-    """
-    types = {c: rows.schema[_field(rows, c)].dataType for c, _ in counters}
-    tests = [improper_sql(column, types[column], length) for column, length in counters]
-    cells = ", ".join(f"{i}, _b{i}" for i in range(len(counters)))
-    names = _word_names(segments)
-    tagged = _in_segments(rows, day, segments, [f"{t} AS _b{i}" for i, t in enumerate(tests)])
-    flagged = tagged.selectExpr(DAY, *names, f"stack({len(counters)}, {cells}) AS (counter, bad)")
-    counted = flagged.groupBy(DAY, *names, "counter").agg(
-        F.count_if("bad").alias("improper"), F.count("*").alias("total")
-    )
-    return _per_segment(counted, segments).groupBy(DAY, "segment", "counter").agg(
-        F.sum("improper").alias("improper"), F.sum("total").alias("total")
-    )
-
-
 def row_counts(rows: DataFrame, day: Column, segments: Sequence[Segment]) -> DataFrame:
     """Rows per (day, segment). Days without rows are absent."""
     counted = (
@@ -180,7 +159,8 @@ def duplicate_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
     A key is duplicated when the having column is present in more than one of
     its rows; ``having`` in the result is the position of that column. NULL key
     parts group together. Rows that no having column could count are dropped at
-    the scan, and hot keys are pre-counted before the one wide shuffle.
+    the scan. Keys are counted per membership pattern first, so that only counted
+    keys, not rows, are repeated for overlapping segments.
     """
     key_names = [f"_k{i}" for i in range(len(keys))]
     present = [f"{identifier(h)} IS NOT NULL" for h in having]
@@ -189,9 +169,12 @@ def duplicate_counts(rows: DataFrame, day: Column, segments: Sequence[Segment],
         [f"{identifier(k)} AS {n}" for k, n in zip(keys, key_names)]
         + [f"{p} AS _h{i}" for i, p in enumerate(present)],
     )
-    counted = _per_segment(tagged, segments).groupBy(DAY, "segment", *key_names).agg(
+    met = tagged.groupBy(DAY, *_word_names(segments), *key_names).agg(
         *[F.expr(f"count_if(_h{i}) AS _h{i}") for i in range(len(having))]
     )
+    counted = _per_segment(met, segments).groupBy(DAY, "segment", *key_names).agg(
+        *[F.expr(f"sum(_h{i}) AS _h{i}") for i in range(len(having))]
+    )
     groups = counted.groupBy(DAY, "segment").agg(
         *[F.expr(f"count_if(_h{i} > 1) AS _n{i}") for i in range(len(having))]
     )

@@ -19,6 +19,9 @@ from plumbline.session import local_frame
 from plumbline.sources.rules import Rule, require_columns
 from plumbline.sources.tables import Source
 
+# The checks that write to one query log; a check's place is part of its query ids.
+SCENARIOS = ("ColumnQuality", "ColumnConsistencyCheck", "TotalConsistencyCheck", "DuplicateCheck")
+
 _LABELS = (
     "environment string, databaseName string, tableName string, "
     "viewMode string, businessLine string, viewType string"
@@ -120,12 +123,12 @@ def scaffold(rules: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     return rules.withColumn(DAY, F.explode(F.transform(day_sequence(lo, hi), day_of)))
 
 
-def finish(frame: DataFrame, run: Run, first: dt.date, last: dt.date) -> DataFrame:
+def finish(frame: DataFrame, run: Run, first: dt.date, last: dt.date, scenario: str) -> DataFrame:
     """Add the query id, the query text and the log date to result rows."""
     day_number = F.datediff(F.to_date(F.col(DAY).cast("string"), "yyyyMMdd"), F.lit(first))
     row_number = F.col("rule").cast("long") * ((last - first).days + 1) + day_number
     return (
-        frame.withColumn("queryid", run.query_id(row_number))
+        frame.withColumn("queryid", run.query_id(row_number, SCENARIOS.index(scenario)))
         .withColumn("query", F.concat("_head", F.col(DAY).cast("string"), "_tail"))
         .withColumn("logdate", F.lit(run.log_date))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import schemas
-from plumbline.functions.dates import MAX_RUN_DAYS, column_windows, run_range, total_windows
+from plumbline.functions.dates import column_windows, day_of, day_sequence, run_range, total_windows
 from plumbline.functions.metrics import Run, drift_category, percent_difference
 from plumbline.operators.history import (
     ANCHORS,
@@ -36,11 +36,11 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
                        anchor: str = FROM_RUN,
                        source: Source | None = None, catalog: Catalog = KNOWN_TABLES,
                        threshold: str = HIGH, run: Run | None = None,
-                       max_days: int | None = MAX_RUN_DAYS) -> CheckResult:
+                       max_days: int | None = None) -> CheckResult:
     """Distinct values per rule and day against their average over the 30 days before the run.
 
     ``history`` is the table of earlier results of this check; without it the
-    baseline is measured from the source itself. With ``anchor="day"`` every day
+    baseline is measured from the source itself, where a day without rows counts 0. With ``anchor="day"`` every day
     looks back from itself, as if it had been a run of its own. A rule without a
     priority counts as low.
     """
@@ -89,24 +89,24 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
         earlier = [logged_counts(normalised(history, catalog), windows, match, baseline)]
         counts = _of_rules(ruled, earlier, match)
     else:
-        counts = _of_rules(ruled, earlier, keys)
+        counts = _every_day(_of_rules(ruled, earlier, keys), ruled, windows)
     frame = _with_baseline(
         scaffold(ruled, first, last), counted, keys, counts, anchor, baseline, False,
         "columnConsistencyPercentDiff",
     )
-    return CheckResult(finish(frame, run, first, last), schemas.COLUMN_CONSISTENCY, COLUMN_SCENARIO)
+    return CheckResult(finish(frame, run, first, last, COLUMN_SCENARIO), schemas.COLUMN_CONSISTENCY, COLUMN_SCENARIO)
 
 
 def total_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
                       history: DataFrame | None = None, baseline: str = PER_DAY,
                       anchor: str = FROM_RUN,
                       source: Source | None = None, catalog: Catalog = KNOWN_TABLES,
-                      run: Run | None = None, max_days: int | None = MAX_RUN_DAYS) -> CheckResult:
+                      run: Run | None = None, max_days: int | None = None) -> CheckResult:
     """Rows per rule and day against the average of the 30 days before the run and of
     the same month one year earlier.
 
     ``history`` is the table of earlier results of this check; without it the
-    baseline is measured from the source itself. With ``anchor="day"`` every day
+    baseline is measured from the source itself, where a day without rows counts 0. With ``anchor="day"`` every day
     looks back from itself, as if it had been a run of its own.
     """
     run = run or Run()
@@ -132,12 +132,12 @@ def total_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
         earlier = [logged_counts(normalised(history, catalog), windows, MATCH_KEYS, baseline)]
         counts = _of_rules(ruled, earlier, list(MATCH_KEYS))
     else:
-        counts = _of_rules(ruled, earlier, keys)
+        counts = _every_day(_of_rules(ruled, earlier, keys), ruled, windows)
     frame = _with_baseline(
         scaffold(ruled, first, last), counted, keys, counts, anchor, baseline, True,
         "totalConsistencyPercentDiff",
     )
-    return CheckResult(finish(frame, run, first, last), schemas.TOTAL_CONSISTENCY, TOTAL_SCENARIO)
+    return CheckResult(finish(frame, run, first, last, TOTAL_SCENARIO), schemas.TOTAL_CONSISTENCY, TOTAL_SCENARIO)
 
 
 def _of_rules(ruled: DataFrame, earlier: list[DataFrame], keys: list[str]) -> DataFrame | None:
@@ -150,6 +150,19 @@ def _of_rules(ruled: DataFrame, earlier: list[DataFrame], keys: list[str]) -> Da
     return counts.join(rules, same).select("rule", DAY, "n")
 
 
+def _every_day(counts: DataFrame | None, ruled: DataFrame, windows) -> DataFrame | None:
+    """Measured counts with 0 for the days of the windows that hold no rows.
+
+    A stored run logs such days as well, so that a baseline measured from the
+    source is the one its log would have given.
+    """
+    if counts is None:
+        return None
+    days = F.array_distinct(F.flatten(F.array(*[day_sequence(a, b) for a, b in windows])))
+    every = ruled.select("rule", F.explode(F.transform(days, day_of)).alias(DAY))
+    return every.join(counts, ["rule", DAY], "left").fillna(0, ["n"])
+
+
 def _with_baseline(frame: DataFrame, counted: list[DataFrame], keys: list[str],
                    earlier: DataFrame | None, anchor: str, mode: str, year_ago: bool,
                    difference: str) -> DataFrame:

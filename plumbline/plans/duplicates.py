@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import schemas
-from plumbline.functions.dates import MAX_RUN_DAYS, run_range
+from plumbline.functions.dates import run_range
 from plumbline.functions.metrics import Run
 from plumbline.operators.measures import DAY, duplicate_counts
 from plumbline.plans.common import CheckResult, by_table, finish, rule_rows, span
@@ -25,7 +25,7 @@ def split_keys(listed: str) -> tuple[str, ...]:
 
 def duplicate_check(spark: SparkSession, rules: DataFrame, start, end, *,
                     source: Source | None = None, catalog: Catalog = KNOWN_TABLES,
-                    run: Run | None = None, max_days: int | None = MAX_RUN_DAYS) -> CheckResult:
+                    run: Run | None = None, max_days: int | None = None) -> CheckResult:
     """Number of duplicated keys per rule and day; days without duplicates give no row.
 
     Rules with the same key list share one aggregation of the table, whatever
@@ -75,4 +75,4 @@ def duplicate_check(spark: SparkSession, rules: DataFrame, start, end, *,
     else:
         frame = ruled.withColumns({DAY: F.lit(0), "n": F.lit(0).cast("long")}).where(F.lit(False))
     frame = frame.withColumnRenamed("n", "duplicateCount")
-    return CheckResult(finish(frame, run, first, last), schemas.DUPLICATE_CHECK, SCENARIO)
+    return CheckResult(finish(frame, run, first, last, SCENARIO), schemas.DUPLICATE_CHECK, SCENARIO)

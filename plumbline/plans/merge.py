@@ -4,46 +4,105 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.operators.counts import compare_counts
+from plumbline.operators.footers import location_schemas
 from plumbline.session import metadata_session, session_with
-from plumbline.sources.tree import first_level_pattern
+from plumbline.sources.tree import escaped, first_level_pattern, partition_locations
 
 # The load column and the constant load of merged rows.
 LOAD_COLUMN = "load_dt"
 MERGED_LOAD = "99999999"
 
 
+def _text_partitions(spark: SparkSession) -> SparkSession:
+    """Number-like partition values would otherwise lose leading zeros on their way through."""
+    return session_with(spark, spark__sql__sources__partitionColumnTypeInference__enabled="false")
+
+
 def read_loads(spark: SparkSession, path: str, name_filter: str = "") -> DataFrame:
     """All rows of a partition tree, with partition values as text.
 
-    Number-like partition values would otherwise lose leading zeros on their way
-    through. Columns that only some partitions have are kept and NULL elsewhere.
+    Columns that only some partitions have are kept and NULL elsewhere.
     """
-    session = session_with(
-        spark, spark__sql__sources__partitionColumnTypeInference__enabled="false"
-    )
-    reader = session.read.option("basePath", path).option("mergeSchema", "true")
+    reader = _text_partitions(spark).read.option("basePath", path).option("mergeSchema", "true")
     return reader.parquet(first_level_pattern(path, name_filter))
 
 
+def read_leaves(spark: SparkSession, path: str, leaves: Sequence[str],
+                partition_columns: Sequence[str]) -> DataFrame:
+    """All rows of some leaves of a partition tree, with all columns of their loads.
+
+    Partition columns are text by declaration: of leaves that all lack a value, no reader could tell.
+    """
+    patterns = [escaped(leaf) for leaf in leaves]
+    options = {"mergeSchema": "true", "recursiveFileLookup": "true"}
+    columns = spark.read.options(**options).parquet(*patterns).schema
+    named = {name.lower() for name in partition_columns}
+    schema = T.StructType(
+        [field for field in columns.fields if field.name.lower() not in named]
+        + [T.StructField(name, T.StringType()) for name in partition_columns]
+    )
+    return spark.read.schema(schema).option("basePath", path).parquet(*patterns)
+
+
+def leaves_by_schema(spark: SparkSession, path: str, depth: int, name_filter: str = "") -> list[list[str]]:
+    """Paths of the leaves ``depth`` levels down, those whose loads have the same schemas together.
+
+    Schemas come from the footer of each load's first file. The paths come to the
+    driver, as they do for any read of a partition tree.
+    """
+    loads = partition_locations(spark, path, depth + 1, name_filter, skipped_marks=())
+    found = location_schemas(loads).select(
+        F.regexp_extract("location", "^(.*)/[^/]*/$", 1).alias("leaf"), F.to_json("fields").alias("fields")
+    )
+    schemas = found.groupBy("leaf").agg(
+        F.sort_array(F.collect_set(F.coalesce("fields", F.lit("unreadable")))).alias("schemas")
+    )
+    groups = schemas.groupBy("schemas").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
+    return sorted(row["leaves"] for row in groups.select("leaves").collect())
+
+
 def merge_loads(spark: SparkSession, input_path: str, output_path: str,
                 partition_columns: Sequence[str], *, load_column: str = LOAD_COLUMN,
                 merged_load: str = MERGED_LOAD, name_filter: str = "",
                 compact: bool = True) -> None:
     """Write every leaf's loads under ``input_path`` as one merged partition of ``output_path``.
 
+    Leaves whose loads have the same schemas are written by one job, so that leaves may differ
+    in columns and types, and none gets a column that its loads lack. Loads of one leaf that cannot
+    be read together are an error, which is raised after all other leaves are merged.
+
     Rows merged by an earlier run are not read again, so a re-run gives the same
     result, also when both paths are the same. Only the merged partitions
-    written here are replaced, when the whole job commits.
+    written here are replaced, when the job that writes them commits.
 
     With ``compact`` rows are rebalanced by leaf first: small loads end in few
     files, and a leaf that holds much of the data is split over many tasks.
     Without it nothing is shuffled, and each task writes the leaves it read.
     """
-    rows = read_loads(spark, input_path, name_filter)
+    failed: list[str] = []
+    for leaves in leaves_by_schema(spark, input_path, len(partition_columns), name_filter):
+        try:
+            _merge_leaves(
+                read_leaves(spark, input_path, leaves, [*partition_columns, load_column]),
+                output_path, partition_columns, load_column, merged_load, compact,
+            )
+        except (PySparkException, Py4JError) as exc:
+            if "CANNOT_MERGE_SCHEMAS" not in str(exc):
+                raise
+            failed += leaves
+    if failed:
+        raise ValueError(f"the loads of these leaves have schemas that exclude each other: {failed}")
+
+
+def _merge_leaves(rows: DataFrame, output_path: str, partition_columns: Sequence[str], load_column: str,
+                  merged_load: str, compact: bool) -> None:
     # NULL loads (the default partition) are loads like any other.
     rows = rows.where(~F.col(load_column).eqNullSafe(F.lit(merged_load)))
     rows = rows.drop(load_column).withColumn(load_column, F.lit(merged_load))
@@ -64,6 +123,26 @@ def written_files(spark: SparkSession, path: str, name_filter: str = "") -> Data
     ).groupBy("file", "bytes").agg(F.count("*").alias("rows"))
 
 
+def _leaf_loads(spark: SparkSession, path: str, name_filter: str) -> DataFrame:
+    """Partition values of every row, as text, without a look at any column or schema but the first file's."""
+    reader = _text_partitions(spark).read.option("basePath", path)
+    return reader.parquet(first_level_pattern(path, name_filter))
+
+
+def reconcile_leaves(spark: SparkSession, input_path: str, output_path: str,
+                     partition_columns: Sequence[str], *, load_column: str = LOAD_COLUMN,
+                     merged_load: str = MERGED_LOAD, name_filter: str = "") -> DataFrame:
+    """Rows per leaf before and after a merge, of the leaves that have loads in the input.
+
+    What the output holds of other leaves is none of this merge's business.
+    """
+    found = reconcile_merge(
+        _leaf_loads(spark, input_path, name_filter), _leaf_loads(spark, output_path, name_filter),
+        partition_columns, load_column=load_column, merged_load=merged_load,
+    )
+    return found.where("load_rows > 0")
+
+
 def reconcile_merge(loads: DataFrame, merged: DataFrame, partition_columns: Sequence[str], *,
                     load_column: str = LOAD_COLUMN, merged_load: str = MERGED_LOAD) -> DataFrame:
     """Rows per leaf before and after a merge, and whether they agree.

@@ -8,25 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import schemas
-from plumbline.functions.dates import MAX_RUN_DAYS, run_range
+from plumbline.functions.dates import run_range
 from plumbline.functions.metrics import Run, category, improper_percent, rounded_percent
 from plumbline.functions.values import improper_text
-from plumbline.operators.measures import DAY, improper_counts, improper_counts_unpivoted
+from plumbline.operators.measures import DAY, improper_counts
 from plumbline.plans.common import CheckResult, by_table, finish, rule_rows, scaffold, span
 from plumbline.sources.rules import DEFAULT_MIN_LENGTH, HIGH, bind, passes_gate
 from plumbline.sources.tables import KNOWN_TABLES, Catalog, Source, metastore
 
 SCENARIO = "ColumnQuality"
 
-# Measuring forms; see operators.measures.
-CONDITIONAL = "conditional"
-UNPIVOTED = "unpivoted"
-
 
 def column_quality(spark: SparkSession, rules: DataFrame, start, end, *,
                    source: Source | None = None, catalog: Catalog = KNOWN_TABLES,
                    threshold: str = HIGH, run: Run | None = None,
-                   form: str = CONDITIONAL, max_days: int | None = MAX_RUN_DAYS) -> CheckResult:
+                   max_days: int | None = None) -> CheckResult:
     """Check every rule on every day from ``start`` to ``end``.
 
     Rules under the priority threshold are left out; one without a priority
@@ -46,8 +42,7 @@ def column_quality(spark: SparkSession, rules: DataFrame, start, end, *,
         counters = list(dict.fromkeys(
             (r.target["dataQualityColumn"].lower(), r.target["columnLength"]) for r in table.rules
         ))
-        measure = improper_counts if form == CONDITIONAL else improper_counts_unpivoted
-        counts = measure(table.within(span(first, last)), table.day, table.segments, counters)
+        counts = improper_counts(table.within(span(first, last)), table.day, table.segments, counters)
         measured.append(counts.withColumn("source", F.lit(number)))
         for rule in table.rules:
             column, length = rule.target["dataQualityColumn"], rule.target["columnLength"]
@@ -77,4 +72,4 @@ def column_quality(spark: SparkSession, rules: DataFrame, start, end, *,
         "improperColumnPercent": rounded_percent(bad, total),
         "category": category(improper_percent(bad, total)),
     })
-    return CheckResult(finish(frame, run, first, last), schemas.COLUMN_QUALITY, SCENARIO)
+    return CheckResult(finish(frame, run, first, last, SCENARIO), schemas.COLUMN_QUALITY, SCENARIO)

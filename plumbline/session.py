@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -12,8 +15,6 @@ from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-_local_scratch: dict[str, str] = {}
-
 
 def local_frame(spark: SparkSession, rows: list[dict], schema: str | StructType) -> DataFrame:
     """Driver-side configuration rows as a relation of known size.
@@ -32,8 +33,10 @@ def session_with(spark: SparkSession, **settings: str) -> SparkSession:
     The given session is left as it is. Setting names use ``__`` for dots.
     """
     session = spark.newSession()
+    fresh = session.conf.getAll
     for key, value in spark.conf.getAll.items():
-        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+        # Settings that neither session can change are the application's and already equal.
+        if fresh.get(key) != value and (spark.conf.isModifiable(key) or not key.startswith("spark.")):
             session.conf.set(key, value)
     for key, value in settings.items():
         session.conf.set(key.replace("__", "."), value)
@@ -52,16 +55,35 @@ def metadata_session(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting may use a temporary folder.
+    Only a session in one process without that setting may use a temporary folder,
+    which lasts as long as the process.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+        master = spark.conf.get("spark.master", "") or ""
+        if master != "local" and not master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        root = _local_scratch.setdefault("root", tempfile.mkdtemp(prefix="plumbline-"))
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="plumbline-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
+def discard(frame: DataFrame) -> None:
+    """Delete the copy behind a materialised frame, which cannot be read afterwards."""
+    spark = frame.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folders = {file.rsplit("/", 1)[0] for file in frame.inputFiles()}
+    for folder in folders:
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def materialise(frame: DataFrame, purpose: str) -> DataFrame:
     """Compute a frame once and read it back, so that several consumers share one evaluation.
 

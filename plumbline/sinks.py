@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.plans.common import CheckResult
 from plumbline.schemas import QUERY_LOG, RESULT_TABLES
-from plumbline.session import materialise
+from plumbline.session import discard, materialise
 
 
 def create_result_tables(spark: SparkSession, database: str) -> None:
@@ -38,12 +38,16 @@ def store(check: CheckResult, results: str, query_log: str | None = None) -> Non
     """Append a check's rows to its result table and its queries to the query log.
 
     The check is computed once, before either write, so a check that reads its
-    own result table as history never sees rows of the same run.
+    own result table as history never sees rows of the same run. The log is written
+    first: the results of a run that failed in between are then missing, never unlogged.
+    The computed copy is deleted once both are written.
     """
-    once = CheckResult(materialise(check.frame, "check"), check.schema, check.scenario)
-    append(once.metrics, results, "partitionDate")
+    frame = materialise(check.frame, "check")
+    once = CheckResult(frame, check.schema, check.scenario)
     if query_log:
         append(once.query_log.to(QUERY_LOG), query_log)
+    append(once.metrics, results, "partitionDate")
+    discard(frame)
 
 
 def store_schema_check(checked: DataFrame, results: str) -> None:

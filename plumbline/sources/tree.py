@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +13,14 @@ from plumbline.session import metadata_session
 # Path texts that mark entries no check should look at.
 SKIPPED_MARKS = ("HIVE_DEFAULT_PARTITION", "_SUCCESS")
 
-MAX_DEPTH = 5
-
 _GLOB_SPECIALS = "\\*?[]{}"
 
 
+def escaped(path: str) -> str:
+    """A path pattern for just this path."""
+    return "".join("\\" + c if c in _GLOB_SPECIALS else c for c in path)
+
+
 def first_level_pattern(root: str, name_filter: str) -> str:
     """A path pattern for the first-level directories a filter can match.
 
@@ -24,8 +29,7 @@ def first_level_pattern(root: str, name_filter: str) -> str:
     root = root.rstrip("/")
     if not name_filter or "/" in name_filter or name_filter in root:
         return root
-    escaped = "".join("\\" + c if c in _GLOB_SPECIALS else c for c in name_filter)
-    return f"{root}/*{escaped}*"
+    return f"{root}/*{escaped(name_filter)}*"
 
 
 def list_files(spark: SparkSession, root: str, name_filter: str = "") -> DataFrame:
@@ -60,21 +64,21 @@ def list_files(spark: SparkSession, root: str, name_filter: str = "") -> DataFra
     return files
 
 
-def partition_locations(spark: SparkSession, root: str, depth: int,
-                        name_filter: str = "") -> DataFrame:
+def partition_locations(spark: SparkSession, root: str, depth: int, name_filter: str = "",
+                        skipped_marks: Sequence[str] = SKIPPED_MARKS) -> DataFrame:
     """Files with the location they belong to at ``depth`` levels under ``root``.
 
     Columns: location (ends with ``/``), path, rest (the path below the
     location; empty when the location is the file itself). Files above that
-    depth belong to none. Depths outside 1-5 hold no locations.
+    depth belong to none. A depth below 1 is an error.
     """
+    if depth < 1:
+        raise ValueError(f"a location lies at least one level down, not {depth}")
     files = list_files(spark, root, name_filter)
     parts = F.split("relative", "/")
-    if not 1 <= depth <= MAX_DEPTH:
-        files = files.where(F.lit(False))
     located = files.where(F.size(parts) >= depth).select(
         "path",
-        F.array_join(F.slice(parts, depth + 1, MAX_DEPTH * 100), "/").alias("rest"),
+        F.array_join(F.slice(parts, F.lit(depth + 1), F.size(parts)), "/").alias("rest"),
     ).select(
         F.when(F.col("rest") == "", F.col("path"))
         .otherwise(F.expr("substring(path, 1, length(path) - length(rest) - 1)"))
@@ -83,6 +87,6 @@ def partition_locations(spark: SparkSession, root: str, depth: int,
         "rest",
     )
     located = located.withColumn("location", F.concat("location", F.lit("/")))
-    for mark in SKIPPED_MARKS:
+    for mark in skipped_marks:
         located = located.where(~F.col("location").contains(mark))
     return located

@@ -80,6 +80,33 @@ def test_a_short_merge_fails(spark, tmp_path, monkeypatch, capsys):
         "day", "load_dt").parquet(tree)
     from plumbline.plans import merge
 
+    # Older leaves whose loads are gone are none of this merge's business.
+    spark.range(3).selectExpr("id", "0 AS day", "'99999999' AS load_dt").write.mode("append").partitionBy(
+        "day", "load_dt").parquet(out)
+    main(["merge", tree, out, "--partitions", "day"])
+    spark.range(5).selectExpr("id", "1 AS day", "'3' AS load_dt").write.mode("append").partitionBy(
+        "day", "load_dt").parquet(tree)
     monkeypatch.setattr(merge, "merge_loads", lambda *a, **k: None)
     with pytest.raises(SystemExit, match="does not hold"):
         main(["merge", tree, out, "--partitions", "day"])
+
+
+def test_compare_stores_and_shows_every_group(spark, tmp_path, capsys):
+    left, right, out = (str(tmp_path / name) for name in ("left", "right", "out"))
+    spark.range(150).selectExpr("id AS day").write.parquet(left)
+    spark.range(149).selectExpr("id AS day").write.parquet(right)
+    main(["compare", left, right, "--columns", "day", "--results", out])
+    shown = capsys.readouterr().out
+    assert "150 groups, 1 of them differ" in shown
+    assert sum(line.startswith("|") for line in shown.splitlines()) == 151
+    assert spark.read.parquet(out).count() == 150
+
+
+def test_a_long_range_and_its_limit(spark, database, tmp_path):
+    (tmp_path / "total.txt").write_text(TOTAL + "prod^views^ev_viewing_history^SATELLITE^STB^LIVE\n")
+    job = ["total-consistency", str(tmp_path / "total.txt"), "20230101", "20230301", "--results", database]
+    with pytest.raises(ValueError, match="31 days"):
+        main([*job, "--max-days", "31"])
+    main(job)
+    stored = spark.table("outcome.TotalConsistencyCheck").where("partitionDate BETWEEN 20230101 AND 20230301")
+    assert stored.count() == 60

@@ -139,12 +139,17 @@ def test_paths(spark, root):
     assert found(2, "2018") == ["d=2018/b=x/", "d=2018/b=y/"]
     assert found(3) == ["d=2018/b=x/l=1/", "d=2018/b=y/l=2/", "d=2019/b=2018/l=1/"]
     assert found(2, "d=2019/") == ["d=2019/b=2018/"]
-    assert found(1, "nothing") == found(0) == found(6) == []
+    assert found(1, "nothing") == found(6) == []
+    with pytest.raises(ValueError, match="one level"):
+        found(0)
+    write(spark, f"{root}/d=2020/a=1/b=2/c=3/e=4/f=5/g=6", "id")
+    assert found(7) == ["d=2020/a=1/b=2/c=3/e=4/f=5/g=6/"]
+    assert found(6)[0] == "d=2020/a=1/b=2/c=3/e=4/f=5/"
     # It is tested on the whole path, so a filter the base holds lets everything pass.
     assert found(1, "table") == found(1)
     assert found(1, "2018", "file:" + root + "/") == ["d=2018/"]
     # Files above the depth belong to no location.
-    assert found(5) == []
+    assert found(9) == []
 
 
 TREE = [
@@ -221,6 +226,34 @@ def test_columns_of_some_loads_are_kept(spark, root, tmp_path):
     assert got.where("later IS NULL").count() == got.where("later = id * 2").count() == 4
 
 
+def test_leaves_keep_their_own_schemas(spark, root, tmp_path):
+    write(spark, f"{root}/day=1/load_dt=1", "id", "id AS x")
+    write(spark, f"{root}/day=2/load_dt=1", "id", "CAST(id AS int) AS x")
+    write(spark, f"{root}/day=3/load_dt=1", "id", "CAST(id AS string) AS x", "id AS own")
+    write(spark, f"{root}/day=__HIVE_DEFAULT_PARTITION__/load_dt=1", "id")
+    out = str(tmp_path / "out")
+    merge.merge_loads(spark, root, out, ["day"])
+
+    def merged(day):
+        return spark.read.parquet(f"{out}/day={day}/load_dt=99999999").dtypes
+
+    assert merged(1) == [("id", "bigint"), ("x", "bigint")]
+    assert merged(2) == [("id", "bigint"), ("x", "int")]
+    assert merged(3) == [("id", "bigint"), ("x", "string"), ("own", "bigint")]
+    assert merged("__HIVE_DEFAULT_PARTITION__") == [("id", "bigint")]
+    assert merge.reconcile_leaves(spark, root, out, ["day"]).where("complete").count() == 4
+
+
+def test_loads_that_exclude_each_other_stop_only_their_leaf(spark, root, tmp_path):
+    write(spark, f"{root}/day=1/load_dt=1", "id")
+    write(spark, f"{root}/day=2/load_dt=1", "id", "id AS x")
+    write(spark, f"{root}/day=2/load_dt=2", "id", "CAST(id AS string) AS x")
+    out = str(tmp_path / "out")
+    with pytest.raises(ValueError, match="day=2"):
+        merge.merge_loads(spark, root, out, ["day"])
+    assert spark.read.parquet(out).select("day").distinct().count() == 1
+
+
 def test_a_hot_leaf_is_written_by_many_tasks(spark, root, tmp_path):
     rows = spark.range(200000).select(
         "id", F.sha2(F.col("id").cast("string"), 256).alias("text"),

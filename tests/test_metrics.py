@@ -72,6 +72,22 @@ def test_later_runs_have_larger_ids(spark):
     assert (early.log_date, early.log_time, late.log_time) == (20240201, 20240201060000, 20240201180000)
 
 
+def test_checks_that_share_a_log_have_their_own_ids(spark, run):
+    rows = spark.range(1000)
+    ids = [{r[0] for r in rows.select(run.query_id(F.col("id"), check)).collect()} for check in range(4)]
+    assert len(set().union(*ids)) == 4000
+    later = m.Run(run.started + dt.timedelta(seconds=1))
+    assert max(set().union(*ids)) < rows.select(F.min(later.query_id(F.col("id")))).head()[0]
+    with pytest.raises(ValueError):
+        run.query_id(F.col("id"), 4)
+
+
+def test_differences_of_any_size(spark):
+    rows = spark.createDataFrame([(25_000_000, 1.0), (10**12, 0.5), (0, 1e9), (1, 3.0), (5, 0.0), (5, None)], "n long, b double")
+    got = [r[0] for r in rows.select(m.percent_difference(F.col("n"), F.col("b"))).collect()]
+    assert got == [2_499_999_900, 199_999_999_999_900, -100, -66, None, None]
+
+
 def test_one_log_date_per_run(run):
     with pytest.raises(AttributeError):
         run.started = dt.datetime.now()
