@@ -176,7 +176,7 @@ def test_passes_are_even():
 
 def test_duplicates_repeat_counted_keys_not_rows(spark):
     """No row is repeated for its segments before the first aggregate."""
-    rows = spark.range(1).selectExpr(*[f"CAST(NULL AS {part.split()[1]}) AS {part.split()[0]}" for part in DDL.split(", ")])
+    rows = spark.createDataFrame([(20240101, "x", "p", "a", 1, 1.0)], DDL)
     frame = m.duplicate_counts(rows, day(), SEGMENTS, ["a"], ["b"])
     plan = frame._jdf.queryExecution().executedPlan().toString().splitlines()
     explode = max(i for i, line in enumerate(plan) if "Generate explode" in line)
