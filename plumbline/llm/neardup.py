@@ -7,11 +7,15 @@ tables are all pairs of one key from either collection, so ``keys`` x ``keys`` t
 
 Texts with equal sets are one class from the start. Classes that share a table are candidates, but
 pairs within a table are not all formed: first every class is compared with the smallest and the
-largest of each of its tables, and then only classes that lie in different components so far.
+largest of each of its tables, and then only classes that lie in different components so far. Most
+of those are ruled out by the parities of their shingles' counts in a fixed number of buckets: sets
+differ in at least as many shingles as parities.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from plumbline.llm.components import components
 from plumbline.llm.words import Words, distinct, mixed, shingles, slices, words_of
@@ -28,6 +31,7 @@ from plumbline.session import materialise
 HASHES, KEYS = 2, 10
 #: Bits of the table that tells most documents without candidates apart; its size never changes.
 FILTER_BITS = 1 << 22
+PARITY_WORDS = 16
 
 
 def _sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,13 +62,24 @@ def _minhash_keys(values: np.ndarray, starts: np.ndarray, hashes: int, keys: int
     return found
 
 
+def _parities(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """(sets, PARITY_WORDS): whether the shingles in each of 64 buckets a word are odd in number."""
+    bits = mixed(values, 23)
+    word = (bits & np.uint64(PARITY_WORDS - 1)).astype(np.int64)
+    bit = np.uint64(1) << (bits >> np.uint64(58))
+    own = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(values))))
+    found = np.zeros(len(starts) * PARITY_WORDS, np.uint64)
+    np.bitwise_xor.at(found, own * PARITY_WORDS + word, bit)
+    return found.reshape(len(starts), PARITY_WORDS)
+
+
 def signatures(documents: DataFrame, shingle_words: int, hashes: int, keys: int) -> DataFrame:
-    """Of each document (id, text): size and 128-bit fingerprint of its set, and its minhash keys."""
+    """Of each document (id, text): size, 128-bit fingerprint and parities of its set, its minhash keys."""
     id_type = documents.schema["id"].dataType
     schema = T.StructType([
         T.StructField("id", id_type), T.StructField("n_shingles", T.LongType()),
         T.StructField("set_a", T.LongType()), T.StructField("set_b", T.LongType()),
-        T.StructField("left", T.ArrayType(T.LongType())), T.StructField("right", T.ArrayType(T.LongType())),
+        *[T.StructField(name, T.ArrayType(T.LongType())) for name in ("left", "right", "parity")],
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,18 +88,19 @@ def signatures(documents: DataFrame, shingle_words: int, hashes: int, keys: int)
                 n = part.num_rows
                 texts, starts, values = _sets(words_of(part.column("text")), shingle_words)
                 sizes, a, b = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-                sides = [np.zeros((0, keys), np.uint64)] * 2
+                sides = [np.zeros((0, 1), np.uint64)] * 3
                 if len(starts):
                     sizes[texts] = np.diff(np.append(starts, len(values)))
                     a[texts] = np.add.reduceat(mixed(values, 21), starts)
                     b[texts] = np.add.reduceat(mixed(values, 22), starts)
                     sides = [_minhash_keys(values, starts, hashes, keys, side) for side in (0, 1)]
-                left, right = (
-                    _lists(side.reshape(-1), np.arange(len(texts)) * keys, texts, n) for side in sides
-                )
+                    sides.append(_parities(values, starts))
+                lists = [
+                    _lists(side.reshape(-1), np.arange(len(texts)) * side.shape[1], texts, n) for side in sides
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(sizes), pa.array(a.view(np.int64)),
-                     pa.array(b.view(np.int64)), left, right],
+                     pa.array(b.view(np.int64)), *lists],
                     schema.names,
                 )
 
@@ -165,9 +181,9 @@ def near_duplicates(
     classes = materialise(classes, "classes")
     keyed = signed.where("n_shingles > 0").join(classes, fingerprint).where("id = class")
 
-    members = keyed.select("id", F.posexplode("left").alias("i", "left_key"), "right").select(
-        "id", "i", "left_key", F.posexplode("right").alias("j", "right_key")
-    ).select("id", "i", "j", F.xxhash64("left_key", "right_key").alias("key"))
+    members = keyed.select("id", F.explode("left").alias("left_key"), "right").select(
+        "id", "left_key", F.explode("right").alias("right_key")
+    ).select("id", F.xxhash64("left_key", "right_key").alias("key"))
     shared = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     members = materialise(members.join(shared, "key").distinct(), "members")
 
@@ -178,7 +194,7 @@ def near_duplicates(
     links = materialise(confirmed(stars, sets, percent), "links")
     found = components(links)
 
-    rest = _between_components(members, found, keyed)
+    rest = _between_components(members, found, keyed, percent)
     rest = rest.join(stars, ["a", "b"], "left_anti")
     more = materialise(confirmed(rest, sets, percent), "links")
     if more.limit(1).count():
@@ -195,33 +211,32 @@ def near_duplicates(
     )
 
 
-def _between_components(members: DataFrame, found: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Pairs that share a table and lie in different components, once each.
+def _between_components(members: DataFrame, found: DataFrame, keyed: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a table, lie in different components and may be linked by size and parities.
 
-    One of the two lies outside the table's largest component. So only such members are joined with
-    all members of their table, and a pair is formed only in the first table that it shares.
+    One of the two lies outside the table's largest component, so only such members are joined with all
+    members of their table.
     """
     placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "i", "j", "id", F.coalesce("component", "id").alias("component")
+        "key", "id", F.coalesce("component", "id").alias("component")
     )
     by_component = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     several = by_component.groupBy("key").agg(
         F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("n_components")
     ).where("n_components > 1").drop("n_components")
-    keys = keyed.select("id", "left", "right").dropDuplicates(["id"])
-    placed = materialise(placed.join(several, "key").join(keys, "id"), "placed")
-    strays = placed.where("component <> main").alias("x")
-    every = placed.alias("y")
-
-    def none_before(keys: str, place: str):
-        before = [F.slice(f"{side}.{keys}", F.lit(1), F.col(f"x.{place}")) for side in ("x", "y")]
-        return ~F.arrays_overlap(*before)
+    sets = keyed.select("id", F.col("n_shingles").alias("size"), "parity").dropDuplicates(["id"])
+    placed = materialise(placed.join(several, "key").join(sets, "id"), "placed")
+    x, y = placed.where("component <> main").alias("x"), placed.alias("y")
 
     different = F.col("x.component") != F.col("y.component")
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
-    pairs = strays.join(
-        every,
-        (F.col("x.key") == F.col("y.key")) & different & once
-        & none_before("left", "i") & none_before("right", "j"),
-    )
+    sizes = F.col("x.size") + F.col("y.size")
+    near = 100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")
+    odd = [
+        F.bit_count(F.get("x.parity", F.lit(i)).bitwiseXOR(F.get("y.parity", F.lit(i))))
+        for i in range(PARITY_WORDS)
+    ]
+    # |x and y| >= percent / (100 + percent) of both sizes, so they differ in no more than the rest.
+    close = (100 + percent) * functools.reduce(operator.add, odd) <= (100 - percent) * sizes
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & different & once & near & close)
     return pairs.select(*_pairs("x.id", "y.id")).distinct()
