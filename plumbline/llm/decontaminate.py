@@ -42,7 +42,7 @@ def _shingle(words: str, place: Column, size: int) -> Column:
 def _places(documents: DataFrame, sizes: list[int]) -> DataFrame:
     """(id, text_hash, words, place, shingle) of every shingle of the given sizes."""
     words = documents.select("id", F.xxhash64("text").alias("text_hash"), alphanumeric_words("text").alias("words"))
-    placed = words.select(*ROW, "words", F.posexplode("words").alias("place", "word"))
+    placed = words.select(*ROW, "words", F.posexplode_outer("words").alias("place", "word"))
     if len(sizes) == 1:
         return placed.withColumn("shingle", _shingle("words", F.col("place"), sizes[0]))
     each = F.array(*[_shingle("words", F.col("place"), size) for size in sizes])

@@ -88,8 +88,8 @@ def _template_words(spark: SparkSession, templates: tuple[Template, ...]) -> Dat
 def word_frequencies(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
     """(word, n_documents) of the vocabulary's words over all documents."""
     known = F.array(*map(F.lit, vocabulary))
-    found = documents.select(F.explode(F.array_intersect(alphanumeric_words("text"), known)).alias("word"))
-    return found.groupBy("word").agg(F.count("*").alias("n_documents"))
+    found = documents.select(F.explode_outer(F.array_intersect(alphanumeric_words("text"), known)).alias("word"))
+    return found.where("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("n_documents"))
 
 
 def _lookups(postings: DataFrame, frequencies: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
@@ -143,7 +143,7 @@ def matches(documents: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
 
     # The index has at most rare_words rows per template, and templates are a fixed list.
     placed = documents.select("id", F.xxhash64("text").alias("text_hash"), alphanumeric_words("text").alias("words"))
-    placed = placed.select("id", "text_hash", "words", F.posexplode("words").alias("at", "word"))
+    placed = placed.select("id", "text_hash", "words", F.posexplode_outer("words").alias("at", "word"))
     index = F.broadcast(lookups.withColumnRenamed("place", "ahead"))
     sizes = F.broadcast(details.select("template", F.size("template_words").alias("n")))
     start = F.col("at") - F.col("ahead")

@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ALPHANUMERIC_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Rows up to which a side of two or three short columns is broadcast.
 BROADCAST_ROWS = 200_000
@@ -22,9 +22,13 @@ def lower_ascii(text: Column) -> Column:
     )
 
 
-def alphanumeric_words(text: Column) -> Column:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text in lower case; null has none."""
-    return F.regexp_extract_all(lower_ascii(text), F.lit(ALPHANUMERIC_WORD), F.lit(0))
+def alphanumeric_words(text: Column | str) -> Column:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text in lower case; null has none.
+
+    Explode the array with an ``_outer`` function: for the others Spark adds a filter on its size,
+    which splits every text twice.
+    """
+    return F.array_remove(F.split(lower_ascii(text), _BETWEEN_WORDS), "")
 
 
 def small_side(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
