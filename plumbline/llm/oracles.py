@@ -137,7 +137,7 @@ WITH rest AS (
         count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS r
     FROM score JOIN url USING (host, path) WHERE verdict IS NOT NULL AND calibrates GROUP BY 1
 ), below AS (
-    SELECT step, (step - 0.5::DOUBLE) / {steps} AS cut, coalesce(sum(a) OVER before, 0) AS a, coalesce(sum(r) OVER before, 0) AS r,
+    SELECT step, (step + coalesce(lag(step) OVER (ORDER BY step), step - 1)) / 2.0::DOUBLE / {steps} AS cut, coalesce(sum(a) OVER before, 0) AS a, coalesce(sum(r) OVER before, 0) AS r,
         sum(a) OVER () AS all_a, sum(r) OVER () AS all_r
     FROM step WINDOW before AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), threshold AS (

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +18,27 @@ Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the Python workers, once per application, as ``--py-files`` would."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="plumbline-")), "plumbline")
+        spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", root, "plumbline"))
+        _shipped.add(application)
+
+
 def query(function: Query) -> Query:
-    _registry[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, sf_dir)
+
+    _registry[function.__name__] = shipped
+    return shipped
 
 
 def queries() -> dict[str, Query]:

@@ -107,7 +107,8 @@ def scored(urls: DataFrame, ratios: DataFrame) -> DataFrame:
 def threshold(judged: DataFrame) -> float:
     """The score from which on URLs are accepted, best by the mean of both classes' shares.
 
-    Of equally good ones that closest to 0; 0 where one class is missing. ``judged`` has (score, verdict).
+    It lies halfway between two scores that occur, of equally good places the one closest to 0; 0 where
+    one class is missing. ``judged`` has (score, verdict).
     """
     step = F.round(F.least(F.greatest("score", F.lit(-LARGEST)), F.lit(LARGEST)) * STEPS).cast("int")
     counted = judged.groupBy(step.alias("step")).agg(
@@ -118,9 +119,11 @@ def threshold(judged: DataFrame) -> float:
     if not all_accepted or not all_rejected:
         return 0.0
     best, below_accepted, below_rejected = (-1.0, 0.0, 0.0), 0, 0
+    previous = counted[0]["step"] - 1
     for row in counted:
         share = (all_accepted - below_accepted) / all_accepted + below_rejected / all_rejected
-        at = (row["step"] - 0.5) / STEPS
+        at = (row["step"] + previous) / 2 / STEPS
+        previous = row["step"]
         best = max(best, (share, -abs(at), at))
         below_accepted += row["accepted"]
         below_rejected += row["rejected"]

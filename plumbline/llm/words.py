@@ -95,6 +95,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         last = min(max(last, first + 1), batch.num_rows)
         yield batch.slice(first, last - first)
         first = last
+    pa.default_memory_pool().release_unused()  # workers live on between tasks
 
 
 def words_of(texts: pa.Array, inside: np.ndarray = SPACED, hashed: bool = True) -> Words:

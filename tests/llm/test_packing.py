@@ -1,0 +1,81 @@
+import numpy as np
+import public_tokenizers
+import pytest
+from helpers import documents
+from tokenizers import Tokenizer
+
+from plumbline.llm.packing import ID_BYTES, Packer, pack
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+TEXTS = [
+    (1, "Hello, it's a don't-know <|endoftext|> Ünïcode! 42 ... a.b.c x"), (2, None), (3, ""), (4, "word " * 9000),
+    (5, "z" * 3000), (None, "no id"), (6, "Größe und mehr é ﬁ \x1c y"), (7, "a,;. THE! the? \U0001f600\U0001f600"),
+    (8, "same"), (8, "same"), (9, "\t\n "),
+]
+
+
+def whole_ids(text):
+    return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, 2]
+
+
+@pytest.mark.parametrize("length", [64, 4096])
+def test_round_trip(spark, length):
+    rows = pack(documents(spark, TEXTS).coalesce(1), PATH, 2, length=length, open_windows=4).collect()
+    by_document, by_sequence = {}, {}
+    for row in rows:
+        ids = np.frombuffer(row["ids"], "<u4")
+        by_document.setdefault(row["doc_id"], []).append((row["start"], row["doc_tokens"], ids.tolist()))
+        by_sequence.setdefault(row["sequence_id"], []).append((row["offset"], len(ids)))
+    expected = {}
+    for i, text in TEXTS:
+        expected.setdefault(i, []).append(whole_ids(text))
+    for i, pieces in by_document.items():
+        copies = len(expected[i])
+        joined = [t for start in sorted({p[0] for p in pieces}) for t in next(p[2] for p in pieces if p[0] == start)]
+        if copies == 1:
+            assert joined == expected[i][0]
+        assert sum(len(p[2]) for p in pieces) == sum(map(len, expected[i]))
+        assert {p[1] for p in pieces} == {len(ids) for ids in expected[i]}
+    assert set(by_document) == set(expected)
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, size in sorted(pieces):
+            assert offset == at and size
+            at += size
+        assert at <= length
+    full = [sum(size for _, size in pieces) for pieces in by_sequence.values()]
+    assert sum(size < length for size in full) <= 1
+
+
+def test_empty(spark):
+    assert pack(documents(spark, []), PATH, 2).collect() == []
+
+
+def test_level_minimises_the_sum_of_squares():
+    rng = np.random.default_rng(3)
+    packer = Packer(32, 1000, 0)
+    for number in range(400):
+        size = int(rng.integers(1, 32))
+        before = packer.counts.copy()
+        level = packer.level_for(size)
+
+        def squares(level):
+            counts = before.copy()
+            if level:
+                assert counts[level]
+                counts[level] -= 1
+            if level + size < 32:
+                counts[level + size] += 1
+            return (counts[1:32] ** 2).sum()
+
+        assert squares(level) == min(squares(h) for h in [0, *np.flatnonzero(before[: 33 - size])])
+        packer.add(number, b"\0" * size * ID_BYTES)
+    packer.finish()
+    assert packer.counts.sum() == 0
+
+
+def test_windows_are_bounded():
+    packer = Packer(1000, 8, 0)
+    for number in range(500):
+        packer.add(number, b"\0" * (501 + number % 17) * ID_BYTES)
+        assert packer.n_open <= 8
