@@ -96,7 +96,11 @@ def partition_between(name: str, dtype: T.DataType, first: Column, last: Column)
         kind = dtype.typeName()
         return (column >= first.cast(kind)) & (column < F.date_add(last, 1).cast(kind))
     if isinstance(dtype, (T.StringType, T.IntegralType)):
-        return column.between(day_of(first).cast(dtype), day_of(last).cast(dtype))
+        numbered = column.between(day_of(first).cast(dtype), day_of(last).cast(dtype))
+        if isinstance(dtype, T.IntegralType):
+            return numbered
+        # Text days have dashes or not; as text, days of one form lie outside any range of the other.
+        return numbered | column.between(first.cast("string"), last.cast("string"))
     raise ValueError(f"{name}: cannot partition days by a {dtype.simpleString()} column")
 
 
@@ -108,6 +112,8 @@ def partition_in(name: str, dtype: T.DataType, windows) -> Column:
 def partition_day(name: str, dtype: T.DataType) -> Column:
     """The ``yyyyMMdd`` number of a row's partition."""
     column = F.col(name)
-    if isinstance(dtype, (T.StringType, T.IntegralType)):
+    if isinstance(dtype, T.StringType):
+        return F.replace(column, F.lit("-"), F.lit("")).cast("int")
+    if isinstance(dtype, T.IntegralType):
         return column.cast("int")
     return day_of(column)

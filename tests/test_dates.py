@@ -52,7 +52,7 @@ def test_windows(spark):
     assert bounds(20240101) == [20230101, 20230131, 20231202, 20231231]
 
 
-@pytest.mark.parametrize("ddl", ["int", "bigint", "string", "date", "timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("ddl", ["int", "bigint", "string", "dashed", "date", "timestamp", "timestamp_ntz"])
 def test_partition_types(spark, ddl):
     stamps = spark.createDataFrame(
         [(dt.datetime(2024, 1, 31, 0, 0),), (dt.datetime(2024, 1, 31, 23, 59, 59, 999999),),
@@ -61,7 +61,7 @@ def test_partition_types(spark, ddl):
     )
     typed = {
         "int": d.day_of(F.col("t")), "bigint": d.day_of(F.col("t")).cast("bigint"),
-        "string": F.date_format("t", "yyyyMMdd"), "date": F.col("t").cast("date"),
+        "string": F.date_format("t", "yyyyMMdd"), "dashed": F.date_format("t", "yyyy-MM-dd"), "date": F.col("t").cast("date"),
         "timestamp": F.col("t"), "timestamp_ntz": F.col("t").cast("timestamp_ntz"),
     }
     rows = stamps.select(typed[ddl].alias("p"))
