@@ -18,6 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 SHINGLE_WORDS, PERCENT = 5, 80
+ROW_KEY = "row_of_stage"
 
 # Learned models and statistics have no SQL; the stages are tested one by one.
 ORACLE_SQL = None
@@ -37,26 +38,40 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Rows without an id stay unless a document with an id has the same words. Of rows that share an id
-    and are kept one stays.
+    Rows are judged one by one, also those that share an id; of equal ids in a group one row stays. Rows
+    without an id stay unless a document with an id has the same words; they link no others. Rows
+    without words stay.
     """
-    found = near_duplicates(docs, shingle_words=SHINGLE_WORDS, percent=PERCENT)
-    found = materialise(found.select("doc_id", "kept"), "near-duplicates")
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    gone = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    repeated = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    if not repeated.limit(1).count():
-        return gone
-    twice = gone.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    once = gone.join(repeated, gone["doc_id"] == repeated["doc_id"], "left_anti")
-    return once.unionByName(twice)
+    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count()
+    if ids.where("count > 1").limit(1).count():
+        # Keys follow the ids; the other sort keys only split null and shared ids over tasks.
+        rows = docs.sort("doc_id", F.xxhash64("text"), F.monotonically_increasing_id())
+        key = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+        rows = materialise(rows.withColumn(ROW_KEY, key), "rows")
+    else:
+        rows = docs.withColumn(ROW_KEY, F.col("doc_id"))
+    # A row is known by its key and text: rows without a key are judged by their text alone.
+    md5 = F.md5("text").alias("text_md5")
+    found = near_duplicates(
+        rows.select("*", md5), id_column=ROW_KEY, shingle_words=SHINGLE_WORDS, percent=PERCENT,
+        carried=("doc_id", "text_md5"))
+    found = materialise(found.drop("n_shingles"), "near-duplicates")
+    named = found.where(F.col(ROW_KEY).isNotNull())
+    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", ROW_KEY))[ROW_KEY].alias(ROW_KEY))
+    gone = named.join(first.select(ROW_KEY), ROW_KEY, "left_anti").select(ROW_KEY, "text_md5")
+    unnamed = found.where(F.col(ROW_KEY).isNull() & ~F.col("kept"))
+    gone = gone.union(unnamed.select(ROW_KEY, "text_md5").distinct()).select(F.struct("*").alias("gone"))
+    row = F.struct(ROW_KEY, md5)
+    return rows.join(materialise(gone, "gone"), row == F.col("gone"), "left_anti").select(docs.columns)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark passages."""
+    """Rows that are not contaminated by benchmark passages; each text is judged alone, whatever its id."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = contamination(docs, items).where("contaminated").select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    row = F.struct("doc_id", F.md5("text").alias("text_md5"))
+    found = contamination(docs.select(row.alias(ROW_KEY), "text"), items, id_column=ROW_KEY)
+    found = materialise(found.where("contaminated").select(ROW_KEY).distinct(), "contaminated")
+    return docs.join(found, row == F.col(ROW_KEY), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,10 +74,13 @@ def _parities(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, shingle_words: int, hashes: int, keys: int) -> DataFrame:
-    """Of each document (id, text): size, 128-bit fingerprint and parities of its set, its minhash keys."""
-    id_type = documents.schema["id"].dataType
+    """Of each document (id, text): size, 128-bit fingerprint and parities of its set, its minhash keys.
+
+    Columns other than id and text are carried along.
+    """
+    own = [field for field in documents.schema.fields if field.name != "text"]
     schema = T.StructType([
-        T.StructField("id", id_type), T.StructField("n_shingles", T.LongType()),
+        *[T.StructField(field.name, field.dataType) for field in own], T.StructField("n_shingles", T.LongType()),
         T.StructField("set_a", T.LongType()), T.StructField("set_b", T.LongType()),
         *[T.StructField(name, T.ArrayType(T.LongType())) for name in ("left", "right", "parity")],
     ])
@@ -99,7 +102,7 @@ def signatures(documents: DataFrame, shingle_words: int, hashes: int, keys: int)
                     _lists(side.reshape(-1), np.arange(len(texts)) * side.shape[1], texts, n) for side in sides
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(sizes), pa.array(a.view(np.int64)),
+                    [*[part.column(field.name) for field in own], pa.array(sizes), pa.array(a.view(np.int64)),
                      pa.array(b.view(np.int64)), *lists],
                     schema.names,
                 )
@@ -159,6 +162,7 @@ def _pairs(a, b) -> list:
 def near_duplicates(
     documents: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
     shingle_words: int = 5, percent: int = 80, hashes: int = HASHES, keys: int = KEYS,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """Of each row: its id, n_shingles, component_id (the smallest id reachable by links), kept.
 
@@ -168,13 +172,16 @@ def near_duplicates(
     nothing and are kept. A row with a null id gets the component of equal texts that have one, else
     null; it is kept only in the latter case. Rows that share an id are one document with several
     texts. Repeated rows come back as often as they occur. Ties cannot occur, as components are named
-    by their smallest id. Other columns are not read. Sets hold 64-bit hashes of shingles.
+    by their smallest id. The columns ``carried`` follow, so that rows can be told apart; others are not
+    read. Sets hold 64-bit hashes of shingles.
     """
     spark = documents.sparkSession
-    documents = documents.select(
-        F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")
+    rows = documents.select(
+        F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"),
+        *[F.col(name).alias(f"carried_{k}") for k, name in enumerate(carried)],
     )
-    signed = materialise(signatures(documents, shingle_words, hashes, keys), "signatures")
+    documents = rows.select("id", "text")
+    signed = materialise(signatures(rows, shingle_words, hashes, keys), "signatures")
 
     fingerprint = ["set_a", "set_b", "n_shingles"]
     classes = signed.where("n_shingles > 0").groupBy(fingerprint).agg(F.min("id").alias("class"))
@@ -208,6 +215,7 @@ def near_duplicates(
     return own.select(
         F.col("id").alias(id_column), "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.col("id").isNull() & component.isNull()).alias("kept"),
+        *[F.col(f"carried_{k}").alias(name) for k, name in enumerate(carried)],
     )
 
 

@@ -79,3 +79,33 @@ def test_rows_that_share_an_id(spark):
     out = corpus_pipeline.without_near_duplicates(spark, docs, SF_DIR)
     assert sorted(map(str, rows(out))) == sorted(map(str, [(1, "a b c d e f"), (None, "x y z"), (None, None), (3, None)]))
     assert spaced("A") == alphanumeric("A") == ["a"]
+
+
+def test_near_duplicates_are_judged_by_row(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b c d e f"), (None, "A b c d e f"), (None, "only here"), (None, "and here"), (None, None),
+         (2, "a b c d  e f"), (2, "another text of two"), (2, "a third text"), (4, "a third text"), (4, "a fourth text")],
+        "doc_id long, text string")
+    out = corpus_pipeline.without_near_duplicates(spark, docs, SF_DIR)
+    assert out.schema == docs.schema
+    assert sorted(map(str, rows(out))) == sorted(map(str, [
+        (1, "a b c d e f"), (None, "only here"), (None, "and here"), (None, None),
+        (2, "another text of two"), (2, "a third text"), (4, "a fourth text")]))
+
+
+def test_near_duplicates_without_ids_are_judged_by_row(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b c d e f"), (None, "A b c d e f"), (None, "only here"), (None, None), (2, "a b c d  e f"), (3, None)],
+        "doc_id long, text string")
+    out = corpus_pipeline.without_near_duplicates(spark, docs, SF_DIR)
+    assert sorted(map(str, rows(out))) == sorted(map(str, [
+        (1, "a b c d e f"), (None, "only here"), (None, None), (3, None)]))
+
+
+def test_contaminated_rows_take_no_others_along(spark):
+    passage = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first()["text"]
+    clean = [(None, "only here"), (None, None), (1, "another text of one"), (2, "fine"), (2, "fine")]
+    docs = spark.createDataFrame([(None, passage), (1, passage), *clean], "doc_id long, text string")
+    out = corpus_pipeline.without_benchmarks(spark, docs, SF_DIR)
+    assert out.schema == docs.schema
+    assert sorted(map(str, rows(out))) == sorted(map(str, clean))
