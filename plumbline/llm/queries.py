@@ -156,6 +156,22 @@ def op10_tensored_minhash_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+@query
+def op13_byte_pair_encoding(spark, sf_dir):
+    """Ids of every document, and the bytes that they decode to."""
+    import public_tokenizers
+
+    from plumbline.llm.bytepair import encode
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def pipeline(spark, sf_dir):
     """All stages of the corpus pipeline on all documents."""
