@@ -229,6 +229,74 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS c
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN component USING (doc_id)
 """
 
+NEGATIVES = """
+WITH v AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, a.vector AS anchor, a.label AS anchor_label, o.vec_id, o.label = a.label AS alike,
+        CAST(coalesce(list_sum(list_transform(range(1, len(a.vector) + 1), lambda i: a.vector[i] * o.vector[i])), 0) AS BIGINT) AS score
+    FROM v a JOIN v o ON a.vec_id <> o.vec_id AND len(a.vector) = len(o.vector) WHERE a.vec_id % 50 = 0
+), positive AS (
+    SELECT anchor_id, anchor, anchor_label, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, anchor, anchor_label ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (
+        PARTITION BY anchor_id, anchor, anchor_label, positive_id, positive_score ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id, anchor, anchor_label)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+FILTER_AUDIT = r"""
+WITH doc AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), mark AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), smallest AS (
+    SELECT text, min(doc_id) AS doc_id FROM doc GROUP BY text
+), cell AS (
+    SELECT part, [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+            100 * length(regexp_replace(doc.text, '[^A-Z]', '', 'g')) > 10 * length(doc.text),
+            regexp_matches(doc.text, '[#$%&*|]'), coalesce(doc.doc_id > smallest.doc_id, false)] AS fails,
+        count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+    FROM doc JOIN smallest ON doc.text = smallest.text LEFT JOIN mark ON doc.doc_id = mark.doc_id
+    GROUP BY ALL
+), letter AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), filter_orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+    SELECT filter_order, step, instr('ABCDE', filter_order[step]) AS this,
+        list_transform(range(1, step), lambda i: instr('ABCDE', filter_order[i])) AS before
+    FROM filter_orders, (SELECT unnest(range(1, 6)) AS step)
+), judged AS (
+    SELECT part, filter_order, step, this, n, good, toxic, fails[this] AS failing,
+        len(list_filter(before, lambda f: fails[f])) > 0 AS gone, len(list_filter(fails, lambda f: f)) AS n_fails
+    FROM steps, cell
+), audited AS (
+    SELECT part, filter_order, step, this, sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN gone AND failing THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN failing AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN NOT gone AND failing THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN NOT gone AND failing THEN toxic ELSE 0 END) AS toxic_lost
+    FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+    CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, this) AS BIGINT) AS shapley
+FROM audited
+"""
+
 
 def oracles() -> dict[str, str]:
     return {
@@ -238,4 +306,6 @@ def oracles() -> dict[str, str]:
         "op7_snapshot_collapse": CONVERSATIONS,
         "op8_prefix_filtered_decontamination": CONTAMINATION,
         "op10_tensored_minhash_near_duplicates": NEAR_DUPLICATES,
+        "op11_coordinate_pruned_negatives": NEGATIVES,
+        "op12_filter_interaction_audit": FILTER_AUDIT,
     }

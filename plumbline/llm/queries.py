@@ -156,6 +156,25 @@ def op10_tensored_minhash_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+@query
+def op11_coordinate_pruned_negatives(spark, sf_dir):
+    """Hard negatives of every vector whose id is divisible by 50, among all vectors."""
+    from plumbline.llm.negatives import floored, mine
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), moved.alias("label"), floored(F.col("embedding"), 256).alias("vector"))
+    return mine(rows, F.col("id") % 50 == 0)
+
+
+@query
+def op12_filter_interaction_audit(spark, sf_dir):
+    """What five filters keep and remove in every order, per language."""
+    from plumbline.llm.filter_audit import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op13_byte_pair_encoding(spark, sf_dir):
     """Ids of every document, and the bytes that they decode to."""

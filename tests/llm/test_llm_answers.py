@@ -19,7 +19,7 @@ def connection():
 def test_registered():
     assert set(queries.queries()) <= set(entry.queries())
     assert set(oracles.oracles()) <= set(queries.queries())
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in entry.queries())] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in entry.queries())] == []
     assert "pipeline" in entry.queries()
 
 
