@@ -102,34 +102,34 @@ def top_k(
     segments = _segments(bits, codes.count())
     index = materialise(_in_segments(codes, "code", segments), "segment-index")
 
-    by_query = Window.partitionBy("query_id", "query").orderBy("distance", "neighbour_id")
-    once = Window.partitionBy("query_id", "query", "neighbour_id").orderBy("distance")
+    # Every side of these joins may grow with the tables, however small its files are: none is broadcast.
+    by_query = Window.partitionBy("query_id", "query")
     active = materialise(queries, "queries")
-    best = None
-    finished = []
+    best, finished = None, []
     for radius in range(max(width for _, width in segments) + 1):
-        pairs = _probes(active.select("query").distinct(), segments, radius).join(
-            index, ["segment", "value"]
+        pairs = _probes(active.select("query").distinct(), segments, radius).hint("merge").join(
+            index.hint("merge"), ["segment", "value"]
         ).where(_found_here(segments, radius)).select(
             "query", "code", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance")
         )
-        new = active.join(pairs, "query").join(few, "code").where("id <> query_id").select(
-            "query_id", "query", F.col("id").alias("neighbour_id"), "distance"
-        )
+        found = active.hint("merge").join(pairs.hint("merge"), "query").join(few.hint("merge"), "code")
+        found = found.where("id <> query_id").select("query_id", "query", F.col("id").alias("neighbour_id"), "distance")
         if best is not None:
-            new = new.union(best.join(active, ["query_id", "query"], "left_semi"))
-        new = new.withColumn("copy", F.row_number().over(once)).where("copy = 1").drop("copy")
-        best = new.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
-        best = materialise(best, "nearest")
+            found = found.union(best)
+        nearest = found.groupBy("query_id", "query", "neighbour_id").agg(F.min("distance").alias("distance"))
+        in_order = by_query.orderBy("distance", "neighbour_id")
+        nearest = nearest.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= k)
         covered = len(segments) * (radius + 1) - 1
-        done = best.where((F.col("rank") == k) & (F.col("distance") <= covered)).select("query_id", "query")
-        finished.append(best.join(done, ["query_id", "query"], "left_semi"))
-        active = materialise(active.join(done, ["query_id", "query"], "left_anti"), "queries")
-        best = best.drop("rank")
-        if not active.limit(1).count():
+        full = (F.col("rank") == k) & (F.col("distance") <= covered)
+        nearest = nearest.withColumn("done", F.max(full).over(by_query))
+        # The one write of a round: the nearest rows of each query so far, and the queries without any.
+        state = materialise(active.hint("merge").join(nearest.hint("merge"), ["query_id", "query"], "left"), "round")
+        finished.append(state.where("done").drop("done"))
+        open_ = state.where("done IS NULL OR NOT done")
+        active = open_.select("query_id", "query").distinct()
+        best = open_.where("neighbour_id IS NOT NULL").select("query_id", "query", "neighbour_id", "distance")
+        if not open_.limit(1).count():
             break
-    if best is not None and active.limit(1).count():  # fewer than k rows to find
-        rest = best.join(active, ["query_id", "query"], "left_semi")
-        finished.append(rest.withColumn("rank", F.row_number().over(by_query)))
+    finished.append(open_.where("neighbour_id IS NOT NULL").drop("done"))  # fewer than k rows to find
     found = functools.reduce(DataFrame.unionByName, finished)
     return found.select("query_id", "rank", "neighbour_id", F.col("distance").cast("int").alias("distance"))
