@@ -21,7 +21,7 @@ import json
 import zlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.session import discard, local_frame, materialise
@@ -69,34 +69,32 @@ def _bucket(text: Column, buckets: int) -> Column:
 
 
 def _state(parts: Column, ranks: Column) -> Column:
-    """The ids of a word between edges, the rank of each of these with the next, and the lowest rank."""
-    return _let(ranks, lambda r: F.struct(
-        parts.alias("parts"), r.alias("ranks"), F.array_min(F.split(r, "")).alias("best")))
+    """The ids of a word between edges, and the rank of each of these with the next."""
+    return F.struct(parts.alias("parts"), ranks.alias("ranks"))
 
 
-def _merged(state: Column, rank: Find) -> Column:
+def _merged(state: Column, best: Column, rank: Find) -> Column:
     """The state after the leftmost pair of the best rank is joined. A joined pair's id is its rank."""
-    parts, ranks, best = state["parts"], state["ranks"], state["best"]
-
-    def at(place: Column) -> Column:
-        left, right = F.substring(parts, place - 1, F.lit(1)), F.substring(parts, place + 2, F.lit(1))
-        return _state(
-            F.concat(F.substring(parts, F.lit(1), place - 1), best, F.substring(parts, place + 2, F.length(parts))),
-            F.concat(F.substring(ranks, F.lit(1), place - 2), rank(F.concat(left, best)),
-                     rank(F.concat(best, right)), F.substring(ranks, place + 2, F.length(ranks))),
-        )
+    place = F.instr(state["ranks"], best)
+
+    def after(parts: Column) -> Column:
+        left, right = F.substring(parts, place - 1, F.lit(2)), F.substring(parts, place, F.lit(2))
+        return _state(parts, F.overlay(state["ranks"], F.concat(rank(left), rank(right)), place - 1, F.lit(3)))
 
-    return _let(F.instr(ranks, best), at)
+    return _let(F.overlay(state["parts"], best, place, F.lit(2)), after)
 
 
 def folded(byte_ids: Column, rank: Find) -> Column:
     """The ids of a word, given as those of its bytes, by merging them pair by pair."""
+    def step(state: Column, _: Column) -> Column:
+        lowest = F.array_min(F.split(state["ranks"], ""))
+        return _let(lowest, lambda best: F.when(best == NO_RANK, state).otherwise(_merged(state, best, rank)))
+
     def fold(parts: Column) -> Column:
         size = F.length(parts)
         ranks = F.transform(F.sequence(F.lit(1), size - 1), lambda i: rank(F.substring(parts, i, F.lit(2))))
         return F.aggregate(
-            F.sequence(F.lit(4), F.greatest(size, F.lit(4))), _state(parts, F.array_join(ranks, "")),
-            lambda state, _: F.when(state["best"] == NO_RANK, state).otherwise(_merged(state, rank)),
+            F.sequence(F.lit(4), F.greatest(size, F.lit(4))), _state(parts, F.array_join(ranks, "")), step,
             lambda state: F.substring(state["parts"], F.lit(2), F.length(state["parts"]) - 2),
         )
 
@@ -121,7 +119,8 @@ class BytePairs:
             if part[:cut] in ranks and part[cut:] in ranks
         ]
         self.buckets = 1 << max(len(pairs) // 2, 1).bit_length()
-        # A pair that is not found is at place 0, and three characters on from there is NO_RANK.
+        # A bucket is one text, as a map of its own would take several objects in the plan. In it a pair that is not
+        # found is at place 0, and three characters on from there is NO_RANK.
         table = [ENTRY + ENTRY + NO_RANK] * self.buckets
         for pair, rank in pairs:
             table[zlib.crc32(pair.encode()) % self.buckets] += ENTRY + pair + rank
@@ -139,10 +138,8 @@ class BytePairs:
     def _ranked(self, inside: Callable[[Find], Column]) -> Column:
         """``inside`` of the function that gives a pair's rank. The table stands in the plan once."""
         def find(table: Column) -> Find:
-            def rank(pair: Column) -> Column:
-                return _let(F.get(table, _bucket(pair, self.buckets)), lambda own: F.substring(
-                    own, F.instr(own, F.concat(F.lit(ENTRY), pair)) + 3, F.lit(1)))
-            return rank
+            return lambda pair: _let(F.get(table, _bucket(pair, self.buckets)), lambda own: F.substring(
+                own, F.instr(own, F.concat(F.lit(ENTRY), pair)) + 3, F.lit(1)))
 
         return _let(self.table, lambda table: inside(find(table)))
 
