@@ -2,8 +2,9 @@
 
 Templates are short notices. How rare each template word is comes from all documents. A template is
 looked up by its rarest words only: such a word in a file, together with its position in the template,
-says where the notice would begin. The rare words must agree on that place, the words there are compared with
-the template, and its mandatory key phrases must stand in them.
+says where the notice would begin. A template of n words of which m must match has at most n - m words out of place, so
+one of any n - m + 1 positions is right wherever it stands: that many of the rarest are looked up, and no notice
+is lost. The words at each place found are compared with the template, and its mandatory key phrases must stand in them.
 """
 
 from __future__ import annotations
@@ -13,32 +14,34 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.text import alphanumeric_words
+from plumbline.llm.text import alphanumeric_words, small_side
 from plumbline.session import local_frame, materialise
 
 
 @dataclass(frozen=True)
 class Template:
-    """A notice in lower-case words. ``coverage`` is the least share of its words that must match.
-
-    ``rare_words`` of its rarest words are looked up, and ``agreeing`` of them must stand in their places.
-    """
+    """A notice in lower-case words. ``coverage`` is the least share of its words that must match."""
 
     label: str
     text: str
     key_phrases: tuple[str, ...]
     coverage: float = 0.7
-    rare_words: int = 3
-    agreeing: int = 2
 
     @property
     def words(self) -> list[str]:
         return self.text.split()
 
+    @property
+    def lookups(self) -> int:
+        """Positions of which one must be right."""
+        n = len(self.words)
+        least = next(same for same in range(n + 1) if same >= self.coverage * n)
+        return n - max(least, 1) + 1
+
 
 def phrase(label: str, text: str) -> Template:
     """A phrase that must occur as it is, wherever it occurs."""
-    return Template(label, text, (text,), 1.0, 1, 1)
+    return Template(label, text, (text,), 1.0)
 
 
 #: Phrases that are counted at every place.
@@ -93,39 +96,32 @@ def word_frequencies(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 
 def _lookups(postings: DataFrame, frequencies: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
-    """The postings of each template's rarest words, a posting per word: that of its first place.
+    """(template, place, word) of each template's rarest positions, of equally rare words the first in order.
 
-    Of words that are equally rare the first in order is taken.
+    Words that no document has cannot be right, so only others count.
     """
     counts = local_frame(
-        postings.sparkSession,
-        [{"template": number, "rare_words": t.rare_words} for number, t in enumerate(templates)],
-        "template int, rare_words int",
+        postings.sparkSession, [{"template": number, "lookups": t.lookups} for number, t in enumerate(templates)],
+        "template int, lookups int",
     )
-    own = postings.groupBy("template", "word").agg(F.min("place").alias("place"))
-    own = own.join(frequencies, "word", "left").fillna(0, ["n_documents"])
-    ranked = own.groupBy("template").agg(
+    ranked = postings.join(frequencies, "word").groupBy("template").agg(
         F.sort_array(F.collect_list(F.struct("n_documents", "word", "place"))).alias("words")
     )
     rarest = ranked.join(counts, "template").select(
-        "template", F.explode(F.slice("words", F.lit(1), F.col("rare_words"))).alias("rare")
+        "template", F.explode(F.slice("words", F.lit(1), F.col("lookups"))).alias("rare")
     )
     return rarest.select("template", "rare.word", "rare.place")
 
 
-def _details(spark: SparkSession, templates: tuple[Template, ...], lookups: DataFrame) -> DataFrame:
-    """Of each template what verification needs, with the rare words and their places."""
+def _details(spark: SparkSession, templates: tuple[Template, ...]) -> DataFrame:
+    """Of each template what verification needs."""
     rows = [
         {"template": number, "label": t.label, "template_words": t.words, "phrases": list(t.key_phrases),
-         "coverage": t.coverage, "agreeing": t.agreeing}
+         "coverage": t.coverage}
         for number, t in enumerate(templates)
     ]
-    fixed = local_frame(
-        spark, rows,
-        "template int, label string, template_words array<string>, phrases array<string>, coverage double, agreeing int",
-    )
-    rare = lookups.groupBy("template").agg(F.collect_list(F.struct("place", "word")).alias("rare"))
-    return fixed.join(rare, "template")
+    return local_frame(
+        spark, rows, "template int, label string, template_words array<string>, phrases array<string>, coverage double")
 
 
 def _words(text: Column) -> Column:
@@ -139,29 +135,28 @@ def matches(documents: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
     vocabulary = sorted({word for template in templates for word in template.words})
     frequencies = materialise(word_frequencies(documents, vocabulary), "licence-words")
     lookups = materialise(_lookups(postings, frequencies, templates), "licence-index")
-    details = _details(spark, templates, lookups)
+    details = _details(spark, templates)
 
-    # The index has at most rare_words rows per template, and templates are a fixed list.
+    # The index has a row per looked-up position at most; small_side counts it before it is broadcast.
     placed = documents.select("id", F.xxhash64("text").alias("text_hash"), alphanumeric_words("text").alias("words"))
     placed = placed.select("id", "text_hash", "words", F.posexplode_outer("words").alias("at", "word"))
-    index = F.broadcast(lookups.withColumnRenamed("place", "ahead"))
-    sizes = F.broadcast(details.select("template", F.size("template_words").alias("n")))
+    index = small_side(lookups.withColumnRenamed("place", "ahead"))
+    details = small_side(details)
+    sizes = details.select("template", F.size("template_words").alias("n"))
     start = F.col("at") - F.col("ahead")
     candidates = placed.join(index, "word").join(sizes, "template").where(start >= 0).select(
         "id", "text_hash", "template", start.alias("start"), F.slice("words", start + 1, F.col("n")).alias("window")
     )
-    compared = candidates.join(F.broadcast(details), "template").select(
+    compared = candidates.join(details, "template").select(
         "*",
         F.aggregate(
             F.zip_with("window", "template_words", lambda a, b: F.when(a == b, 1).otherwise(0)),
             F.lit(0), lambda total, same: total + same,
         ).alias("n_same"),
-        F.size(F.filter("rare", lambda r: F.get("window", r["place"]) == r["word"])).alias("n_rare"),
         F.size("template_words").alias("n"),
     )
     verified = compared.where(
-        (F.col("n_rare") >= F.least("agreeing", F.size("rare")))
-        & (F.col("n_same") >= F.col("coverage") * F.col("n"))
+        (F.col("n_same") >= F.col("coverage") * F.col("n"))
         & F.forall("phrases", lambda key: F.contains(_words(F.col("window")), F.concat(F.lit(" "), key, F.lit(" "))))
     )
     return verified.select(

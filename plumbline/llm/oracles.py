@@ -37,46 +37,29 @@ SELECT query_id, rank, neighbour_id, distance FROM ranked WHERE rank <= 10
 """
 
 _TEMPLATES = ", ".join(
-    "({}, {}, [{}], [{}], {}, {}, {})".format(
-        number, _quoted(t.label), ", ".join(map(_quoted, t.words)), ", ".join(map(_quoted, t.key_phrases)),
-        f"{t.coverage}::DOUBLE", t.rare_words, t.agreeing,
-    )
+    "({}, {}, [{}], [{}], {})".format(
+        number, _quoted(t.label), ", ".join(map(_quoted, t.words)), ", ".join(map(_quoted, t.key_phrases)), f"{t.coverage}::DOUBLE")
     for number, t in enumerate(BASE + NOTICES)
 )
 
 LICENSES = f"""
-WITH t(template, label, words, phrases, coverage, rare_words, agreeing) AS (VALUES {_TEMPLATES}),
+WITH t(template, label, words, phrases, coverage) AS (VALUES {_TEMPLATES}),
 posting AS (
-    SELECT template, rare_words, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM t
+    SELECT template, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM t
 ), doc AS (
     SELECT row_number() OVER () AS row, doc_id, {_alphanumeric('text')} AS words FROM documents
 ), token AS (
     SELECT row, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS spot FROM doc
-), frequency AS (
-    SELECT word, count(DISTINCT row) AS n FROM token WHERE word IN (SELECT word FROM posting) GROUP BY word
-), ranked AS (
-    SELECT p.template, p.rare_words, p.word, min(p.place) AS place,
-        row_number() OVER (PARTITION BY p.template ORDER BY coalesce(any_value(f.n), 0), p.word) AS rarity
-    FROM posting p LEFT JOIN frequency f ON p.word = f.word GROUP BY p.template, p.rare_words, p.word
-), rare AS (
-    SELECT template, word, place FROM ranked WHERE rarity <= rare_words
-), candidate AS (
-    SELECT DISTINCT token.row, rare.template, spot - place AS start
-    FROM token JOIN rare ON token.word = rare.word WHERE spot >= place
+), same AS (
+    SELECT token.row, template, spot - place AS start, count(*) AS same
+    FROM token JOIN posting ON token.word = posting.word WHERE spot >= place GROUP BY ALL
 ), compared AS (
-    SELECT c.row, c.template, c.start, t.label, t.coverage, t.agreeing, t.phrases, t.words,
-        doc.words[c.start + 1 : c.start + len(t.words)] AS found
-    FROM candidate c JOIN t ON c.template = t.template JOIN doc ON c.row = doc.row
-), counted AS (
-    SELECT c.*,
-        list_sum(list_transform(range(1, len(c.words) + 1), lambda i: CASE WHEN c.words[i] = c.found[i] THEN 1 ELSE 0 END)) AS same,
-        (SELECT count(*) FROM rare r WHERE r.template = c.template AND c.found[r.place + 1] = r.word) AS n_rare,
-        (SELECT count(*) FROM rare r WHERE r.template = c.template) AS all_rare,
-        list_bool_and(list_transform(c.phrases, lambda k: contains(' ' || array_to_string(c.found, ' ') || ' ', ' ' || k || ' '))) AS has_keys
-    FROM compared c
+    SELECT s.row, s.template, s.start, s.same, t.label, t.words, t.phrases,
+        ' ' || array_to_string(doc.words[s.start + 1 : s.start + len(t.words)], ' ') || ' ' AS found
+    FROM same s JOIN t ON s.template = t.template JOIN doc ON s.row = doc.row WHERE s.same >= t.coverage * len(t.words)
 ), verified AS (
-    SELECT *, template < {len(BASE)} AS is_base FROM counted
-    WHERE has_keys AND n_rare >= least(agreeing, all_rare) AND same >= coverage * len(words)
+    SELECT *, template < {len(BASE)} AS is_base FROM compared
+    WHERE list_bool_and(list_transform(phrases, lambda k: contains(found, ' ' || k || ' ')))
 ), own AS (
     SELECT row, count(*) FILTER (is_base) AS n_base, min(start) FILTER (is_base) AS first_word,
         max(start) FILTER (is_base) AS last_word,
@@ -118,24 +101,24 @@ def _urls() -> str:
 )""")
     return rf"""
 WITH rest AS (
-    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+    SELECT page_id, coalesce(url, '') AS url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), page AS (
-    SELECT page_id, {_LOWER.format(r"regexp_extract(rest, '^[^/?#]*')")} AS host,
+    SELECT page_id, url, {_LOWER.format(r"regexp_extract(rest, '^[^/?#]*')")} AS host,
         regexp_extract(coalesce(rest, ''), '^([^/?#]*)([^?#]*)', 2) AS path FROM rest
 ), url AS (
-    SELECT DISTINCT host, path, {rule_sql} AS rule, {verdict_sql} AS verdict,
-        substr(md5(host || path), 1, 1) < '{urls.CALIBRATION}' AS calibrates FROM page
+    SELECT DISTINCT url, host, path, {rule_sql} AS rule, {verdict_sql} AS verdict,
+        substr(md5(url), 1, 1) < '{urls.CALIBRATION}' AS calibrates FROM page
 ), chars AS (
-    SELECT *, repeat(chr(2), {urls.ORDER}) || host || path || chr(3) AS s, verdict IS NOT NULL AND NOT calibrates AS trains FROM url
+    SELECT *, repeat(chr(2), {urls.ORDER}) || url || chr(3) AS s, verdict IS NOT NULL AND NOT calibrates AS trains FROM url
 ), gram AS (
-    SELECT host, path, verdict, trains, substr(s, i, {n}) AS gram
+    SELECT url, verdict, trains, substr(s, i, {n}) AS gram
     FROM (SELECT *, unnest(range(1, length(s) - {urls.ORDER} + 1)) AS i FROM chars)
 ), {", ".join(levels)}, score AS (
-    SELECT host, path, avg(ln(a / r)) AS score FROM gram JOIN p{n} USING (gram) GROUP BY host, path
+    SELECT url, avg(ln(a / r)) AS score FROM gram JOIN p{n} USING (gram) GROUP BY url
 ), step AS (
     SELECT CAST(round(least(greatest(score, -{urls.LARGEST}), {urls.LARGEST}) * {steps}) AS INTEGER) AS step,
         count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS r
-    FROM score JOIN url USING (host, path) WHERE verdict IS NOT NULL AND calibrates GROUP BY 1
+    FROM score JOIN url USING (url) WHERE verdict IS NOT NULL AND calibrates GROUP BY 1
 ), below AS (
     SELECT step, (step + coalesce(lag(step) OVER (ORDER BY step), step - 1)) / 2.0::DOUBLE / {steps} AS cut, coalesce(sum(a) OVER before, 0) AS a, coalesce(sum(r) OVER before, 0) AS r,
         sum(a) OVER () AS all_a, sum(r) OVER () AS all_r
@@ -144,9 +127,10 @@ WITH rest AS (
     SELECT cut FROM below WHERE all_a > 0 AND all_r > 0
     ORDER BY (all_a - a) / all_a::DOUBLE + r / all_r::DOUBLE DESC, abs(cut), cut DESC LIMIT 1
 )
-SELECT page_id, host, path, rule, round(score, 6) AS score,
-    coalesce(verdict, CASE WHEN score >= coalesce((SELECT cut FROM threshold), 0) THEN 'allow' ELSE 'block' END) AS verdict
-FROM page JOIN url USING (host, path) JOIN score USING (host, path)
+SELECT page_id, page.host, page.path, rule,
+    coalesce(verdict, CASE WHEN score >= coalesce((SELECT cut FROM threshold), 0) THEN 'allow' ELSE 'block' END) AS verdict,
+    round(score, 6) AS score
+FROM page JOIN url USING (url) JOIN score USING (url)
 """
 
 

@@ -56,8 +56,8 @@ def rule_of(rules: tuple[tuple[str, str], ...]) -> tuple[Column, Column]:
 
 
 def _grams(urls: DataFrame, *columns: str) -> DataFrame:
-    """The columns and, per character of host and path and the end, the character behind its context."""
-    text = F.concat(F.lit(BEGIN * ORDER), "host", "path", F.lit(END))
+    """The columns and, per character of the whole URL and the end, the character behind its context."""
+    text = F.concat(F.lit(BEGIN * ORDER), "url", F.lit(END))
     placed = urls.select(*columns, F.split(text, "").alias("chars"))
     grams = F.transform(
         F.sequence(F.lit(1), F.size("chars") - ORDER), lambda i: F.array_join(F.slice("chars", i, ORDER + 1), "")
@@ -99,9 +99,8 @@ def log_ratios(counts: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def scored(urls: DataFrame, ratios: DataFrame) -> DataFrame:
-    """(host, path, score) of distinct URLs; every gram has a ratio."""
-    grams = _grams(urls, "host", "path").join(ratios, "gram")
-    return grams.groupBy("host", "path").agg(F.avg("ratio").alias("score"))
+    """(url, score) of distinct URLs; every gram has a ratio."""
+    return _grams(urls, "url").join(ratios, "gram").groupBy("url").agg(F.avg("ratio").alias("score"))
 
 
 def threshold(judged: DataFrame) -> float:
@@ -134,29 +133,33 @@ def judge(
     pages: DataFrame, *, id_column: str = "page_id", url_column: str = "url",
     rules: tuple[tuple[str, str], ...] = RULES,
 ) -> DataFrame:
-    """Of each row: its id, host, path, rule (null if none fits), score, verdict (allow or block).
+    """Of each row: its id, host, path, rule (null if none fits), verdict (allow or block), score.
 
     The host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, with A-Z lower-cased, and the path
     what follows up to ``?``, ``#`` or the end; both are empty for null URLs and without ``://``. A rule fits its host and
     all subdomains where the path starts with its own; the longest wins. Where none fits, a score of at
-    least the threshold allows. Distinct URLs train and calibrate, so repeated rows have no weight, and come back
+    least the threshold allows. The score is that of the whole URL as it is, scheme, query and fragment included, and
+    of the empty text for null. Distinct URLs train and calibrate, so repeated rows have no weight, and come back
     as often as they occur. Without rule-judged URLs of a kind all scores compare with 0. No
     pages give no rows. Other columns are not read.
     """
-    host, path = host_and_path(F.col(url_column))
-    rows = pages.select(F.col(id_column).alias("id"), host.alias("host"), path.alias("path"))
+    url = F.coalesce(F.col(url_column).cast("string"), F.lit(""))
+    rows = pages.select(F.col(id_column).alias("id"), url.alias("url"))
+    host, path = host_and_path(F.col("url"))
     rule, verdict = rule_of(rules)
-    urls = materialise(rows.select("host", "path").distinct().select("*", verdict.alias("verdict")), "urls")
+    urls = rows.select("url").distinct().select("url", host.alias("host"), path.alias("path"))
+    urls = materialise(urls.select("*", rule.alias("rule"), verdict.alias("verdict")), "urls")
 
     known = urls.where("verdict IS NOT NULL")
-    held_out = F.substring(F.md5(F.concat("host", "path")), 1, 1) < CALIBRATION
+    held_out = F.substring(F.md5("url"), 1, 1) < CALIBRATION
     counts = materialise(_counts(known.where(~held_out)), "grams")
     grams = _grams(urls).distinct()
     ratios = materialise(log_ratios(counts, grams), "ratios")
     scores = materialise(scored(urls, ratios), "scores")
 
-    at = threshold(scores.join(known.where(held_out), ["host", "path"]).select("score", "verdict"))
-    return rows.join(scores, ["host", "path"]).select(
-        F.col("id").alias(id_column), "host", "path", rule.alias("rule"), "score",
-        F.coalesce(verdict, F.when(F.col("score") >= at, "allow").otherwise("block")).alias("verdict"),
+    at = threshold(scores.join(known.where(held_out), "url").select("score", "verdict"))
+    judged = urls.join(scores, "url").select(
+        "url", "host", "path", "rule",
+        F.coalesce("verdict", F.when(F.col("score") >= at, "allow").otherwise("block")).alias("verdict"), "score",
     )
+    return rows.join(judged, "url").select(F.col("id").alias(id_column), "host", "path", "rule", "verdict", "score")

@@ -41,6 +41,32 @@ def test_licences(spark):
     assert licenses.scan(documents(spark, [])).collect() == []
 
 
+MIT = ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+       "documentation files").split()
+
+
+def test_no_notice_with_enough_words_is_lost(spark):
+    """Whatever words of a notice are edited, as long as enough stand and its key phrase does."""
+    rng = random.Random(8)
+    editable = range(4, len(MIT))
+    texts, expected = [], []
+    for number in range(300):
+        n_edits = rng.randint(1, 8)
+        words = list(MIT)
+        for place in rng.sample(editable, n_edits):
+            words[place] = rng.choice(["any", "a", "zzz", "this", "of"])
+        same = sum(a == b for a, b in zip(words, MIT))
+        texts.append((number, " ".join(["before"] * rng.randint(0, 5) + words)))
+        expected.append("mit" if same >= 0.7 * len(MIT) else "")
+    assert 50 < sum(map(bool, expected)) < 300
+    found = by_id(licenses.scan(documents(spark, texts)))
+    assert [found[i]["labels"] for i in range(300)] == expected
+    # Also where words of the notice occur nowhere.
+    words = ["zzz" if word in ("associated", "charge", "hereby") and i > 4 else word for i, word in enumerate(MIT)]
+    one = licenses.scan(documents(spark, [(1, " ".join(words))])).first()
+    assert one["labels"] == "mit" and abs(one["score"] - 0.9) < 1e-9
+
+
 # ---- URLs ------------------------------------------------------------------
 
 CASES = [
@@ -68,6 +94,20 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0)).collect() == []
 
 
+def test_the_whole_url_is_scored(spark):
+    rng = random.Random(6)
+    good = [f"http://a{rng.randint(1, 99)}.com/p?q=news{rng.randint(1, 999)}" for _ in range(150)]
+    bad = [f"http://b{rng.randint(1, 99)}.net/es/p?q=casino{rng.randint(1, 999)}" for _ in range(150)]
+    ask = ["http://x.org/?q=news", "http://x.org/?q=casino", "x.org/news", "x.org/casino", None, ""]
+    pages = spark.createDataFrame(list(enumerate(good + bad + ask)), "page_id long, url string")
+    frame = urls.judge(pages)
+    assert frame.columns == ["page_id", "host", "path", "rule", "verdict", "score"]
+    found = by_id(frame, "page_id")
+    rows = [found[len(good + bad) + k] for k in range(len(ask))]
+    assert [r["verdict"] for r in rows[:4]] == ["allow", "block", "allow", "block"]
+    assert rows[0]["score"] > rows[1]["score"] and rows[2]["score"] > rows[3]["score"] and rows[4]["score"] == rows[5]["score"]
+
+
 def test_model_learns_what_rules_say(spark):
     rng = random.Random(4)
     good = [f"http://{w}.com/{rng.randint(1, 999)}" for w in ("news", "books", "music") for _ in range(80)]
@@ -80,8 +120,7 @@ def test_model_learns_what_rules_say(spark):
 
 def test_probabilities_add_up(spark):
     texts = ["abab", "abc", "xaby"]
-    rows = [(t, "", "allow") for t in texts]
-    counts = urls._counts(spark.createDataFrame(rows, "host string, path string, verdict string"))
+    counts = urls._counts(spark.createDataFrame([(t, "allow") for t in texts], "url string, verdict string"))
     letters = sorted(set("".join(texts)) | {urls.END}) + [chr(0x100 + k) for k in range(urls.ALPHABET - 6)]
     grams = spark.createDataFrame([("zab" + c,) for c in letters], "gram string")
     ratios = urls.log_ratios(counts, grams).select(F.sum(F.exp("ratio")))
