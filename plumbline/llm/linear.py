@@ -91,3 +91,13 @@ def sample_by_id(rows: DataFrame, size: int) -> DataFrame:
     """At most ``size`` rows with an id, chosen by the hash of ``id``; the same at every run."""
     order = F.xxhash64("id")
     return rows.where("id IS NOT NULL").orderBy(order, "id").limit(size)
+
+
+def at_most(rows: DataFrame, size: int) -> DataFrame:
+    """The rows, with columns id and text; where ids are shared by so many that there are more than ``size``, those
+    with the smallest hashes of both, and of equal rows at the end of these one."""
+    if rows.select("id").count() <= size:
+        return rows
+    keyed = rows.withColumn("key", F.xxhash64("id", "text"))
+    cut = keyed.select("key").orderBy("key").limit(size).agg(F.max("key")).head()[0]
+    return keyed.where(F.col("key") < cut).union(keyed.where(F.col("key") == cut).limit(1)).drop("key")

@@ -12,6 +12,7 @@ same pieces if it reads the same rows in the same order, as a scan of files does
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -41,7 +42,8 @@ class WordIds:
     Neither the normaliser nor the pre-tokeniser of a tokenizer that drops white space looks across
     it, so the ids of a text are those of its parts, and a part seen before needs no second look. A part of
     ASCII letters, with or without marks behind it, is one word to the tokenizer and goes to its
-    model directly; everything else takes the tokenizer's whole way.
+    model directly; everything else takes the tokenizer's whole way. Texts of a tokenizer that is built otherwise
+    are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -49,6 +51,7 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
+        self._by_parts = _drops_white_space(json.loads(self._tokenizer.to_str()))
         self._known: dict[bytes, bytes] = {}
         self._older: dict[bytes, bytes] = {}
         self._marks: dict[bytes, bytes] = {}
@@ -90,6 +93,11 @@ class WordIds:
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        if not self._by_parts:
+            for text in texts:
+                ids = self._tokenizer.encode(text.decode(), add_special_tokens=False).ids
+                yield np.array(ids, "<u4").tobytes()
+            return
         split = [text.split() for text in texts]
         every = set().union(*split)
         new = every.difference(self._known)
@@ -106,6 +114,21 @@ class WordIds:
             yield b"".join([known[part] for part in parts])
 
 
+def _drops_white_space(parts: dict) -> bool:
+    """Whether a tokenizer lower-cases texts and cuts them into runs of letters, single digits and marks, without
+    the white space between them, by its own normaliser and pre-tokeniser."""
+    steps = (parts["normalizer"] or {}).get("normalizers", [])
+    cuts = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        [step["type"] for step in steps] == ["NFC", "Replace", "Lowercase"]
+        and (steps[1]["pattern"], steps[1]["content"]) == ({"Regex": r"\s+"}, " ")
+        and [cut["type"] for cut in cuts] == ["Split", "ByteLevel"]
+        and (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True)
+        and cuts[0]["pattern"] == {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+        and not (cuts[1]["add_prefix_space"] or cuts[1]["use_regex"])
+    )
+
+
 def word_ids(path: str) -> WordIds:
     if path not in _tokenizers:
         _tokenizers[path] = WordIds(path)

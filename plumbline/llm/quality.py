@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.linear import Linear, Sparse, fit, sample_by_id
+from plumbline.llm.linear import Linear, Sparse, at_most, fit, sample_by_id
 from plumbline.llm.toxicity import rows_where
 from plumbline.llm.words import Words, distinct, mixed, slices, text_bytes, words_of
 
@@ -226,7 +226,8 @@ def train(
 ) -> Quality:
     """Vote counts over all documents; a scorer fitted on at most ``sample_rows`` of them.
 
-    The sample is chosen by the hash of the id, and its rows have at most ``COLUMNS`` numbers each.
+    The sample is chosen by the hash of the id, of rows that share ids by that of id and text, and its rows have at
+    most ``COLUMNS`` numbers each.
     Repeated rows count as often as they occur. Without documents every text scores the prior of one half.
     """
     documents = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
@@ -262,7 +263,7 @@ def train(
                 )
 
     ids = sample_by_id(documents.select("id"), sample_rows).distinct()
-    chosen = documents.join(F.broadcast(ids), "id").select("text")
+    chosen = at_most(documents.join(F.broadcast(ids), "id"), sample_rows).select("text")
     found = chosen.mapInArrow(sampled, "columns array<int>, shares array<float>, weak double").toArrow()
     columns = found.column("columns").combine_chunks()
     lengths = columns.value_lengths().to_numpy()

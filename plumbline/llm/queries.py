@@ -76,7 +76,8 @@ def op2_sum_of_squares_packing(spark, sf_dir):
     from plumbline.llm.packing import pack, with_digests
 
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
-    return with_digests(pieces).drop("ids")
+    return with_digests(pieces).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 @query

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.linear import Linear, Sparse, fit, sample_by_id
+from plumbline.llm.linear import Linear, Sparse, at_most, fit, sample_by_id
 from plumbline.llm.words import ALPHANUMERIC, distinct, slices, words_of
 
 #: Labelled rows that the models are fitted on, at most.
@@ -103,7 +103,7 @@ def best_threshold(probability: np.ndarray, toxic: np.ndarray) -> float:
 def _labelled(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """(text, toxic, fold) of the sample; its ids are few by its bound and so are broadcast."""
     sample = sample_by_id(labels, rows).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)))
-    return documents.join(F.broadcast(sample), "id").select("text", "toxic", "fold")
+    return at_most(documents.join(F.broadcast(sample), "id"), rows).select("text", "toxic", "fold")
 
 
 def _word_counts(labelled: DataFrame) -> DataFrame:
@@ -146,7 +146,8 @@ def train(
     label_column: str = "toxic", categories: dict[str, tuple[str, ...]] | None = None,
     sample_rows: int = SAMPLE_ROWS,
 ) -> Chain:
-    """The chain, fitted on at most ``sample_rows`` labelled documents chosen by the hash of the id.
+    """The chain, fitted on at most ``sample_rows`` labelled documents chosen by the hash of the id, of rows
+    that share ids by that of id and text.
 
     Labels other than 0 and 1 and rows without an id are left out; an id with several labels is
     toxic if one says so. Without labelled rows, or with labels of one kind only, nothing is toxic.
@@ -227,14 +228,20 @@ def score(
 def rows_where(
     documents: DataFrame, text_column: str, keep: Callable[[pa.Array], np.ndarray],
 ) -> DataFrame:
-    """The rows of documents, all columns unchanged, whose text passes; nothing is shuffled."""
+    """The rows of documents, all columns unchanged, whose text passes; nothing is shuffled.
+
+    Columns may have any names. Equal texts pass or fail together; a null text is judged as an empty one is.
+    """
+    names = documents.columns
+    numbered = documents.toDF(*[f"column_{number}" for number in range(len(names))])
+    text = f"column_{[name.lower() for name in names].index(text_column.lower())}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text_column):
-                yield part.filter(pa.array(keep(part.column(text_column))))
+            for part in slices(batch, text):
+                yield part.filter(pa.array(keep(part.column(text))))
 
-    return documents.mapInArrow(run, documents.schema)
+    return numbered.mapInArrow(run, numbered.schema).toDF(*names)
 
 
 def without_toxic(documents: DataFrame, chain: Chain, *, text_column: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from helpers import documents
 from tokenizers import Tokenizer
 
-from plumbline.llm.packing import ID_BYTES, Packer, pack
+from plumbline.llm.packing import ID_BYTES, Packer, WordIds, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -47,6 +47,23 @@ def test_round_trip(spark, length):
     assert sum(size < length for size in full) <= 1
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_other_tokenizers_encode_whole_texts(name):
+    path = public_tokenizers.path(name)
+    texts = ["Hello World again", " two  spaces\n\nlines ", "", "don't STOP 123,456...", "Gr\u00f6\u00dfe \u4e2d\u6587 \U0001f600"]
+    own = Tokenizer.from_file(path)
+    found = list(WordIds(path).of([text.encode() for text in texts]))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [
+        own.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_query_columns(spark):
+    from plumbline.llm import queries
+
+    found = queries.queries()["op2_sum_of_squares_packing"](spark, "/root/testdata/sf0.001")
+    assert found.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
 def test_empty(spark):
     assert pack(documents(spark, []), PATH, 2).collect() == []
 

@@ -1,5 +1,6 @@
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from helpers import alphanumeric, by_id, spaced
 from test_decontaminate import brute_force as contaminated
 from test_neardup import brute_force as components
@@ -72,6 +73,24 @@ def test_packing_keeps_every_token(stages):
     assert not pieces
 
 
+NAMES = ["row", "row_of_stage", "gone", "gone_rows", "hit_rows", "text_md5", "kept", "component_id", "contaminated",
+         "n_words", "id", "key", "fold", "toxic", "quality", "label", "words", "a.b", "x`y"]
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_columns_with_the_stages_own_names(spark, number):
+    """Columns named like each internal one stay as they are and change no decision."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    _, stage = corpus_pipeline.STAGES[number]
+    more = docs.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in NAMES})
+    got = stage(spark, more, SF_DIR)
+    assert got.columns == more.columns
+    expected = {r["doc_id"] for r in stage(spark, docs, SF_DIR).select("doc_id").collect()}
+    found = got.collect()
+    assert {r["doc_id"] for r in found} == expected
+    assert all(r[name] == f"{name}{r['doc_id']}" for r in found[:50] for name in NAMES)
+
+
 def test_rows_that_share_an_id(spark):
     docs = spark.createDataFrame(
         [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (None, "x y z"), (None, None), (3, None)],

@@ -83,3 +83,32 @@ def test_statistics_are_shares():
     assert np.isclose(found[2, names.index("repeated_lines")], 1 / 3)
     assert np.isclose(found[5, names.index("symbols")], 2 / 3)
     assert (found[3:5] == 0).all()
+
+
+def test_a_sample_has_at_most_its_rows(spark):
+    """Shared ids and equal rows do not bring more rows to the driver than the bound."""
+    from pyspark.sql import functions as F
+
+    from plumbline.llm.linear import at_most
+
+    shared = spark.range(3000).selectExpr("id % 3 AS id", "concat('text ', CAST(id AS string)) AS text")
+    equal = spark.range(3000).selectExpr("1 AS id", "'same' AS text")
+    single = spark.range(5).selectExpr("id", "CAST(id AS string) AS text")
+    for rows, size, expected in ((shared, 6, 6), (equal, 6, 1), (shared.union(equal), 50, 50), (single, 5, 5)):
+        found = at_most(rows, size)
+        assert found.count() == expected and found.columns == ["id", "text"]
+        assert found.exceptAll(rows).count() == 0
+        assert sorted(found.collect()) == sorted(at_most(rows.repartition(7), size).collect())
+    seen = []
+    own = quality.fit
+
+    def fit(sparse, *rest):
+        seen.append(sparse.n)
+        return own(sparse, *rest)
+
+    quality.fit = fit
+    try:
+        quality.train(shared.select(F.col("id").alias("doc_id"), "text"), sample_rows=5)
+    finally:
+        quality.fit = own
+    assert seen == [5]
