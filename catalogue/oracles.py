@@ -215,6 +215,13 @@ def _viewing_duplicates() -> str:
     return " UNION ALL ".join(queries)
 
 
+def _satellite_duplicates() -> str:
+    return _duplicates(
+        VIEWING, WATCHED, "EV_VIEWING_HISTORY",
+        "business_line = 'SATELLITE' AND viewing_platform = 'STB' AND upper(channel_tune_type) = 'LIVE'",
+        "'STB' AS viewMode", "ban", "business_line", "ban")
+
+
 def _line_duplicates(flags, havings, keys, listed, table) -> str:
     return " UNION ALL ".join(
         _duplicates(
@@ -413,6 +420,15 @@ def oracles() -> dict[str, str]:
                     OR c.date BETWEEN date_trunc('month', d.date - INTERVAL 1 YEAR)
                        AND last_day(CAST(d.date - INTERVAL 1 YEAR AS DATE))""",
             "any_value(n_days)", ", on_day", "AND b.on_day = d.day"),
+        "total_consistency_filled": _total_consistency(
+            "1994-12-30", "2001-12-31",
+            """SELECT c.business_line, c.status, c.n, d.day AS on_day,
+                      30 + day(last_day(CAST(d.date - INTERVAL 1 YEAR AS DATE))) AS n_days
+               FROM (SELECT *, strptime(CAST(day AS VARCHAR), '%Y%m%d') AS date FROM counts) c
+               JOIN days d ON c.date BETWEEN d.date - INTERVAL 30 DAY AND d.date - INTERVAL 1 DAY
+                    OR c.date BETWEEN date_trunc('month', d.date - INTERVAL 1 YEAR)
+                       AND last_day(CAST(d.date - INTERVAL 1 YEAR AS DATE))""",
+            "any_value(n_days)", ", on_day", "AND b.on_day = d.day"),
         "total_consistency_source": _total_consistency(
             "1996-02-15", "2001-12-31",
             "SELECT * FROM counts WHERE day BETWEEN 19950201 AND 19950228 "
@@ -443,16 +459,19 @@ def oracles() -> dict[str, str]:
         "large_differences": """
             SELECT o_custkey, count(*) * 2500000000 - 100 AS difference, 'GreaterThan15Percent' AS category
             FROM orders GROUP BY o_custkey""",
-        "query_ids_of_all_checks": """
-            SELECT scenario, CAST(1 AS BIGINT) AS most_rows_of_an_id, true AS logged
-            FROM (VALUES ('ColumnQuality'), ('ColumnConsistencyCheck'), ('TotalConsistencyCheck'),
-                  ('DuplicateCheck')) AS t(scenario) WHERE EXISTS (SELECT 1 FROM orders)""",
+        "query_ids_of_all_checks": f"""
+            SELECT scenario, CAST(2 * n AS BIGINT) AS n, CAST(2 * n AS BIGINT) AS ids FROM (
+                SELECT 'ColumnQuality' AS scenario, count(*) AS n FROM ({_viewing_quality()})
+                UNION ALL SELECT 'ColumnConsistencyCheck', 6 * count(*) FROM ({_days('2023-12-30', '2024-02-02')})
+                UNION ALL SELECT 'TotalConsistencyCheck', 3 * count(*) FROM ({_days('1994-12-30', '2001-12-31')})
+                UNION ALL SELECT 'DuplicateCheck', count(*) FROM ({_satellite_duplicates()}))
+            WHERE n > 0""",
         "result_tables": f"""
             SELECT 'EV_ACCOUNT' AS tableName, status AS viewMode, businessLine, count(v.day) AS dayCount,
                    d.day AS partitionDate, 'TotalConsistencyCheck' AS scenario
             FROM (VALUES ('SATELLITE', 'Active'), ('OTT', 'Pending'), ('CABLE', 'Suspended'))
                 AS r(businessLine, viewMode)
-            CROSS JOIN ({_days('1996-03-01', '1996-03-31')}) d
+            CROSS JOIN ({_days('1994-12-30', '2001-12-31')}) d
             LEFT JOIN (SELECT business_line, status AS own, {_day('data_dt')} AS day FROM ({ACCOUNT})) v
                 ON v.business_line = r.businessLine AND v.own = r.viewMode AND v.day = d.day
             CROSS JOIN LATERAL (SELECT r.viewMode AS status)
@@ -529,6 +548,18 @@ def oracles() -> dict[str, str]:
             SELECT CAST(yr AS VARCHAR) AS yr, status, count(*) AS load_rows,
                    count(*) FILTER (WHERE yr < 2000) AS merged_rows, bool_and(yr < 2000) AS complete
             FROM ({TREE}) GROUP BY yr, status""",
+        "merge_publish_outcomes": """
+            SELECT concat('yr=', year(o_orderdate), '/status=', o_orderstatus, '/load_dt=99999999') AS leaf,
+                   o.outcome, count(*) AS rows
+            FROM orders JOIN (VALUES ('written', true), ('replaced', true), ('kept', false)) AS o(outcome, again)
+                ON o.again = (CAST(year(o_orderdate) AS VARCHAR) LIKE '199%')
+            GROUP BY ALL""",
+        "schema_check_typed_directories": """
+            WITH t(kind, type) AS (VALUES ('short', 'int'), ('long', 'bigint'), ('twenty', 'decimal(20,0)'),
+                ('date', 'date'), ('time', 'timestamp'), ('mixed', 'string'), ('fraction', 'double'), ('no date', 'string'))
+            SELECT a.kind AS reference, 'kind=' || b.kind AS leaf,
+                   CASE WHEN a.type = b.type THEN 'Correct' ELSE 'Wrong' END AS schema_status
+            FROM t a, t b WHERE EXISTS (SELECT 1 FROM orders)""",
         "merge_written_files": f"""
             SELECT 'yr=' || yr || '/status=' || status || '/load_dt=99999999' AS leaf,
                    count(*) AS "rows" FROM ({TREE}) GROUP BY ALL""",

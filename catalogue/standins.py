@@ -140,6 +140,25 @@ def order_tree(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+# Values of a partition column below a kind of directory, two of each.
+DIRECTORY_VALUES = {
+    "short": ("1", "020"), "long": ("1", "12345678901"), "twenty": ("12345678901234567890", "7"),
+    "date": ("1998-01-02", "1998-12-31"), "time": ("1998-01-02 03:04:05", "1998-01-02 00:00:00"),
+    "mixed": ("1", "a b"), "fraction": ("0.5", "1"), "no date": ("1998-02-30", "1998-01-01"),
+}
+
+
+def typed_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Orders in a directory per kind of partition values, of which each holds half the orders."""
+    path = scratch_path(spark, "typed-tree")
+    pairs = [{"kind": k, "half": n, "value": v} for k, pair in DIRECTORY_VALUES.items() for n, v in enumerate(pair)]
+    values = local_frame(spark, pairs, "kind string, half long, value string")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    halves = orders.withColumn("half", F.pmod("o_orderkey", F.lit(2)))
+    halves.join(F.broadcast(values), "half").drop("half").write.partitionBy("kind", "value").parquet(path)
+    return path
+
+
 def mixed_schema_tree(spark: SparkSession, sf_dir: str) -> str:
     """Orders by status: one leaf as the reference, one reordered, the others re-typed."""
     path = scratch_path(spark, "schema-tree")

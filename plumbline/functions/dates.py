@@ -7,6 +7,7 @@ constant, so a range built here still prunes partitions.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -44,6 +45,17 @@ def run_range(start, end, max_days: int | None = None) -> tuple[dt.date, dt.date
     return first, last
 
 
+def day_runs(days: Sequence[int]) -> list[tuple[dt.date, dt.date]]:
+    """Sorted ``yyyyMMdd`` numbers as the fewest (first, last) ranges that hold just these days."""
+    found: list[tuple[dt.date, dt.date]] = []
+    for day in map(parse_day, days):
+        if found and (day - found[-1][1]).days <= 1:
+            found[-1] = found[-1][0], day
+        else:
+            found.append((day, day))
+    return found
+
+
 def date_of(day: Column) -> Column:
     """``yyyyMMdd`` number or text to a date; NULL where there is no such day."""
     return F.try_to_date(day.cast("string"), DAY_FORMAT)

@@ -17,8 +17,11 @@ OVER_15 = "GreaterThan15Percent"
 # Category of a day that has no baseline to compare with.
 NO_BASELINE = "noBaseline"
 
-# An id holds the second a run started, the check, and the row's number.
-_ROW_BITS, _CHECK_BITS = 30, 2
+# An id holds when a run started (in 128ths of a second from the epoch on), the check, and the row's number.
+# 39 bits of time last until the year 2156.
+_EPOCH = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
+_PER_SECOND = 128
+_TIME_BITS, _CHECK_BITS, _ROW_BITS = 39, 2, 22
 
 
 def improper_percent(improper: Column, total: Column) -> Column:
@@ -69,13 +72,26 @@ class Run:
     def log_time(self) -> int:
         return int(self.started.strftime("%Y%m%d%H%M%S"))
 
+    def _prefix(self, check: int) -> int:
+        if not 0 <= check < 1 << _CHECK_BITS:
+            raise ValueError(f"no such check number: {check}")
+        ticks = (self.started.astimezone(dt.timezone.utc) - _EPOCH) // dt.timedelta(microseconds=1) * _PER_SECOND // 1_000_000
+        if not 0 <= ticks < 1 << _TIME_BITS:
+            raise ValueError(f"a run that started {self.started} has no ids")
+        return (ticks << _CHECK_BITS | check) << _ROW_BITS
+
+    def id_range(self, check: int = 0) -> tuple[int, int]:
+        """The smallest and the largest id that rows of this run of a check can have."""
+        prefix = self._prefix(check)
+        return prefix, prefix + (1 << _ROW_BITS) - 1
+
     def query_id(self, row_number: Column, check: int = 0) -> Column:
-        """Id of one result row: the run's start second, the number of its check, the row's in the run.
+        """Id of one result row: when the run started, the number of its check, the row's in the run.
 
-        Unlike a hash it cannot collide, also between checks that share a log, and a later run
-        always has the larger id, which settles "latest" between runs of one log date.
+        Unlike a hash it cannot collide, also between checks that share a log and between runs of one check
+        that start in the same second (but for the same 128th of it), and a later run always has the larger
+        id, which settles "latest" between runs of one log date. A run of more than four million rows is an error.
         """
-        if not 0 <= check < 1 << _CHECK_BITS:
-            raise ValueError(f"no such check number: {check}")
-        prefix = int(self.started.timestamp()) << _CHECK_BITS | check
-        return F.lit(prefix << _ROW_BITS) + row_number.cast("long")
+        number = row_number.cast("long")
+        too_many = F.raise_error(F.lit(f"a run has at most {1 << _ROW_BITS} rows")).cast("long")
+        return F.when(number < 1 << _ROW_BITS, F.lit(self._prefix(check)) + number).otherwise(too_many)

@@ -17,12 +17,15 @@ from plumbline.plans import schema_check as sc
 from plumbline.plans.consistency import column_consistency, total_consistency
 from plumbline.plans.duplicates import duplicate_check
 from plumbline.plans.quality import column_quality
-from plumbline.session import materialise
+from plumbline.session import discard, materialise
 from plumbline.sources.rules import HIGH, PRIORITY_RANK, read_rules
 from plumbline.sources.tables import read_rows
 
 QUERY_LOG = "dataValidation_QueryDetails"
 
+# Rows of a result that a job prints at most. The whole result is for ``--results``.
+SHOWN = 100
+
 # Job -> (check, rule layout, result table).
 CHECKS = {
     "quality": (column_quality, schemas.QUALITY_RULES, "ColumnQualityCheck"),
@@ -49,8 +52,8 @@ def parser() -> argparse.ArgumentParser:
         if name.endswith("consistency"):
             job.add_argument("--baseline", default=PER_DAY, choices=BASELINE_MODES)
             job.add_argument("--anchor", default=FROM_RUN, choices=ANCHORS)
-            job.add_argument("--history", default="log", choices=["log", "source"],
-                             help="baseline from logged results, or measured from the source")
+            job.add_argument("--history", default="log", choices=["log", "source", "both"],
+                             help="baseline from logged results, measured from the source, or measured where not logged")
     job = jobs.add_parser("schema")
     job.add_argument("filter", help="text in the first-level path")
     job.add_argument("--reference", required=True)
@@ -64,6 +67,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--partitions", required=True, help="comma list, without the load column")
     job.add_argument("--load-column", default=merge.LOAD_COLUMN)
     job.add_argument("--no-compact", action="store_true")
+    job.add_argument("--results", help="Parquet path (with a slash) or table that the rows per leaf are appended to")
     job = jobs.add_parser("compare")
     job.add_argument("left", help="Parquet path or table")
     job.add_argument("right", help="Parquet path or table")
@@ -71,7 +75,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--day", help="day column of the pattern")
     job.add_argument("--like", help="pattern such as 2018%%")
     job.add_argument("--results", help="Parquet path (with a slash) or table that all groups are appended to")
-    job.add_argument("--show", type=int, help="groups to print, differences first; all by default")
+    job.add_argument("--show", type=int, default=SHOWN, help="groups to print at most, differences first")
     return top
 
 
@@ -95,14 +99,17 @@ def main(argv: Sequence[str] | None = None) -> None:
             spark, args.input, args.output, partitions, load_column=args.load_column,
             name_filter=args.filter, compact=not args.no_compact,
         )
-        short = materialise(merge.reconcile_leaves(
+        leaves = materialise(merge.reconcile_leaves(
             spark, args.input, args.output, partitions, load_column=args.load_column,
             name_filter=args.filter,
-        ).where("NOT complete"), "short-leaves")
-        leaves = short.count()
-        if leaves:
-            short.orderBy(*partitions).show(leaves, truncate=False)
-            raise SystemExit(f"the merge does not hold the rows of the {leaves} leaves above")
+        ), "leaves")
+        if args.results:
+            sinks.append(leaves, args.results)
+        short = leaves.where("NOT complete")
+        found = short.count()
+        if found:
+            short.orderBy(*partitions).show(SHOWN, truncate=False)
+            raise SystemExit(f"the merge does not hold the rows of {found} leaves (above: the first {min(found, SHOWN)})")
     else:
         compared = compare_counts(
             read_rows(spark, args.left), read_rows(spark, args.right), names(args.columns),
@@ -111,10 +118,11 @@ def main(argv: Sequence[str] | None = None) -> None:
         compared = materialise(compared, "compared")
         if args.results:
             sinks.append(compared, args.results)
-        groups, differing = compared.count(), compared.where("difference <> 0").count()
-        print(f"{groups} groups, {differing} of them differ")
-        shown = groups if args.show is None else args.show
+        found = compared.agg(F.count(F.lit(1)).alias("groups"), F.count_if(F.col("difference") != 0).alias("differing")).head()
+        shown = min(args.show, found["groups"])
+        print(f"{found['groups']} groups, {found['differing']} of them differ; the first {shown}:")
         compared.orderBy(F.col("difference") == 0, *names(args.columns)).show(shown, truncate=False)
+        discard(compared)
 
 
 def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -126,8 +134,8 @@ def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job in ("quality", "column-consistency"):
         options["threshold"] = args.threshold
     if args.job.endswith("consistency"):
-        history = spark.table(results) if args.history == "log" else None
-        options |= {"history": history, "baseline": args.baseline, "anchor": args.anchor}
+        history = spark.table(results) if args.history != "source" else None
+        options |= {"history": history, "fill_gaps": args.history == "both", "baseline": args.baseline, "anchor": args.anchor}
     sinks.store(
         check(spark, rules, args.start, args.end, **options), results, f"{args.results}.{QUERY_LOG}"
     )

@@ -1,45 +1,37 @@
-"""Schemas of Parquet locations, read from file footers by the tasks of one job."""
+"""Schemas of Parquet locations: one look at a footer per location, one read by Spark per distinct case.
+
+What a location's schema is, only Spark's reader says. Tasks find each location's first file, and what
+its schema and its directories have in common with those of other locations; one location of each kind is then read.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
+from pyspark.sql.pandas.types import to_arrow_schema
 
-# Fixed value: the footer key under which Spark keeps the schema it wrote.
-SPARK_SCHEMA_KEY = b"org.apache.spark.sql.parquet.row.metadata"
+from plumbline.session import local_frame, materialise
+from plumbline.sources.listing import filesystem, listed, tasks_of
+from plumbline.sources.tree import escaped, locations
 
 # Tasks get this module's functions with the job, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FIELDS = "array<struct<position:int,name:string,type:string>>"
-# The types partition discovery gives to directory values.
-PARTITION_TYPES = {
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "double": T.DoubleType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "string": T.StringType(),
-}
-_FIELD = T.StructType([
-    T.StructField("position", T.IntegerType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("type", T.StringType()),
-])
-_LOCATION_SCHEMAS = T.StructType([
-    T.StructField("location", T.StringType()),
-    T.StructField("fields", T.ArrayType(_FIELD)),
-])
+
+# Directory values that are alike to any reader that types them: short numbers, and dates that exist.
+_ALIKE = [(re.compile(r"\d{1,9}"), "1"), (re.compile(r"\d{4}-(0[1-9]|1[0-2])-(0[1-9]|1\d|2[0-8])"), "2000-01-01")]
 
 
 def nullable(dtype: T.DataType) -> T.DataType:
@@ -68,124 +60,121 @@ def field_list(schema: T.StructType) -> list[dict]:
     return out
 
 
-def spark_type(arrow: pa.DataType) -> T.DataType:
-    """The Spark type a file scan gives to a Parquet column of another writer."""
-    if pa.types.is_dictionary(arrow):
-        return spark_type(arrow.value_type)
-    if pa.types.is_unsigned_integer(arrow):
-        # Unsigned numbers widen to the next signed type that holds them.
-        widened = {8: T.ShortType(), 16: T.IntegerType(), 32: T.LongType()}
-        return widened.get(arrow.bit_width, T.DecimalType(20, 0))
-    if pa.types.is_duration(arrow):
-        return T.LongType()
-    if pa.types.is_struct(arrow):
-        return T.StructType([T.StructField(f.name, spark_type(f.type)) for f in arrow])
-    if pa.types.is_map(arrow):
-        return T.MapType(spark_type(arrow.key_type), spark_type(arrow.item_type))
-    if pa.types.is_list(arrow) or pa.types.is_large_list(arrow) or pa.types.is_fixed_size_list(arrow):
-        return T.ArrayType(spark_type(arrow.value_type))
-    if pa.types.is_timestamp(arrow):
-        # Nanoseconds only come from the old 96-bit form, which is an instant.
-        instant = arrow.tz is not None or arrow.unit == "ns"
-        return T.TimestampType() if instant else T.TimestampNTZType()
-    if pa.types.is_fixed_size_binary(arrow):
-        return T.BinaryType()
-    return from_arrow_type(arrow)
-
-
-def footer_schema(metadata: pq.FileMetaData) -> T.StructType:
-    """The Spark schema of one file: the one Spark stored, else by column types."""
-    stored = (metadata.metadata or {}).get(SPARK_SCHEMA_KEY)
-    if stored:
-        return T.StructType.fromJson(json.loads(stored))
-    return T.StructType(
-        [T.StructField(f.name, spark_type(f.type)) for f in metadata.schema.to_arrow_schema()]
-    )
-
-
-def _filesystem(uri: str, opened: dict) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a Hadoop-style URI (which is not percent-encoded)."""
-    scheme, _, rest = uri.partition(":")
-    if scheme == "file":
-        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
-    authority, _, path = rest.lstrip("/").partition("/")
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    key = (scheme, authority)
-    if key not in opened:
-        opened[key] = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    system, base = opened[key]
-    return system, f"{base.rstrip('/')}/{path}"
-
-
-def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    opened: dict = {}
-    out = to_arrow_schema(_LOCATION_SCHEMAS)
-    for batch in batches:
-        found = []
-        for row in batch.to_pylist():
-            system, path = _filesystem(row["path"], opened)
-            try:
-                schema = footer_schema(pq.read_metadata(path, filesystem=system))
-            except pa.ArrowInvalid:
-                # Not a Parquet file. Other read errors fail the task, which is tried again.
-                found.append({"location": row["location"], "fields": None})
-                continue
-            fields = _with_partitions(schema, row["partitions"] or [])
-            found.append({"location": row["location"], "fields": field_list(fields)})
-        yield pa.RecordBatch.from_pylist(found, schema=out)
-
-
-def _with_partitions(schema: T.StructType, partitions: list[dict]) -> T.StructType:
-    """Data fields, then directory fields; a field of both keeps its place and the directory's type."""
-    typed = {p["name"]: T.StructField(p["name"], PARTITION_TYPES[p["type"]]) for p in partitions}
-    names = {n.lower(): n for n in typed}
-    data = [typed.pop(names[f.name.lower()], f) if f.name.lower() in names else f
-            for f in schema.fields]
-    return T.StructType(data + list(typed.values()))
-
-
-def _partition_types(located: DataFrame) -> DataFrame:
-    """Partition columns below each location, typed the way partition discovery types them."""
-    level = F.posexplode(F.slice(F.split("rest", "/"), 1, F.size(F.split("rest", "/")) - 1))
-    levels = located.where(F.contains("rest", F.lit("/"))).select("location", level)
-    pairs = levels.where(F.contains("col", F.lit("="))).select(
-        "location", "pos", F.substring_index("col", "=", 1).alias("name"),
-        F.expr("replace(substring(col, instr(col, '=') + 1), '%3A', ':')").alias("value"),
-    ).withColumn("value", F.when(F.col("value") != "__HIVE_DEFAULT_PARTITION__", F.col("value")))
-    value = F.col("value")
-
-    def every(test):
-        return F.coalesce(F.bool_and(test), F.lit(False))
-
-    whole = value.rlike(r"^[+-]?\d+$")
-    date_text = r"^\d{4}-\d{2}-\d{2}$"
-    time_text = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d+)?$"
-    kind = (
-        F.when(every(whole & value.try_cast("int").isNotNull()), "int")
-        .when(every(whole & value.try_cast("bigint").isNotNull()), "bigint")
-        .when(every(value.try_cast("double").isNotNull()), "double")
-        .when(every(value.rlike(date_text) & value.try_cast("date").isNotNull()), "date")
-        .when(every(value.rlike(time_text) & value.try_cast("timestamp").isNotNull()), "timestamp")
-        .otherwise("string")
-    )
-    typed = pairs.groupBy("location", "pos", "name").agg(kind.alias("type"))
-    return typed.groupBy("location").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "name", "type"))).alias("partitions")
-    )
-
-
-def location_schemas(located: DataFrame) -> DataFrame:
-    """Schema per location as (location, fields); fields are NULL for an unreadable file.
-
-    A location's schema is that of its first file in path order, plus partition
-    columns found below it. Only footers are read, by as many tasks as the
-    cluster runs at once.
+def signature(uri: str, opened: dict) -> str | None:
+    """A digest of all that a file's footer says of its columns; None if it is not Parquet."""
+    system, path = filesystem(uri, opened)
+    try:
+        footer = pq.read_metadata(path, filesystem=system)
+    except pa.ArrowInvalid:
+        return None  # Other read errors fail the task, which is tried again.
+    columns = str(footer.schema).partition("\n")[2]  # the first line names an object in memory
+    stored = sorted((footer.metadata or {}).items())
+    return hashlib.sha256(repr((columns, stored)).encode()).hexdigest()
+
+
+def with_signatures(files: DataFrame, column: str = "path") -> DataFrame:
+    """The rows with the signature of the file each names, read by as many tasks as the cluster runs at once."""
+    schema = T.StructType([*files.schema.fields, T.StructField("signature", T.StringType())])
+    out = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened: dict = {}
+        for batch in batches:
+            found = [uri and signature(uri, opened) for uri in batch.column(column).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], schema=out)
+
+    return files.repartition(tasks_of(files.sparkSession), column).mapInArrow(run, schema)
+
+
+def _alike(directory: str) -> str:
+    """A directory's name with a value that stands for all that are typed alike."""
+    name, equals, value = directory.partition("=")
+    for pattern, example in _ALIKE:
+        if equals and pattern.fullmatch(value):
+            return f"{name}={example}"
+    return directory
+
+
+def _below(found: DataFrame) -> DataFrame:
+    """(location, path, marks): the first file under each location, in path order, and a digest of the
+    directories between. A location's own entries are spread over tasks."""
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened: dict = {}
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                inside = [("", True)] if row["is_file"] else listed(row["path"], opened)
+                rows += [(row["location"], row["path"], name, is_file) for name, is_file in inside]
+            yield _batch(rows, ["location", "top", "entry", "is_file"], [pa.string()] * 3 + [pa.bool_()])
+
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened: dict = {}
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                top, entry = row["top"], row["entry"]
+                path = f"{top}/{entry}" if entry else top
+                if row["is_file"]:
+                    rows.append((row["location"], path, []))
+                    continue
+                first, marks = None, set()
+                for below, is_file in listed(path, opened, recursive=True):
+                    if is_file:
+                        file = f"{path}/{below}"
+                        first = file if first is None else min(first, file)
+                        levels = [entry, *below.split("/")[:-1]]
+                        marks.add("/".join(directory.partition("=")[0] for directory in levels))
+                        marks.update(f"{n} {_alike(directory)}" for n, directory in enumerate(levels))
+                if first:
+                    rows.append((row["location"], first, sorted(marks)))
+            yield _batch(rows, ["location", "path", "marks"], [pa.string(), pa.string(), pa.list_(pa.string())])
+
+    tasks = tasks_of(found.sparkSession)
+    inside = found.repartition(tasks, "path").mapInArrow(entries, "location string, top string, entry string, is_file boolean")
+    seen = inside.repartition(tasks, "top", "entry").mapInArrow(walked, "location string, path string, marks array<string>")
+    first = seen.groupBy("location").agg(F.min("path").alias("path"))
+    marks = seen.select("location", F.explode("marks").alias("mark")).distinct().groupBy("location").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("mark")).alias("x"),
+        F.bit_xor(F.xxhash64("mark", F.lit(1))).alias("y"))
+    return first.join(marks, "location", "left").select("location", "path", F.struct("n", "x", "y").alias("marks"))
+
+
+def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(columns, types)], names)
+
+
+def _read_schema(spark: SparkSession, path: str) -> list[dict] | None:
+    """The fields that Spark's reader gives a location; None if it refuses the directories below."""
+    try:
+        return field_list(spark.read.parquet(escaped(path)).schema)
+    except PySparkException as exc:
+        if not (exc.getCondition() or "").startswith("CONFLICTING"):
+            raise
+        return None
+
+
+def location_schemas(spark: SparkSession, root: str, depth: int, name_filter: str = "") -> DataFrame:
+    """Schema per location ``depth`` levels under ``root`` as (location, fields), as Spark's reader gives it: of
+    the first file in path order, and of the partition columns below the location.
+
+    Fields are NULL where the first file is not Parquet or Spark finds the directories in conflict; a location
+    without files has no row. One footer is read per location. Locations whose footers say the same, and whose directories
+    have the same names and values of one kind, are read once by Spark for all of them; the number of such kinds, not of
+    locations, is what the driver sees.
     """
-    spark = located.sparkSession
-    first = located.groupBy("location").agg(F.min("path").alias("path"))
-    first = first.join(_partition_types(located), "location", "left")
-    tasks = max(
-        2 * spark.sparkContext.defaultParallelism,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-    )
-    return first.repartition(tasks, "location").mapInArrow(_read_footers, _LOCATION_SCHEMAS)
+    found = _below(locations(spark, root, depth, name_filter))
+    found = with_signatures(found).select("location", "path", F.sha2(F.to_json(F.struct("signature", "marks")), 256).alias("kind"),
+                                          F.col("signature").isNotNull().alias("readable"))
+    found = materialise(found, "locations")
+    kinds = found.where("readable").groupBy("kind").agg(F.min_by(F.struct("location", "path"), "location").alias("one"))
+    schemas = [
+        {"kind": row["kind"], "fields": _read_schema(spark, _readable(row["one"]))} for row in kinds.collect()
+    ]
+    schemas = local_frame(spark, schemas, f"kind string, fields {FIELDS}")
+    return found.join(schemas, "kind", "left").select("location", "fields")
+
+
+def _readable(one: T.Row) -> str:
+    """A location as a path; one that is a file has no slash at its end."""
+    return one["path"] if one["location"] == one["path"] + "/" else one["location"].rstrip("/")

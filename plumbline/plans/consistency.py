@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import schemas
-from plumbline.functions.dates import column_windows, day_of, day_sequence, run_range, total_windows
+from plumbline.functions.dates import column_windows, day_of, day_runs, day_sequence, run_range, total_windows
 from plumbline.functions.metrics import Run, drift_category, percent_difference
 from plumbline.operators.history import (
     ANCHORS,
@@ -24,6 +24,7 @@ from plumbline.operators.history import (
 )
 from plumbline.operators.measures import DAY, distinct_counts, row_counts
 from plumbline.plans.common import CheckResult, by_table, finish, rule_rows, scaffold, span
+from plumbline.session import materialise
 from plumbline.sources.rules import HIGH, LOW, bind, passes_gate
 from plumbline.sources.tables import KNOWN_TABLES, Catalog, Source, metastore
 
@@ -33,7 +34,7 @@ TOTAL_SCENARIO = "TotalConsistencyCheck"
 
 def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
                        history: DataFrame | None = None, baseline: str = PER_DAY,
-                       anchor: str = FROM_RUN,
+                       anchor: str = FROM_RUN, fill_gaps: bool = False,
                        source: Source | None = None, catalog: Catalog = KNOWN_TABLES,
                        threshold: str = HIGH, run: Run | None = None,
                        max_days: int | None = None) -> CheckResult:
@@ -41,7 +42,8 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
 
     ``history`` is the table of earlier results of this check; without it the
     baseline is measured from the source itself, where a day without rows counts 0. With ``anchor="day"`` every day
-    looks back from itself, as if it had been a run of its own. A rule without a
+    looks back from itself, as if it had been a run of its own. With ``fill_gaps`` the days that a rule has not
+    logged are measured from the source, and only the days that some rule has not logged are read. A rule without a
     priority counts as low.
     """
     run = run or Run()
@@ -54,7 +56,7 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
     tables = by_table(bound, source or metastore(spark), lambda r: [r.target[field]])
     windows = column_windows(F.lit(first), F.lit(last) if anchor == FROM_DAY else None)
 
-    counted, earlier, statements, fields = [], [], {}, {}
+    counted, measures, statements, fields = [], [], {}, {}
     for number, table in enumerate(tables):
         wanted: dict[str, set[int]] = {}
         for rule in table.rules:
@@ -67,8 +69,7 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
             return found.withColumn("source", F.lit(number))
 
         counted.append(measure(table.within(span(first, last))))
-        if history is None:
-            earlier.append(measure(table.within(*windows)))
+        measures.append((table, measure))
         for rule in table.rules:
             column = rule.target[field]
             head, tail = rule.statement(f"DISTINCT {column}")
@@ -84,12 +85,8 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
         "columnConsistencyField string, source int, segment int, column int",
     )
     keys = ["source", "segment", "column"]
-    if history is not None:
-        match = [*MATCH_KEYS, "columnConsistencyField"]
-        earlier = [logged_counts(normalised(history, catalog), windows, match, baseline)]
-        counts = _of_rules(ruled, earlier, match)
-    else:
-        counts = _every_day(_of_rules(ruled, earlier, keys), ruled, windows)
+    counts = _earlier(
+        ruled, measures, keys, history, [*MATCH_KEYS, "columnConsistencyField"], windows, baseline, catalog, fill_gaps)
     frame = _with_baseline(
         scaffold(ruled, first, last), counted, keys, counts, anchor, baseline, False,
         "columnConsistencyPercentDiff",
@@ -99,7 +96,7 @@ def column_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
 
 def total_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
                       history: DataFrame | None = None, baseline: str = PER_DAY,
-                      anchor: str = FROM_RUN,
+                      anchor: str = FROM_RUN, fill_gaps: bool = False,
                       source: Source | None = None, catalog: Catalog = KNOWN_TABLES,
                       run: Run | None = None, max_days: int | None = None) -> CheckResult:
     """Rows per rule and day against the average of the 30 days before the run and of
@@ -107,7 +104,8 @@ def total_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
 
     ``history`` is the table of earlier results of this check; without it the
     baseline is measured from the source itself, where a day without rows counts 0. With ``anchor="day"`` every day
-    looks back from itself, as if it had been a run of its own.
+    looks back from itself, as if it had been a run of its own. With ``fill_gaps`` the days that a rule has not
+    logged are measured from the source, and only the days that some rule has not logged are read.
     """
     run = run or Run()
     first, last = run_range(start, end, max_days)
@@ -115,24 +113,19 @@ def total_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
     tables = by_table(bound, source or metastore(spark), lambda r: [])
     windows = total_windows(F.lit(first), F.lit(last) if anchor == FROM_DAY else None)
 
-    counted, earlier, statements, fields = [], [], {}, {}
+    counted, measures, statements, fields = [], [], {}, {}
     for number, table in enumerate(tables):
         def measure(rows, table=table, number=number):
             return row_counts(rows, table.day, table.segments).withColumn("source", F.lit(number))
 
         counted.append(measure(table.within(span(first, last))))
-        if history is None:
-            earlier.append(measure(table.within(*windows)))
+        measures.append((table, measure))
         for rule in table.rules:
             statements[rule.number] = rule.statement(rule.table.partition_column)
             fields[rule.number] = {"source": number, "segment": table.segment_of(rule)}
     ruled = rule_rows(spark, bound, statements, fields, "source int, segment int")
     keys = ["source", "segment"]
-    if history is not None:
-        earlier = [logged_counts(normalised(history, catalog), windows, MATCH_KEYS, baseline)]
-        counts = _of_rules(ruled, earlier, list(MATCH_KEYS))
-    else:
-        counts = _every_day(_of_rules(ruled, earlier, keys), ruled, windows)
+    counts = _earlier(ruled, measures, keys, history, list(MATCH_KEYS), windows, baseline, catalog, fill_gaps)
     frame = _with_baseline(
         scaffold(ruled, first, last), counted, keys, counts, anchor, baseline, True,
         "totalConsistencyPercentDiff",
@@ -140,6 +133,31 @@ def total_consistency(spark: SparkSession, rules: DataFrame, start, end, *,
     return CheckResult(finish(frame, run, first, last, TOTAL_SCENARIO), schemas.TOTAL_CONSISTENCY, TOTAL_SCENARIO)
 
 
+def _earlier(ruled: DataFrame, measures: list[tuple], keys: list[str], history: DataFrame | None, match: list[str],
+             windows: list[tuple[Column, Column]], baseline: str, catalog: Catalog, fill_gaps: bool) -> DataFrame | None:
+    """Counts of the windows' days as (rule, partitionDate, n): logged, measured, or both."""
+    if fill_gaps and baseline != PER_DAY:
+        raise ValueError("gaps are filled day by day; a single latest row leaves none")
+
+    def measured(windows) -> list[DataFrame]:
+        return [measure(table.within(*windows)) for table, measure in measures]
+
+    if history is None:
+        return _every_day(_of_rules(ruled, measured(windows), keys), ruled, windows)
+    counts = _of_rules(ruled, [logged_counts(normalised(history, catalog), windows, match, baseline)], match)
+    if not fill_gaps:
+        return counts
+    unlogged = materialise(_days_of(ruled, windows).join(counts, ["rule", DAY], "left_anti"), "unlogged")
+    # A number per day of the windows at most.
+    days = [row[DAY] for row in unlogged.select(DAY).distinct().orderBy(DAY).collect()]
+    if not days:
+        return counts
+    found = _of_rules(ruled, measured([span(a, b) for a, b in day_runs(days)]), keys)
+    if found is None:
+        return counts
+    return counts.unionByName(unlogged.join(found, ["rule", DAY], "left").fillna(0, ["n"]).select(counts.columns))
+
+
 def _of_rules(ruled: DataFrame, earlier: list[DataFrame], keys: list[str]) -> DataFrame | None:
     """Earlier counts as (rule, partitionDate, n). A missing view mode or type is a key like any other."""
     if not earlier:
@@ -158,9 +176,13 @@ def _every_day(counts: DataFrame | None, ruled: DataFrame, windows) -> DataFrame
     """
     if counts is None:
         return None
+    return _days_of(ruled, windows).join(counts, ["rule", DAY], "left").fillna(0, ["n"])
+
+
+def _days_of(ruled: DataFrame, windows) -> DataFrame:
+    """Every rule on every day of the windows, as (rule, partitionDate)."""
     days = F.array_distinct(F.flatten(F.array(*[day_sequence(a, b) for a, b in windows])))
-    every = ruled.select("rule", F.explode(F.transform(days, day_of)).alias(DAY))
-    return every.join(counts, ["rule", DAY], "left").fillna(0, ["n"])
+    return ruled.select("rule", F.explode(F.transform(days, day_of)).alias(DAY))
 
 
 def _with_baseline(frame: DataFrame, counted: list[DataFrame], keys: list[str],

@@ -9,7 +9,6 @@ from pyspark.sql.types import StructType
 from plumbline import schemas
 from plumbline.functions.metrics import Run
 from plumbline.operators.footers import FIELDS, field_list, location_schemas
-from plumbline.sources.tree import partition_locations
 
 # The two outcomes.
 CORRECT = "Correct"
@@ -32,7 +31,7 @@ def schema_check(spark: SparkSession, reference: StructType, root: str, depth: i
                  name_filter: str = "", run: Run | None = None) -> DataFrame:
     """Outcome per location at ``depth`` below ``root``. Field order, case and type all matter."""
     run = run or Run()
-    found = location_schemas(partition_locations(spark, root, depth, name_filter))
+    found = location_schemas(spark, root, depth, name_filter)
     same = F.coalesce(F.col("fields") == _as_literal(reference), F.lit(False))
     return found.select(
         F.when(same, CORRECT).otherwise(WRONG).alias("schema_status"),
@@ -44,7 +43,7 @@ def schema_check(spark: SparkSession, reference: StructType, root: str, depth: i
 def schema_differences(spark: SparkSession, reference: StructType, root: str, depth: int,
                        name_filter: str = "") -> DataFrame:
     """Fields that only the location or only the reference has, per wrong location."""
-    found = location_schemas(partition_locations(spark, root, depth, name_filter))
+    found = location_schemas(spark, root, depth, name_filter)
     wanted, empty = _as_literal(reference), F.array().cast(FIELDS)
     fields = F.coalesce("fields", empty)
     sides = F.array(

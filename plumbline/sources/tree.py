@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.session import metadata_session
+from plumbline.sources.listing import level
 
 # Path texts that mark entries no check should look at.
 SKIPPED_MARKS = ("HIVE_DEFAULT_PARTITION", "_SUCCESS")
@@ -32,61 +31,24 @@ def first_level_pattern(root: str, name_filter: str) -> str:
     return f"{root}/*{escaped(name_filter)}*"
 
 
-def list_files(spark: SparkSession, root: str, name_filter: str = "") -> DataFrame:
-    """Files below ``root`` as (path, relative).
+def locations(spark: SparkSession, root: str, depth: int, name_filter: str = "",
+              skipped_marks: Sequence[str] = SKIPPED_MARKS) -> DataFrame:
+    """Directories and files ``depth`` levels under ``root`` as (location, path, is_file).
 
-    The listing is a file scan that reads no content; Spark lists many
-    directories on the cluster, and the scan has about as many tasks as cores. ``name_filter`` must occur in the
-    path of the first level, base included; where it can only match the level's
-    own name it also narrows the directories that are listed.
-    """
-    root = root.rstrip("/")
-    pattern = first_level_pattern(root, name_filter)
-    reader = metadata_session(spark).read.format("binaryFile").option("recursiveFileLookup", "true")
-    try:
-        files = reader.load(pattern).select("path")
-    except AnalysisException as exc:
-        if pattern == root or exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "path string, relative string")
-    # Listed paths carry a scheme; the part after the root is the same either way.
-    bare = root.split(":", 1)[1] if ":" in root.split("/", 1)[0] else root
-    bare = bare.lstrip("/")
-    skip = F.instr("path", F.lit(bare)) + F.lit(len(bare) + 1)
-    files = files.withColumn("relative", F.substring(F.col("path"), skip, F.length("path")))
-    if name_filter:
-        first_level = F.concat(
-            F.substring(F.col("path"), F.lit(1), skip - 1),
-            F.substring_index("relative", "/", 1),
-            F.lit("/"),
-        )
-        files = files.where(F.contains(first_level, F.lit(name_filter)))
-    return files
-
-
-def partition_locations(spark: SparkSession, root: str, depth: int, name_filter: str = "",
-                        skipped_marks: Sequence[str] = SKIPPED_MARKS) -> DataFrame:
-    """Files with the location they belong to at ``depth`` levels under ``root``.
-
-    Columns: location (ends with ``/``), path, rest (the path below the
-    location; empty when the location is the file itself). Files above that
-    depth belong to none. A depth below 1 is an error.
+    ``location`` is the path with a ``/`` at its end. Levels are listed one after another by the tasks of a job: only
+    directories that lead to a location are looked into, and nothing below a location. ``name_filter`` must occur in
+    the path of the first level, base and closing slash included. Locations with a mark anywhere in their path are
+    skipped. A depth below 1 is an error; an entry that ends above the depth is no location.
     """
     if depth < 1:
         raise ValueError(f"a location lies at least one level down, not {depth}")
-    files = list_files(spark, root, name_filter)
-    parts = F.split("relative", "/")
-    located = files.where(F.size(parts) >= depth).select(
-        "path",
-        F.array_join(F.slice(parts, F.lit(depth + 1), F.size(parts)), "/").alias("rest"),
-    ).select(
-        F.when(F.col("rest") == "", F.col("path"))
-        .otherwise(F.expr("substring(path, 1, length(path) - length(rest) - 1)"))
-        .alias("location"),
-        "path",
-        "rest",
-    )
-    located = located.withColumn("location", F.concat("location", F.lit("/")))
-    for mark in skipped_marks:
-        located = located.where(~F.col("location").contains(mark))
-    return located
+
+    def keep(entries: DataFrame, number: int) -> DataFrame:
+        if number == 1 and name_filter:
+            entries = entries.where(F.contains(F.concat("path", F.lit("/")), F.lit(name_filter)))
+        for mark in skipped_marks:
+            entries = entries.where(~F.contains("path", F.lit(mark)))
+        return entries
+
+    found = level(spark, root, depth, keep)
+    return found.select(F.concat("path", F.lit("/")).alias("location"), "path", "is_file")

@@ -1,6 +1,7 @@
 """The rule checks end to end on small tables, with every deliberate decision pinned."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -306,6 +307,72 @@ def test_daily_anchor_with_a_log(spark, run):
     assert [got[d] for d in (20240201, 20240203, 20240204, 20240209, 20240210)] == [20.0, 20.0, 40.0, 40.0, 50.0]
 
 
+@pytest.mark.parametrize("anchor", ["run", "day"])
+@pytest.mark.parametrize("keep", ["partitionDate % 2 = 0", "partitionDate < 20240115", "true", "false"])
+def test_unlogged_days_are_measured(spark, run, anchor, keep, tmp_path):
+    """A baseline of logged and measured days is the one of either, and only unlogged days are read."""
+    source = frames({"EV_ACCOUNT": daily(spark)})
+    earlier = Run(dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc))
+    totals = rules(spark, schemas.TOTAL_RULES, TOTAL_RULE)
+    columns = rules(spark, schemas.QUALITY_RULES, quality_rule("ban"), quality_rule("zip"))
+    for check, rows in ((total_consistency, totals), (column_consistency, columns)):
+        results = str(tmp_path / check.__name__)
+        sinks.store(check(spark, rows, 20221201, 20240210, source=source, run=earlier), results)
+        history = spark.read.parquet(results).where(keep)
+        options = {"run": run, "anchor": anchor}
+        days = (20240129, 20240205)
+        measured = check(spark, rows, *days, source=source, **options).metrics.collect()
+        both = check(spark, rows, *days, source=source, history=history, fill_gaps=True, **options).metrics.collect()
+        assert sorted(measured) == sorted(both) and any(r.averageRecordCount for r in both)
+
+
+def test_only_unlogged_days_are_read(spark, run, tmp_path):
+    day = "20240110"
+    path = str(tmp_path / "account")
+    daily(spark).write.partitionBy("data_dt").parquet(path)
+    read = spark.read.parquet(path)
+    totals = rules(spark, schemas.TOTAL_RULES, TOTAL_RULE)
+    results = str(tmp_path / "results")
+    earlier = Run(dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc))
+    source = frames({"EV_ACCOUNT": read})
+    sinks.store(total_consistency(spark, totals, 20221201, 20240210, source=source, run=earlier), results)
+    history = spark.read.parquet(results).where(f"partitionDate <> {day}")
+    check = total_consistency(
+        spark, totals, 20240201, 20240201, source=source, run=run, history=history, fill_gaps=True)
+    plan = check.frame._jdf.queryExecution().executedPlan().toString()
+    # Scans are of the run's day and of the one unlogged day; the source's other days are not read.
+    assert set(re.findall(r"data_dt#\d+ >?= (\d{8})", plan)) == {day, "20240201"}
+    with pytest.raises(ValueError, match="day by day"):
+        total_consistency(spark, totals, 20240201, 20240201, source=source, history=history, fill_gaps=True, baseline="latest_row")
+
+
+@pytest.mark.parametrize("broken", ["log", "results"])
+def test_a_run_that_failed_between_its_writes_is_stored_once(spark, run, tmp_path, monkeypatch, broken):
+    source = accounts(spark, [(20240101, "A", "Active", "1", 1), (20240102, "A", "Active", "1", 1)])
+    results, log = str(tmp_path / "results"), str(tmp_path / "log")
+    own = sinks.append
+
+    def check(days=(20240101, 20240103), run=run):
+        return column_quality(spark, rules(spark, schemas.QUALITY_RULES, quality_rule()), *days, source=source, run=run)
+
+    def failing(frame, target, *partition):
+        if target.endswith(broken):
+            raise OSError("no space")
+        own(frame, target, *partition)
+
+    before = Run(run.started - dt.timedelta(seconds=1))
+    sinks.store(check(run=before), results, log)
+    monkeypatch.setattr(sinks, "append", failing)
+    with pytest.raises(OSError):
+        sinks.store(check(), results, log)
+    monkeypatch.setattr(sinks, "append", own)
+    for _ in range(2):
+        sinks.store(check(), results, log)
+    stored, logged = spark.read.parquet(results), spark.read.parquet(log)
+    assert stored.count() == logged.count() == 6
+    assert stored.select("queryid").distinct().count() == logged.join(stored, "queryid").count() == 6
+
+
 @pytest.mark.parametrize("options", [{"anchor": "week"}, {"anchor": "day", "baseline": "latest_row"}])
 def test_unknown_anchor(spark, run, options):
     with pytest.raises(ValueError):

@@ -70,6 +70,9 @@ def test_path_jobs(spark, database, tmp_path, capsys):
     assert spark.table("outcome.schema_check").head().schema_status == "Wrong"
     main(["compare", tree, out, "--columns", "day", "--day", "day", "--like", "2018%"])
     assert "|20180101|10        |10         |0         |" in capsys.readouterr().out
+    main(["merge", tree, out, "2018", "--partitions", "day", "--results", str(tmp_path / "leaves")])
+    leaves = spark.read.parquet(str(tmp_path / "leaves")).collect()
+    assert [(r.day, r.load_rows, r.merged_rows, r.complete) for r in leaves] == [("20180101", 10, 10, True)]
 
 
 def test_a_short_merge_fails(spark, tmp_path, monkeypatch, capsys):
@@ -91,15 +94,28 @@ def test_a_short_merge_fails(spark, tmp_path, monkeypatch, capsys):
         main(["merge", tree, out, "--partitions", "day"])
 
 
-def test_compare_stores_and_shows_every_group(spark, tmp_path, capsys):
+def test_compare_stores_all_and_shows_a_bounded_head(spark, tmp_path, capsys):
     left, right, out = (str(tmp_path / name) for name in ("left", "right", "out"))
     spark.range(150).selectExpr("id AS day").write.parquet(left)
-    spark.range(149).selectExpr("id AS day").write.parquet(right)
+    spark.range(1, 150).selectExpr("id AS day").write.parquet(right)
     main(["compare", left, right, "--columns", "day", "--results", out])
     shown = capsys.readouterr().out
-    assert "150 groups, 1 of them differ" in shown
-    assert sum(line.startswith("|") for line in shown.splitlines()) == 151
+    assert "150 groups, 1 of them differ; the first 100:" in shown
+    lines = [line for line in shown.splitlines() if line.startswith("|")]
+    assert len(lines) == 101 and lines[1].startswith("|0 ")  # differences first
     assert spark.read.parquet(out).count() == 150
+    main(["compare", left, right, "--columns", "day", "--show", "500"])
+    assert sum(line.startswith("|") for line in capsys.readouterr().out.splitlines()) == 151
+
+
+def test_compare_of_many_groups_brings_a_head_to_the_driver(spark, tmp_path, capsys):
+    left, right = str(tmp_path / "left"), str(tmp_path / "right")
+    spark.range(3_000_000).selectExpr("id AS day").write.parquet(left)
+    spark.range(3_000_000).selectExpr("id + id DIV 2999999 AS day").write.parquet(right)
+    main(["compare", left, right, "--columns", "day", "--show", "3"])
+    shown = capsys.readouterr().out
+    assert "3000001 groups, 2 of them differ; the first 3:" in shown
+    assert sum(line.startswith("|") for line in shown.splitlines()) == 4
 
 
 def test_a_long_range_and_its_limit(spark, database, tmp_path):

@@ -1,5 +1,6 @@
 """Partition trees, schema check and load merge."""
 
+import datetime as dt
 import os
 
 import pyarrow as pa
@@ -9,13 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline import sinks
+from plumbline.functions.metrics import Run
+from plumbline.operators import footers
 from plumbline.operators.footers import field_list, location_schemas
 from plumbline.plans import merge
 from plumbline.plans import schema_check as sc
 from plumbline.schemas import RESULT_TABLES
 from plumbline.session import CHECKPOINT_DIR, local_frame, scratch_path
 from plumbline.sources.tables import read_rows, register_view
-from plumbline.sources.tree import partition_locations
+from plumbline.sources import listing
+from plumbline.sources.tree import locations
 
 
 @pytest.fixture
@@ -87,7 +91,7 @@ def test_directories_take_their_first_file_and_partition_columns(spark, root):
         ).write.mode("append").partitionBy("load", "value").parquet(f"{root}/day={day}")
     spark.range(3).selectExpr("CAST(id AS int) AS id").write.mode("append").parquet(f"{root}/day=20240105/load=2/value=q")
     for depth in (1, 2, 3):
-        found = location_schemas(partition_locations(spark, root, depth)).collect()
+        found = location_schemas(spark, root, depth).collect()
         assert len(found) == {1: 5, 2: 6, 3: 6}[depth]
         for row in found:
             own = field_list(spark.read.parquet(row.location).schema)
@@ -96,6 +100,64 @@ def test_directories_take_their_first_file_and_partition_columns(spark, root):
             ]
 
 
+@pytest.mark.parametrize("values", [
+    ("12345678901234567890", "7"), ("12345678901234567890", "x"), ("2024-01-05", "2024-02-30"), ("2024-01-05", "2024-01-29"),
+    ("2024-01-05", "2024-01-05 01:02:03"), ("2024-01-05T01:02:03", "1"), ("1.5", "12345678901"), ("+7", "1"), ("1e3", "2"),
+    ("a%b", "c:d"), ("1234567890", "9"), ("123456789", "-5"), ("", "3"), ("true", "false"),
+])
+def test_directory_values_are_typed_by_the_reader(spark, root, values):
+    for place, value in enumerate(values):
+        spark.range(2).withColumn("k", F.lit(value)).write.mode("append").partitionBy("k").parquet(f"{root}/day=1")
+        spark.range(2).withColumn("k", F.lit(value)).write.partitionBy("k").parquet(f"{root}/day={place + 2}")
+    for row in location_schemas(spark, root, 1).collect():
+        own = field_list(spark.read.parquet(row.location).schema)
+        assert [f.asDict() for f in row.fields] == own, row.location
+
+
+def test_a_read_per_kind_not_per_location(spark, root, monkeypatch):
+    rows = spark.range(400).selectExpr("id", "id DIV 4 AS day", "20240000 + id AS load", "id % 2 AS part")
+    rows.repartition(1).write.partitionBy("day", "load", "part").parquet(root)
+    reads = []
+    own = footers._read_schema
+    monkeypatch.setattr(footers, "_read_schema", lambda spark, path: reads.append(path) or own(spark, path))
+    assert location_schemas(spark, root, 1).where("fields IS NOT NULL").count() == 100
+    assert len(reads) == 1
+    write(spark, f"{root}/day=x/load=5/part=0", "CAST(id AS int) AS id")
+    assert location_schemas(spark, root, 1).where("fields IS NOT NULL").count() == 101
+    assert len(reads) == 3
+
+
+def test_directories_in_conflict_are_wrong(spark, root):
+    write(spark, f"{root}/d=20240101", *GOOD)
+    write(spark, f"{root}/d=bad/k=1", *GOOD)
+    write(spark, f"{root}/d=bad/j=1", *GOOD)
+    os.makedirs(f"{root}/d=empty/k=1")
+    assert statuses(spark, root) == {"d=20240101": "Correct", "d=bad": "Wrong"}
+
+
+def test_levels_below_a_location_are_not_listed(spark, root, monkeypatch):
+    for day in range(3):
+        for load in range(3):
+            write(spark, f"{root}/d={day}/l={load}/x=1/y=2", "id")
+
+    def guarded(uri, opened, recursive=False, inside=listing.listed, top=root):
+        if recursive or uri.split(":", 1)[1].count("/") > top.count("/") + guarded.depth - 1:
+            raise AssertionError(f"looked into {uri}")
+        return inside(uri, opened, recursive)
+
+    monkeypatch.setattr(listing, "listed", guarded)
+    for guarded.depth, found in ((1, 3), (2, 9)):
+        monkeypatch.setattr(listing, "listed", guarded)
+        assert locations(spark, root, guarded.depth).count() == found
+        plan = locations(spark, root, guarded.depth)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == guarded.depth and "binaryFile" not in plan
+    guarded.depth = 1
+    with pytest.raises(Exception, match="looked into"):
+        locations(spark, root, 2).count()
+    # A filter narrows a level before the next one is listed.
+    assert locations(spark, root, 1, "d=1").count() == 1
+
+
 def test_files_of_other_writers(spark, root):
     os.makedirs(f"{root}/d=1")
     table = pa.table({
@@ -111,7 +173,7 @@ def test_files_of_other_writers(spark, root):
         "flag": pa.array([True]),
     })
     pq.write_table(table, f"{root}/d=1/x.parquet")
-    row = location_schemas(partition_locations(spark, root, 1)).head()
+    row = location_schemas(spark, root, 1).head()
     own = field_list(spark.read.parquet(f"{root}/d=1").schema)
     assert [(f.name, f.type) for f in row.fields] == [(f["name"], f["type"]) for f in own]
 
@@ -122,7 +184,7 @@ def test_old_timestamps_of_other_writers(spark, root):
         pa.table({"t": pa.array([1], pa.timestamp("ns"))}), f"{root}/d=1/x.parquet",
         use_deprecated_int96_timestamps=True,
     )
-    row = location_schemas(partition_locations(spark, root, 1)).head()
+    row = location_schemas(spark, root, 1).head()
     assert row.fields[0].type == spark.read.parquet(f"{root}/d=1").schema["t"].dataType.simpleString()
 
 
@@ -131,8 +193,8 @@ def test_paths(spark, root):
         write(spark, f"{root}/{place}", "id")
 
     def found(depth, name_filter="", base=root):
-        rows = partition_locations(spark, base, depth, name_filter).select("location").distinct().collect()
-        return sorted(r.location.split("/table/")[1] for r in rows)
+        rows = locations(spark, base, depth, name_filter).collect()
+        return sorted(r.location.split("/table/")[1] for r in rows if r.is_file == r.location.endswith(".parquet/"))
 
     assert found(1) == ["d=2018/", "d=2019/"]
     # The filter applies to the first level only.
@@ -254,6 +316,81 @@ def test_loads_that_exclude_each_other_stop_only_their_leaf(spark, root, tmp_pat
     assert spark.read.parquet(out).select("day").distinct().count() == 1
 
 
+def test_thousands_of_leaves_stay_a_table(spark, root, tmp_path):
+    """Leaves of three kinds: the driver gets a row per kind, and each kind is read in its own partitions only."""
+    os.makedirs(root)
+    tables = {
+        0: pa.table({"id": [1], "x": [1]}), 1: pa.table({"id": [1], "x": ["a"]}), 2: pa.table({"id": [1]}),
+    }
+    for leaf in range(2000):
+        os.makedirs(f"{root}/day={leaf // 50:03d}/line={leaf % 50}/load_dt=1")
+        pq.write_table(tables[leaf % 3 if leaf % 100 == 0 else 0], f"{root}/day={leaf // 50:03d}/line={leaf % 50}/load_dt=1/x.parquet")
+    found = merge.group_leaves(spark, root, ["day", "line"])
+    assert len(found.samples) == 3 and all(len(files) == 1 for files in found.samples.values())
+    assert found.leaves.count() == found.leaves.distinct().count() == 2000
+    out = str(tmp_path / "out")
+    merge.merge_loads(spark, root, out, ["day", "line"], compact=False)
+    checked = merge.reconcile_leaves(spark, root, out, ["day", "line"])
+    assert checked.where("complete").count() == 2000
+    kinds = {
+        str(spark.read.parquet(f"{out}/day={leaf // 50:03d}/line=0").select("id", *(["x"] if leaf % 3 < 2 else [])).dtypes)
+        for leaf in (0, 100, 200)
+    }
+    assert len(kinds) == 3
+
+
+def test_a_group_reads_its_own_partitions(spark, root):
+    write(spark, f"{root}/day=1/load_dt=1", "id AS x")
+    write(spark, f"{root}/day=2/load_dt=1", "CAST(id AS string) AS x")
+    found = merge.group_leaves(spark, root, ["day"])
+    assert len(found.samples) == 2
+    for group, files in found.samples.items():
+        schema = merge.merged_schema(spark, files, ["day", "load_dt"])
+        rows = merge.read_group(spark, root, schema, found.leaves.where(F.col("group") == group).select("leaf"), ["day"])
+        assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.select("day").distinct().count() == 1 and rows.count() == 4
+
+
+def test_loads_of_one_schema_need_no_table_of_leaves(spark, tree):
+    found = merge.group_leaves(spark, tree, ["day", "line"])
+    assert found.leaves is None and len(found.samples) == 1
+    assert merge.group_leaves(spark, tree, ["day", "line"], name_filter="nothing").samples == {}
+
+
+def test_counts_come_from_footers(spark, tree, tmp_path):
+    counts = merge.partition_counts(spark, tree, ["day", "line", "load_dt"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan
+    assert {tuple(r) for r in counts.collect()} == {(d, line, load, 1) for _, d, line, load in TREE}
+    out = str(tmp_path / "out")
+    merge.merge_loads(spark, tree, out, ["day", "line"])
+    checked = merge.reconcile_leaves(spark, tree, out, ["day", "line"])
+    assert checked.columns == ["day", "line", "load_rows", "merged_rows", "complete"]
+    assert checked.where("complete").count() == 5
+    # A leaf that is short of a row fails.
+    spark.createDataFrame([(9, "007", "A", "2")], "id int, day string, line string, load_dt string").write.mode(
+        "append").partitionBy("day", "line", "load_dt").parquet(tree)
+    short = merge.reconcile_leaves(spark, tree, out, ["day", "line"]).where("NOT complete").collect()
+    assert [tuple(r) for r in short] == [("007", "A", 2, 1, False)]
+
+
+def test_publish_outcomes(spark, tree, tmp_path):
+    out = str(tmp_path / "out")
+    assert merge.files_now(spark, out).count() == 0
+
+    def outcomes(**options):
+        before = merge.files_now(spark, out)
+        merge.merge_loads(spark, tree, out, ["day", "line"], **options)
+        found = merge.publish_outcomes(before, merge.files_now(spark, out))
+        return {(r.outcome, r.file.split("/out/")[1].split("/")[0]): r.n for r in found.groupBy("outcome", "file").agg(
+            F.sum("rows").alias("n")).collect() if r.n}
+
+    assert {o for o, _ in outcomes()} == {"written"}
+    again = outcomes(name_filter="day=20240101")
+    assert {day for o, day in again if o == "written"} == {day for o, day in again if o == "replaced"} == {"day=20240101"}
+    assert {day for o, day in again if o == "kept"} == {"day=20240102", "day=007", "day=__HIVE_DEFAULT_PARTITION__"}
+
+
 def test_a_hot_leaf_is_written_by_many_tasks(spark, root, tmp_path):
     rows = spark.range(200000).select(
         "id", F.sha2(F.col("id").cast("string"), 256).alias("text"),
@@ -286,9 +423,14 @@ def test_store_into_tables(spark, root, run):
     sinks.create_result_tables(spark, "kept")
     write(spark, f"{root}/d=20240101", *GOOD)
     reference = spark.read.parquet(f"{root}/d=20240101").schema
-    for _ in range(2):
-        sinks.store_schema_check(sc.schema_check(spark, reference, root, 1, run=run), "kept.schema_check")
-    assert [tuple(r)[::2] for r in spark.table("kept.schema_check").collect()] == [("Correct", 20240201060000)] * 2
+    later = Run(run.started + dt.timedelta(hours=1))
+    for one in (run, run, later):  # a run that is stored again adds nothing
+        sinks.store_schema_check(sc.schema_check(spark, reference, root, 1, run=one), "kept.schema_check")
+    assert sorted(tuple(r)[::2] for r in spark.table("kept.schema_check").collect()) == [
+        ("Correct", 20240201060000), ("Correct", 20240201070000)]
+    write(spark, f"{root}/d=20240102", *GOOD)
+    sinks.store_schema_check(sc.schema_check(spark, reference, root, 1, run=run), "kept.schema_check")
+    assert spark.table("kept.schema_check").where("log_time = 20240201060000").count() == 2
 
 
 def test_views_and_paths(spark, root):
