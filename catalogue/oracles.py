@@ -463,7 +463,7 @@ def oracles() -> dict[str, str]:
             SELECT scenario, CAST(2 * n AS BIGINT) AS n, CAST(2 * n AS BIGINT) AS ids FROM (
                 SELECT 'ColumnQuality' AS scenario, count(*) AS n FROM ({_viewing_quality()})
                 UNION ALL SELECT 'ColumnConsistencyCheck', 6 * count(*) FROM ({_days('2023-12-30', '2024-02-02')})
-                UNION ALL SELECT 'TotalConsistencyCheck', 3 * count(*) FROM ({_days('1994-12-30', '2001-12-31')})
+                UNION ALL SELECT 'TotalConsistencyCheck', 3 * count(*) FROM ({_days('1996-03-01', '1996-03-31')})
                 UNION ALL SELECT 'DuplicateCheck', count(*) FROM ({_satellite_duplicates()}))
             WHERE n > 0""",
         "result_tables": f"""
@@ -471,7 +471,7 @@ def oracles() -> dict[str, str]:
                    d.day AS partitionDate, 'TotalConsistencyCheck' AS scenario
             FROM (VALUES ('SATELLITE', 'Active'), ('OTT', 'Pending'), ('CABLE', 'Suspended'))
                 AS r(businessLine, viewMode)
-            CROSS JOIN ({_days('1994-12-30', '2001-12-31')}) d
+            CROSS JOIN ({_days('1996-03-01', '1996-03-31')}) d
             LEFT JOIN (SELECT business_line, status AS own, {_day('data_dt')} AS day FROM ({ACCOUNT})) v
                 ON v.business_line = r.businessLine AND v.own = r.viewMode AND v.day = d.day
             CROSS JOIN LATERAL (SELECT r.viewMode AS status)

@@ -18,8 +18,8 @@ OVER_15 = "GreaterThan15Percent"
 NO_BASELINE = "noBaseline"
 
 # An id holds when a run started (in 128ths of a second from the epoch on), the check, and the row's number.
-# 39 bits of time last until the year 2156.
-_EPOCH = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
+# 39 bits of time last until the year 2106.
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 _PER_SECOND = 128
 _TIME_BITS, _CHECK_BITS, _ROW_BITS = 39, 2, 22
 

@@ -97,7 +97,7 @@ def test_ids_of_runs_in_one_second_and_beyond_2038(spark):
     second = dt.datetime(2024, 2, 1, 6, tzinfo=dt.timezone.utc)
     starts = [
         second, second + dt.timedelta(milliseconds=8), second + dt.timedelta(milliseconds=500),
-        dt.datetime(2038, 2, 1, tzinfo=dt.timezone.utc), dt.datetime(2155, 12, 31, tzinfo=dt.timezone.utc),
+        dt.datetime(2038, 2, 1, tzinfo=dt.timezone.utc), dt.datetime(2105, 12, 31, tzinfo=dt.timezone.utc),
     ]
     rows = spark.range(1000)
     smallest, largest = zip(*(
@@ -105,6 +105,6 @@ def test_ids_of_runs_in_one_second_and_beyond_2038(spark):
     assert all(a < b for a, b in zip(largest, smallest[1:]))
     assert all(a <= i <= b for start, i in zip(starts, largest) for a, b in [m.Run(start).id_range()])
     with pytest.raises(ValueError, match="no ids"):
-        m.Run(dt.datetime(2157, 1, 1, tzinfo=dt.timezone.utc)).query_id(F.col("id"))
+        m.Run(dt.datetime(2107, 1, 1, tzinfo=dt.timezone.utc)).query_id(F.col("id"))
     with pytest.raises(Exception, match="at most 4194304 rows"):
         spark.range(1 << 22, (1 << 22) + 1).select(m.Run(second).query_id(F.col("id"))).collect()
