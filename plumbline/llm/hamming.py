@@ -1,9 +1,10 @@
 """Exact top-k search of binary codes by Hamming distance, with incremental multi-index hashing.
 
-A code is cut into segments, and each segment is an index of its own. Round r looks up the segment
-values at distance r of the query's. A code not found after round r differs by more than r in each of
-the m segments, so every code within m * (r + 1) - 1 has been found and verified. A query is finished
-when its k-th verified distance is within that bound; the others go on to the next round.
+A code is cut into m segments, and each segment is an index of its own. Radius r looks up the segment
+values at distance r of the query's, one segment after the other. A code not found after radius r in the first a
+segments differs by more than r in each of these and by r at least in the others, so every code within
+m * r + a - 1 has been found and verified. A query is finished when its k-th verified distance is within that
+bound; the others go on to the next segment. Where segments have few values at a radius, all are looked up together.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import functools
 import itertools
 import math
 import operator
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ from pyspark.sql.window import Window
 from plumbline.session import materialise
 
 BITS = 64
+#: Values of a segment at one radius from which segments are looked up one by one.
+MANY_VALUES = 64
 
 
 def sign_code(vector: str, bits: int = BITS) -> Column:
@@ -54,11 +58,22 @@ def _in_segments(codes: DataFrame, column: str, segments: list[tuple[int, int]])
     return codes.select("*", F.explode(F.array(*parts)).alias("at")).select("*", "at.segment", "at.value").drop("at")
 
 
-def _probes(queries: DataFrame, segments: list[tuple[int, int]], radius: int) -> DataFrame:
-    """Every segment value at exactly ``radius`` of the query's."""
+def _steps(segments: list[tuple[int, int]]) -> Iterator[tuple[int, range]]:
+    """(radius, segments that are looked up) in order."""
+    widest = max(width for _, width in segments)
+    for radius in range(widest + 1):
+        if math.comb(widest, radius) < MANY_VALUES:
+            yield radius, range(len(segments))
+        else:
+            yield from ((radius, range(s, s + 1)) for s in range(len(segments)))
+
+
+def _probes(queries: DataFrame, segments: list[tuple[int, int]], radius: int, asked: range) -> DataFrame:
+    """Every value at exactly ``radius`` of the query's in the segments that are asked."""
     placed = _in_segments(queries, "query", segments)
     found = []
-    for s, (_, width) in enumerate(segments):
+    for s in asked:
+        width = segments[s][1]
         masks = [_signed(sum(1 << bit for bit in bits)) for bits in itertools.combinations(range(width), radius)]
         if masks:
             flips = F.explode(F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>"))
@@ -106,8 +121,8 @@ def top_k(
     by_query = Window.partitionBy("query_id", "query")
     active = materialise(queries, "queries")
     best, finished = None, []
-    for radius in range(max(width for _, width in segments) + 1):
-        pairs = _probes(active.select("query").distinct(), segments, radius).hint("merge").join(
+    for radius, asked in _steps(segments):
+        pairs = _probes(active.select("query").distinct(), segments, radius, asked).hint("merge").join(
             index.hint("merge"), ["segment", "value"]
         ).where(_found_here(segments, radius)).select(
             "query", "code", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance")
@@ -119,10 +134,10 @@ def top_k(
         nearest = found.groupBy("query_id", "query", "neighbour_id").agg(F.min("distance").alias("distance"))
         in_order = by_query.orderBy("distance", "neighbour_id")
         nearest = nearest.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= k)
-        covered = len(segments) * (radius + 1) - 1
+        covered = len(segments) * radius + asked.stop - 1
         full = (F.col("rank") == k) & (F.col("distance") <= covered)
         nearest = nearest.withColumn("done", F.max(full).over(by_query))
-        # The one write of a round: the nearest rows of each query so far, and the queries without any.
+        # The one write of a step: the nearest rows of each query so far, and the queries without any.
         state = materialise(active.hint("merge").join(nearest.hint("merge"), ["query_id", "query"], "left"), "round")
         finished.append(state.where("done").drop("done"))
         open_ = state.where("done IS NULL OR NOT done")
