@@ -23,7 +23,7 @@ from plumbline.session import materialise
 
 BITS = 64
 #: Values of a segment at one radius from which segments are looked up one by one.
-MANY_VALUES = 64
+MANY_VALUES = 1000
 
 
 def sign_code(vector: str, bits: int = BITS) -> Column:
@@ -40,8 +40,11 @@ def _signed(value: int) -> int:
 
 
 def _segments(bits: int, n_codes: int) -> list[tuple[int, int]]:
-    """(first bit, width) of segments about as wide as the number of codes has bits."""
-    count = max(1, min(bits, round(bits / math.log2(max(n_codes, 4)))))
+    """(first bit, width) of segments no wider than the number of codes has bits.
+
+    In wider ones most values that are looked up would belong to no code.
+    """
+    count = max(1, min(bits, math.ceil(bits / math.log2(max(n_codes, 4)))))
     ends = [round(bits * k / count) for k in range(count + 1)]
     return [(a, b - a) for a, b in itertools.pairwise(ends)]
 
