@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.llm.text import alphanumeric_words, small_side
+from plumbline.llm.text import alphanumeric_words, is_small, small_side
 from plumbline.session import materialise
 
 WINDOW_WORDS = 13
@@ -39,16 +39,40 @@ def _shingle(words: str, place: Column, size: int) -> Column:
     return F.when(parts[-1].isNotNull(), F.xxhash64(F.lit(size), *parts))
 
 
+def _words(documents: DataFrame) -> DataFrame:
+    return documents.select("id", F.xxhash64("text").alias("text_hash"), alphanumeric_words("text").alias("words"))
+
+
 def _places(documents: DataFrame, sizes: list[int]) -> DataFrame:
     """(id, text_hash, words, place, shingle) of every shingle of the given sizes."""
-    words = documents.select("id", F.xxhash64("text").alias("text_hash"), alphanumeric_words("text").alias("words"))
-    placed = words.select(*ROW, "words", F.posexplode_outer("words").alias("place", "word"))
+    placed = _words(documents).select(*ROW, "words", F.posexplode_outer("words").alias("place", "word"))
     if len(sizes) == 1:
         return placed.withColumn("shingle", _shingle("words", F.col("place"), sizes[0]))
     each = F.array(*[_shingle("words", F.col("place"), size) for size in sizes])
     return placed.withColumn("shingle", F.explode(each))
 
 
+def _candidates(documents: DataFrame, sizes: list[int], prefixes: DataFrame) -> DataFrame:
+    """(id, text_hash, start, n, window): what stands where a prefix (shingle, ahead, n) puts a window.
+
+    Prefixes that are too many to broadcast are joined with places alone: a document's words are not
+    shuffled with each of them, but meet the starts found in it once, where these are cut out.
+    """
+    start = F.col("place") - F.col("ahead")
+    inside = (start >= 0) & (start + F.col("n") <= F.col("n_words"))
+    places = _places(documents, sizes).withColumn("n_words", F.size("words"))
+    if is_small(prefixes):
+        starts = places.join(F.broadcast(prefixes), "shingle").where(inside).withColumn("start", start)
+    else:
+        found = places.select(*ROW, "place", "shingle", "n_words").join(prefixes, "shingle").where(inside)
+        found = found.groupBy(*ROW).agg(F.collect_set(F.struct(start.alias("start"), "n")).alias("starts"))
+        found = found.withColumnsRenamed({"id": "own_id", "text_hash": "own_hash"})
+        same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash"))
+        starts = _words(documents).join(found, same).select(*ROW, "words", F.inline("starts"))
+    window = F.concat_ws(" ", F.slice("words", F.col("start") + 1, F.col("n")))
+    return starts.select(*ROW, "start", "n", window.alias("window"))
+
+
 def occurrences(documents: DataFrame, windows: DataFrame) -> DataFrame:
     """(id, text_hash, start, n, window) where a window (text, n, words) occurs in a document."""
     size = F.least(F.col("n"), F.lit(SHINGLE_WORDS))
@@ -83,13 +107,7 @@ def occurrences(documents: DataFrame, windows: DataFrame) -> DataFrame:
         rarest.select("rarest.shingle", F.col("rarest.place").alias("ahead"), "n").distinct(), "prefixes"
     )
 
-    start = F.col("place") - F.col("ahead")
-    candidates = _places(documents, sizes).join(small_side(prefixes), "shingle").where(
-        (start >= 0) & (start + F.col("n") <= F.size("words"))
-    ).select(
-        *ROW, start.alias("start"), "n",
-        F.concat_ws(" ", F.slice("words", start + 1, F.col("n"))).alias("window"),
-    )
+    candidates = _candidates(documents, sizes, prefixes)
     return candidates.join(small_side(windows.select("window", "n")), ["window", "n"]).select(
         *ROW, "start", "n", "window"
     )

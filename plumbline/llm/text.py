@@ -31,10 +31,15 @@ def alphanumeric_words(text: Column | str) -> Column:
     return F.array_remove(F.split(lower_ascii(text), _BETWEEN_WORDS), "")
 
 
-def small_side(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame, broadcast if it is counted to have few rows; else joins shuffle it.
+def is_small(frame: DataFrame, rows: int | None = None) -> bool:
+    """Whether the frame is counted to have few rows (``BROADCAST_ROWS``).
 
-    The frame should be cheap to compute twice, or materialised.
+    It should be cheap to compute twice, or materialised.
     """
-    few = frame.limit(rows + 1).count() <= rows
-    return F.broadcast(frame) if few else frame
+    rows = BROADCAST_ROWS if rows is None else rows
+    return frame.limit(rows + 1).count() <= rows
+
+
+def small_side(frame: DataFrame, rows: int | None = None) -> DataFrame:
+    """The frame, broadcast if it is small; else joins shuffle it."""
+    return F.broadcast(frame) if is_small(frame, rows) else frame
