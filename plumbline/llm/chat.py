@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from plumbline.session import materialise
+
 #: Turns of a conversation are numbered and hashed in blocks of so many turn numbers, so that a very
 #: long conversation is spread over tasks.
 BLOCK_TURNS = 1024
@@ -98,7 +100,7 @@ def collapse_and_render(
         F.col(id_column).alias("id"), F.col(turn_column).cast("long").alias("turn"),
         F.col(role_column).cast("string").alias("role"), F.col(text_column).cast("string").alias("text"),
     )
-    placed = prefixes(turns)
+    placed = materialise(prefixes(turns), "turns")
     kept = maximal(placed).withColumnRenamed("id", "kept_id")
     segments = F.sort_array(F.collect_list(F.struct("place", render_turn(F.col("role"), F.col("text")).alias("turn"))))
     return placed.join(kept, F.col("id").eqNullSafe(F.col("kept_id"))).groupBy(
