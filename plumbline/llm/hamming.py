@@ -5,6 +5,7 @@ values at distance r of the query's, one segment after the other. A code not fou
 segments differs by more than r in each of these and by r at least in the others, so every code within
 m * r + a - 1 has been found and verified. A query is finished when its k-th verified distance is within that
 bound; the others go on to the next segment. Where segments have few values at a radius, all are looked up together.
+Codes farther than a query's k-th distance so far are dropped where they are found.
 """
 
 from __future__ import annotations
@@ -81,7 +82,7 @@ def _probes(queries: DataFrame, segments: list[tuple[int, int]], radius: int, as
         if masks:
             flips = F.explode(F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>"))
             own = placed.where(F.col("segment") == s).withColumn("flip", flips)
-            found.append(own.select("query", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value")))
+            found.append(own.select("query", "bound", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value")))
     return functools.reduce(DataFrame.union, found) if found else placed.limit(0)
 
 
@@ -123,12 +124,14 @@ def top_k(
     # Every side of these joins may grow with the tables, however small its files are: none is broadcast.
     by_query = Window.partitionBy("query_id", "query")
     active = materialise(queries, "queries")
+    asking = active.select("query", F.lit(bits).alias("bound")).distinct()
     best, finished = None, []
     for radius, asked in _steps(segments):
-        pairs = _probes(active.select("query").distinct(), segments, radius, asked).hint("merge").join(
+        apart = F.bit_count(F.col("query").bitwiseXOR(F.col("code")))
+        pairs = _probes(asking, segments, radius, asked).hint("merge").join(
             index.hint("merge"), ["segment", "value"]
-        ).where(_found_here(segments, radius)).select(
-            "query", "code", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance")
+        ).where(_found_here(segments, radius) & (apart <= F.col("bound"))).select(
+            "query", "code", apart.alias("distance")
         )
         found = active.hint("merge").join(pairs.hint("merge"), "query").join(few.hint("merge"), "code")
         found = found.where("id <> query_id").select("query_id", "query", F.col("id").alias("neighbour_id"), "distance")
@@ -139,15 +142,18 @@ def top_k(
         nearest = nearest.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= k)
         covered = len(segments) * radius + asked.stop - 1
         full = (F.col("rank") == k) & (F.col("distance") <= covered)
-        nearest = nearest.withColumn("done", F.max(full).over(by_query))
+        last = F.when(F.col("rank") == k, F.col("distance"))
+        nearest = nearest.withColumn("done", F.max(full).over(by_query)).withColumn("bound", F.max(last).over(by_query))
         # The one write of a step: the nearest rows of each query so far, and the queries without any.
         state = materialise(active.hint("merge").join(nearest.hint("merge"), ["query_id", "query"], "left"), "round")
-        finished.append(state.where("done").drop("done"))
+        finished.append(state.where("done").drop("done", "bound"))
         open_ = state.where("done IS NULL OR NOT done")
         active = open_.select("query_id", "query").distinct()
+        # Ids with one code share its probes: the largest bound holds for all of them.
+        asking = open_.groupBy("query").agg(F.max(F.coalesce("bound", F.lit(bits))).alias("bound"))
         best = open_.where("neighbour_id IS NOT NULL").select("query_id", "query", "neighbour_id", "distance")
         if not open_.limit(1).count():
             break
-    finished.append(open_.where("neighbour_id IS NOT NULL").drop("done"))  # fewer than k rows to find
+    finished.append(open_.where("neighbour_id IS NOT NULL").drop("done", "bound"))  # fewer than k rows to find
     found = functools.reduce(DataFrame.unionByName, finished)
     return found.select("query_id", "rank", "neighbour_id", F.col("distance").cast("int").alias("distance"))
