@@ -13,8 +13,11 @@ same pieces if it reads the same rows in the same order, as a scan of files does
 from __future__ import annotations
 
 import json
+import operator
+import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +33,16 @@ OPEN_WINDOWS = 1024
 #: Words whose ids a Python worker remembers, twice over, and the longest of them in bytes.
 CACHED_WORDS, CACHED_BYTES = 500_000, 64
 JOINED_WORDS = 2000
-MARKS = b".,;:!?"
+#: Runs of marks whose ids a worker remembers.
+CACHED_MARKS = 4096
 ID_BYTES = 4
+#: ASCII letters and those from U+00C0 to U+017F that have one lower-case letter, then ASCII marks, in UTF-8. None of
+#: these letters changes under NFC.
+_LETTERS_AND_MARKS = re.compile(
+    rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\x88\x8a-\xbe])++)"
+    rb"([!-/:-@\[-`{-~]*+)")
+#: The characters that byte-level tokenizers write for the bytes of letters: Latin-1's own, or one from U+0100 on.
+_BYTE_CHARACTERS = {byte: 0xA2 + byte for byte in range(0x7F, 0xA1)} | {0xAD: 0x143}
 
 _tokenizers: dict[str, WordIds] = {}
 
@@ -41,8 +52,8 @@ class WordIds:
 
     Neither the normaliser nor the pre-tokeniser of a tokenizer that drops white space looks across
     it, so the ids of a text are those of its parts, and a part seen before needs no second look. A part of
-    ASCII letters, with or without marks behind it, is one word to the tokenizer and goes to its
-    model directly; everything else takes the tokenizer's whole way. Texts of a tokenizer that is built otherwise
+    Latin letters, with or without marks behind it, is one word to the tokenizer and goes to its
+    model directly, lower-cased; everything else takes the tokenizer's whole way. Texts of a tokenizer that is built otherwise
     are encoded whole.
     """
 
@@ -52,13 +63,27 @@ class WordIds:
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self._by_parts = _drops_white_space(json.loads(self._tokenizer.to_str()))
+        ids = range(1 + max(self._tokenizer.get_vocab().values(), default=-1))
+        self._id_bytes = [number.to_bytes(ID_BYTES, "little") for number in ids]
         self._known: dict[bytes, bytes] = {}
         self._older: dict[bytes, bytes] = {}
         self._marks: dict[bytes, bytes] = {}
 
     def _word(self, letters: bytes) -> bytes:
-        tokens = self._model.tokenize(letters.lower().decode())
-        return b"".join([token.id.to_bytes(ID_BYTES, "little") for token in tokens])
+        if letters.isascii():
+            word = letters.lower().decode()
+        else:
+            word = letters.decode().lower().encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        id_bytes = self._id_bytes
+        return b"".join([id_bytes[token.id] for token in self._model.tokenize(word)])
+
+    def _behind(self, marks: bytes) -> bytes:
+        ids = self._marks.get(marks)
+        if ids is None:
+            ids = self._whole_way([marks])[marks]
+            if len(self._marks) < CACHED_MARKS and len(marks) <= CACHED_BYTES:
+                self._marks[marks] = ids
+        return ids
 
     def _whole_way(self, parts: list[bytes]) -> dict[bytes, bytes]:
         found = {}
@@ -73,23 +98,30 @@ class WordIds:
             found.update((part, raw[cuts[k]: cuts[k + 1]]) for k, part in enumerate(some))
         return found
 
-    def _encode(self, parts: set[bytes]) -> dict[bytes, bytes]:
+    def _encode(self, parts: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Ids of parts that are not known, which are then known if they are short."""
         found, others = {}, []
+        known, older = self._known, self._older
         for part in parts:
-            if part in self._older:
-                found[part] = self._older[part]
-            elif part.isalpha():
-                found[part] = self._word(part)
-            elif (letters := part.rstrip(MARKS)).isalpha():
-                marks = part[len(letters):]
-                if marks not in self._marks and len(self._marks) < CACHED_BYTES:
-                    self._marks |= self._whole_way([marks])
-                behind = self._marks.get(marks) or self._whole_way([marks])[marks]
-                found[part] = self._known.get(letters) or self._word(letters)
-                found[part] += behind
-            else:
-                others.append(part)
-        return found | self._whole_way(others)
+            ids = older.get(part)
+            if ids is None:
+                if part.isalpha():
+                    ids = self._word(part)
+                elif plain := _LETTERS_AND_MARKS.fullmatch(part):
+                    letters, marks = plain.groups()
+                    ids = known.get(letters) or older.get(letters) or self._word(letters)
+                    if marks:
+                        ids += self._behind(marks)
+                else:
+                    others.append(part)
+                    continue
+            found[part] = ids
+            if len(part) <= CACHED_BYTES:
+                known[part] = ids
+        if others:
+            found |= (ids_of_others := self._whole_way(others))
+            known.update((part, ids) for part, ids in ids_of_others.items() if len(part) <= CACHED_BYTES)
+        return found
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -99,19 +131,16 @@ class WordIds:
                 yield np.array(ids, "<u4").tobytes()
             return
         split = [text.split() for text in texts]
-        every = set().union(*split)
-        new = every.difference(self._known)
+        found = [list(map(self._known.get, parts)) for parts in split]
+        places = [list(compress(range(len(ids)), map(operator.is_, ids, repeat(None)))) for ids in found]
+        new = {parts[k] for parts, unknown in zip(split, places) for k in unknown}
         if len(self._known) + len(new) > CACHED_WORDS:
             self._older, self._known = self._known, {}
-            new = every
-        found = self._encode(new)
-        known = self._known
-        known.update((part, ids) for part, ids in found.items() if len(part) <= CACHED_BYTES)
-        long = {part: ids for part, ids in found.items() if len(part) > CACHED_BYTES}
-        if long:
-            known = known | long
-        for parts in split:
-            yield b"".join([known[part] for part in parts])
+        fresh = self._encode(new)
+        for parts, ids, unknown in zip(split, found, places):
+            for k in unknown:
+                ids[k] = fresh[parts[k]]
+            yield b"".join(ids)
 
 
 def _drops_white_space(parts: dict) -> bool:

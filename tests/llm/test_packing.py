@@ -57,6 +57,36 @@ def test_other_tokenizers_encode_whole_texts(name):
         own.encode(text, add_special_tokens=False).ids for text in texts]
 
 
+def test_words_of_latin_letters_and_marks_go_to_the_model(monkeypatch):
+    words = [a + letters + b for letters in ("\u00c9t\u00e9", "gr\u00f6\u00dfe", "\u017daba", "plain", "\u00ff\u0178\u0131")
+             for a in ("", "x", "N") for b in ("", ",", "***", ".'\"", "$$$")]
+    odd = [
+        "\u0130x", "\u0149x", "\u017fx", "\u00d7x", "x\u00f7", "\u00aax", "e\u0301t", "e***\u0301", "'s", "x's", "x'***s", "a1", "\u1e9ee",
+        "<|endoftext|>", "a<|endoftext|>", "a<|", "|>", "\u00e9<|startoftext|>", "\u00e9" * 50, "ab" * 60 + "!" * 90,
+    ]
+    own = Tokenizer.from_file(PATH)
+    texts = [" ".join(words), *odd, " ".join(odd + words), "\u00e9t\u00e9*** \u00e9t\u00e9***"]
+    ids = WordIds(PATH)
+    found = list(ids.of([text.encode() for text in texts]))
+    assert [np.frombuffer(one, "<u4").tolist() for one in found] == [
+        own.encode(text, add_special_tokens=False).ids for text in texts]
+    whole_way, way = [], WordIds._whole_way
+    monkeypatch.setattr(WordIds, "_whole_way", lambda self, parts: whole_way.extend(parts) or way(self, parts))
+    list(ids.of([(word.swapcase() + "?").encode() for word in ("\u00c9t\u00e9", "\u017daba", "plain")] + [b"Q***"]))
+    assert [part for part in whole_way if part.strip(b"?*")] == []
+
+
+@pytest.mark.parametrize("most", [1, 3, 500_000])
+def test_ids_are_the_same_however_few_words_are_remembered(monkeypatch, most):
+    from plumbline.llm import packing
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", most)
+    own, ids = Tokenizer.from_file(PATH), WordIds(PATH)
+    for texts in (["a b c a", "", "b c d, \u00e9"], ["a " + "z" * 90, "d, a z1 z1"], ["c \u00e9 d, " + "z" * 90]) * 2:
+        found = [np.frombuffer(one, "<u4").tolist() for one in ids.of([text.encode() for text in texts])]
+        assert found == [own.encode(text, add_special_tokens=False).ids for text in texts]
+
+
 def test_query_columns(spark):
     from plumbline.llm import queries
 
