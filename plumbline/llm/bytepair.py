@@ -2,8 +2,8 @@
 
 A word (a match of the tokenizer's pattern) starts as the array of its bytes. A fold merges the neighbours
 whose joined bytes have the lowest rank, the leftmost of equal ones, until no joined bytes have a rank. The
-ranks of pairs are a literal in the plan, cut into buckets by a checksum, as a lookup reads a bucket from its
-start.
+ranks of pairs are a scalar, cut into buckets by a checksum, as a lookup reads a bucket from its start. They are no
+literal, as Spark writes literals out in every description of a plan, which the driver keeps.
 
 Distinct words are folded once each as far as memory has a bound: those that the corpus holds most often,
 counted over all of it, are encoded by one job into a map of known size, also in buckets. Every other word is
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import json
 import zlib
 from collections.abc import Callable
 
@@ -55,10 +54,6 @@ def _is_text(part: bytes) -> bool:
     return True
 
 
-def _literal(value: object, kind: str) -> Column:
-    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), kind)
-
-
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is computed once."""
     return F.get(F.transform(F.array(value), use), 0)
@@ -75,13 +70,14 @@ def _state(parts: Column, ranks: Column) -> Column:
 
 def _merged(state: Column, best: Column, rank: Find) -> Column:
     """The state after the leftmost pair of the best rank is joined. A joined pair's id is its rank."""
-    place = F.instr(state["ranks"], best)
+    parts, ranks = state["parts"], state["ranks"]
 
-    def after(parts: Column) -> Column:
-        left, right = F.substring(parts, place - 1, F.lit(2)), F.substring(parts, place, F.lit(2))
-        return _state(parts, F.overlay(state["ranks"], F.concat(rank(left), rank(right)), place - 1, F.lit(3)))
+    def after(place: Column) -> Column:
+        left, right = F.substring(parts, place - 1, F.lit(1)), F.substring(parts, place + 2, F.lit(1))
+        beside = F.concat(rank(F.concat(left, best)), rank(F.concat(best, right)))
+        return _state(F.overlay(parts, best, place, F.lit(2)), F.overlay(ranks, beside, place - 1, F.lit(3)))
 
-    return _let(F.overlay(state["parts"], best, place, F.lit(2)), after)
+    return _let(F.instr(ranks, best), after)
 
 
 def folded(byte_ids: Column, rank: Find) -> Column:
@@ -119,29 +115,32 @@ class BytePairs:
             if part[:cut] in ranks and part[cut:] in ranks
         ]
         self.buckets = 1 << max(len(pairs) // 2, 1).bit_length()
-        # A bucket is one text, as a map of its own would take several objects in the plan. In it a pair that is not
-        # found is at place 0, and three characters on from there is NO_RANK.
-        table = [ENTRY + ENTRY + NO_RANK] * self.buckets
+        # A bucket is one text. What stands in it behind a pair starts with the pair's rank; without the pair, all of
+        # it does with NO_RANK.
+        self.table = [NO_RANK] * self.buckets
         for pair, rank in pairs:
-            table[zlib.crc32(pair.encode()) % self.buckets] += ENTRY + pair + rank
-        self.table = _literal(table, "array<string>")
-        parts = [""] * (max(ranks.values()) + 1)
+            self.table[zlib.crc32(pair.encode()) % self.buckets] += ENTRY + pair + rank
+        self.parts = [""] * (max(ranks.values()) + 1)
         for part, rank in ranks.items():
-            parts[rank] = part.decode(BYTES)
-        self.parts = _literal(parts, "array<string>")
+            self.parts[rank] = part.decode(BYTES)
         self.bytes_to_ids = "".join(map(chr, range(256))), "".join(_char(ranks[bytes([b])]) for b in range(256))
 
     def words(self, text: Column) -> Column:
         """The words of a text; null has none."""
         return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(self.pattern), F.lit(0))
 
+    def _with(self, frame: DataFrame, name: str, texts: list[str]) -> DataFrame:
+        """The frame with the texts as a scalar; used in one place, no row carries a copy."""
+        one = local_frame(frame.sparkSession, [{"texts": texts}], "texts array<string>")
+        return frame.withColumn(name, one.scalar())
+
     def _ranked(self, inside: Callable[[Find], Column]) -> Column:
-        """``inside`` of the function that gives a pair's rank. The table stands in the plan once."""
+        """``inside`` of the function that gives a pair's rank, for rows with the scalar ``__ranks``."""
         def find(table: Column) -> Find:
-            return lambda pair: _let(F.get(table, _bucket(pair, self.buckets)), lambda own: F.substring(
-                own, F.instr(own, F.concat(F.lit(ENTRY), pair)) + 3, F.lit(1)))
+            return lambda pair: F.substring(F.call_function(
+                "substring_index", F.get(table, _bucket(pair, self.buckets)), F.concat(F.lit(ENTRY), pair), F.lit(-1)), 1, 1)
 
-        return _let(self.table, lambda table: inside(find(table)))
+        return _let(F.col("__ranks"), lambda table: inside(find(table)))
 
     def _fold(self, word: Column, rank: Find) -> Column:
         return folded(F.translate(F.decode(word.cast("binary"), BYTES), *self.bytes_to_ids), rank)
@@ -165,7 +164,8 @@ class BytePairs:
             at_least = row["count"]
         ids = self._ranked(lambda rank: self._fold(F.col("word"), rank))
         own = words.where(F.col("count") >= at_least) if at_least is not None else words.limit(0)
-        known = materialise(own.select("word", ids.alias("ids")).union(vocabulary), "known-words")
+        own = self._with(own, "__ranks", self.table).select("word", ids.alias("ids"))
+        known = materialise(own.union(vocabulary), "known-words")
         discard(words)
         return known
 
@@ -181,8 +181,9 @@ class BytePairs:
 
         # The map is a scalar, computed once; it is used in one place, so that no row carries a copy.
         with_map = texts.withColumn("__known", _in_buckets(known, buckets).scalar())
+        with_map = self._with(with_map, "__ranks", self.table)
         found = _let(F.col("__known"), lambda find: self._ranked(lambda rank: ids(find, rank)))
-        return with_map.withColumn(name, F.array_join(found, "")).drop("__known")
+        return with_map.withColumn(name, F.array_join(found, "")).drop("__known", "__ranks")
 
     def ids(self, encoded: Column) -> Column:
         """Ids as an array of numbers."""
@@ -190,10 +191,18 @@ class BytePairs:
         return F.transform(some, lambda char: F.ascii(char) - 1)
 
     def decoded(self, ids: Column) -> Column:
-        """The bytes of an array of ids, as binary. An id without bytes adds none."""
-        pieces = _let(self.parts, lambda parts: F.transform(ids, lambda i: F.get(parts, i)))
+        """The bytes of an array of ids, as binary, for rows with the scalar ``__parts``. An id without bytes adds none."""
+        pieces = _let(F.col("__parts"), lambda parts: F.transform(ids, lambda i: F.get(parts, i)))
         return F.encode(F.array_join(pieces, ""), BYTES)
 
+    def ids_and_bytes(self, rows: DataFrame, encoded: str, name: str) -> DataFrame:
+        """The rows with a structure of the ids, as numbers, and the bytes of a column of ids as text."""
+        def both(ids: Column) -> Column:
+            return F.struct(ids.alias("ids"), self.decoded(ids).alias("decoded"))
+
+        found = _let(F.col(encoded), lambda text: _let(self.ids(text), both))
+        return self._with(rows, "__parts", self.parts).withColumn(name, found).drop("__parts")
+
 
 def _in_buckets(known: DataFrame, buckets: int) -> DataFrame:
     """One row: an array with the map from word to ids of every bucket."""
@@ -222,5 +231,5 @@ def encode(
     texts = documents.select(F.col(id_column).alias("__id"), F.col(text_column).cast("string").alias("__text"))
     known = pairs.known_words(texts, "__text", kept_words)
     found = pairs.encoded(texts, "__text", known, "__encoded")
-    found = found.select("__id", pairs.ids(F.col("__encoded")).alias("ids"))
-    return found.select(F.col("__id").alias(id_column), "ids", pairs.decoded(F.col("ids")).alias("decoded"))
+    found = pairs.ids_and_bytes(found, "__encoded", "__found")
+    return found.select(F.col("__id").alias(id_column), F.col("__found.ids"), F.col("__found.decoded"))

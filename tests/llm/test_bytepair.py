@@ -87,6 +87,16 @@ def test_no_row_carries_the_map(spark):
     assert "__known" not in plan.toString()
 
 
+def test_plans_are_short(spark):
+    """The driver keeps descriptions of plans: none has the ranks, nor do rows carry them."""
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    execution = bytepair.encode(rows, PATH, public_tokenizers.PATTERN)._jdf.queryExecution()
+    for plan in (execution.analyzed(), execution.optimizedPlan(), execution.executedPlan()):
+        assert len(plan.toString()) < 100_000
+    kept = execution.optimizedPlan().toString()
+    assert "__ranks" not in kept and "__parts" not in kept
+
+
 def test_other_ranks_are_refused(tmp_path):
     path = tmp_path / "ranks"
     path.write_bytes(base64.b64encode(b"a") + b" 0\n")
