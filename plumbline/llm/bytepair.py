@@ -28,10 +28,11 @@ from plumbline.session import discard, local_frame, materialise
 BYTES = "ISO-8859-1"
 #: Words beyond the vocabulary whose ids are kept, and the longest of them in bytes.
 KEPT_WORDS, KEPT_BYTES = 500_000, 64
-#: Private characters above all ids: beside the ids of a word, in place of a rank, before an entry of a bucket.
+#: Private characters above all ids: beside the ids of a word, in place of a rank, before a pair.
 EDGE, NO_RANK, ENTRY = "\ue000", "\uf8ff", "\ue001"
 LARGEST_ID = 0xD7FF - 2
 
+#: From an array of pairs, each behind ``ENTRY``, to a text of their ranks.
 Find = Callable[[Column], Column]
 
 
@@ -68,29 +69,30 @@ def _state(parts: Column, ranks: Column) -> Column:
     return F.struct(parts.alias("parts"), ranks.alias("ranks"))
 
 
-def _merged(state: Column, best: Column, rank: Find) -> Column:
+def _merged(state: Column, best: Column, ranks_of: Find) -> Column:
     """The state after the leftmost pair of the best rank is joined. A joined pair's id is its rank."""
     parts, ranks = state["parts"], state["ranks"]
 
     def after(place: Column) -> Column:
         left, right = F.substring(parts, place - 1, F.lit(1)), F.substring(parts, place + 2, F.lit(1))
-        beside = F.concat(rank(F.concat(left, best)), rank(F.concat(best, right)))
+        beside = ranks_of(F.array(F.concat(F.lit(ENTRY), left, best), F.concat(F.lit(ENTRY), best, right)))
         return _state(F.overlay(parts, best, place, F.lit(2)), F.overlay(ranks, beside, place - 1, F.lit(3)))
 
     return _let(F.instr(ranks, best), after)
 
 
-def folded(byte_ids: Column, rank: Find) -> Column:
+def folded(byte_ids: Column, ranks_of: Find) -> Column:
     """The ids of a word, given as those of its bytes, by merging them pair by pair."""
     def step(state: Column, _: Column) -> Column:
         lowest = F.array_min(F.split(state["ranks"], ""))
-        return _let(lowest, lambda best: F.when(best == NO_RANK, state).otherwise(_merged(state, best, rank)))
+        return _let(lowest, lambda best: F.when(best == NO_RANK, state).otherwise(_merged(state, best, ranks_of)))
 
     def fold(parts: Column) -> Column:
         size = F.length(parts)
-        ranks = F.transform(F.sequence(F.lit(1), size - 1), lambda i: rank(F.substring(parts, i, F.lit(2))))
+        pairs = F.transform(
+            F.sequence(F.lit(1), size - 1), lambda i: F.concat(F.lit(ENTRY), F.substring(parts, i, F.lit(2))))
         return F.aggregate(
-            F.sequence(F.lit(4), F.greatest(size, F.lit(4))), _state(parts, F.array_join(ranks, "")), step,
+            F.sequence(F.lit(4), F.greatest(size, F.lit(4))), _state(parts, ranks_of(pairs)), step,
             lambda state: F.substring(state["parts"], F.lit(2), F.length(state["parts"]) - 2),
         )
 
@@ -110,7 +112,7 @@ class BytePairs:
         # With this flag Java's \s is all white space, as in the libraries that read such patterns, not ASCII's.
         self.pattern = f"(?U){pattern}"
         pairs = [
-            (_char(ranks[part[:cut]]) + _char(ranks[part[cut:]]), _char(rank))
+            (ENTRY + _char(ranks[part[:cut]]) + _char(ranks[part[cut:]]), _char(rank))
             for part, rank in ranks.items() for cut in range(1, len(part))
             if part[:cut] in ranks and part[cut:] in ranks
         ]
@@ -119,7 +121,7 @@ class BytePairs:
         # it does with NO_RANK.
         self.table = [NO_RANK] * self.buckets
         for pair, rank in pairs:
-            self.table[zlib.crc32(pair.encode()) % self.buckets] += ENTRY + pair + rank
+            self.table[zlib.crc32(pair.encode()) % self.buckets] += pair + rank
         self.parts = [""] * (max(ranks.values()) + 1)
         for part, rank in ranks.items():
             self.parts[rank] = part.decode(BYTES)
@@ -135,15 +137,17 @@ class BytePairs:
         return frame.withColumn(name, one.scalar())
 
     def _ranked(self, inside: Callable[[Find], Column]) -> Column:
-        """``inside`` of the function that gives a pair's rank, for rows with the scalar ``__ranks``."""
+        """``inside`` of the function that gives the ranks of pairs, for rows with the scalar ``__ranks``."""
         def find(table: Column) -> Find:
-            return lambda pair: F.substring(F.call_function(
-                "substring_index", F.get(table, _bucket(pair, self.buckets)), F.concat(F.lit(ENTRY), pair), F.lit(-1)), 1, 1)
+            def rank(pair: Column) -> Column:
+                own = F.get(table, _bucket(pair, self.buckets))
+                return F.substring(F.call_function("substring_index", own, pair, F.lit(-1)), 1, 1)
+            return lambda pairs: F.array_join(F.transform(pairs, rank), "")
 
         return _let(F.col("__ranks"), lambda table: inside(find(table)))
 
-    def _fold(self, word: Column, rank: Find) -> Column:
-        return folded(F.translate(F.decode(word.cast("binary"), BYTES), *self.bytes_to_ids), rank)
+    def _fold(self, word: Column, ranks_of: Find) -> Column:
+        return folded(F.translate(F.decode(word.cast("binary"), BYTES), *self.bytes_to_ids), ranks_of)
 
     def known_words(self, texts: DataFrame, column: str, limit: int = KEPT_WORDS, longest: int = KEPT_BYTES) -> DataFrame:
         """(word, ids) of the vocabulary and of the words beyond it that occur most often in all texts: of as
@@ -162,7 +166,7 @@ class BytePairs:
             if total > limit:
                 break
             at_least = row["count"]
-        ids = self._ranked(lambda rank: self._fold(F.col("word"), rank))
+        ids = self._ranked(lambda ranks_of: self._fold(F.col("word"), ranks_of))
         own = words.where(F.col("count") >= at_least) if at_least is not None else words.limit(0)
         own = self._with(own, "__ranks", self.table).select("word", ids.alias("ids"))
         known = materialise(own.union(vocabulary), "known-words")
@@ -173,16 +177,16 @@ class BytePairs:
         """The texts with their ids in order, as text; null is empty."""
         buckets = 1 << known.count().bit_length()
 
-        def ids(find: Column, rank: Find) -> Column:
+        def ids(find: Column, ranks_of: Find) -> Column:
             def of(word: Column) -> Column:
                 own = F.element_at(F.get(find, _bucket(word, buckets)), word)
-                return F.coalesce(own, self._fold(word, rank))
+                return F.coalesce(own, self._fold(word, ranks_of))
             return F.transform(self.words(F.col(column)), of)
 
         # The map is a scalar, computed once; it is used in one place, so that no row carries a copy.
         with_map = texts.withColumn("__known", _in_buckets(known, buckets).scalar())
         with_map = self._with(with_map, "__ranks", self.table)
-        found = _let(F.col("__known"), lambda find: self._ranked(lambda rank: ids(find, rank)))
+        found = _let(F.col("__known"), lambda find: self._ranked(lambda ranks_of: ids(find, ranks_of)))
         return with_map.withColumn(name, F.array_join(found, "")).drop("__known", "__ranks")
 
     def ids(self, encoded: Column) -> Column:

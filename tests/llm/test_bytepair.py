@@ -87,6 +87,18 @@ def test_no_row_carries_the_map(spark):
     assert "__known" not in plan.toString()
 
 
+def test_pairs_are_built_once(spark):
+    """A fold asks for ranks in two places, the first pairs and both new ones of a step, and each pair is built once."""
+    asked = []
+
+    def ranks_of(pairs):
+        asked.append(pairs)
+        return F.transform(pairs, lambda pair: F.lit(bytepair.NO_RANK)).cast("string")
+
+    bytepair.folded(F.lit("abc"), ranks_of)
+    assert len(asked) == 2
+
+
 def test_plans_are_short(spark):
     """The driver keeps descriptions of plans: none has the ranks, nor do rows carry them."""
     rows = spark.read.parquet(f"{SF_DIR}/documents.parquet")
