@@ -1,13 +1,15 @@
-"""Byte-level byte-pair encoding and decoding with Spark's higher-order functions.
+"""Byte-level byte-pair encoding and decoding.
 
 A word (a match of the tokenizer's pattern) starts as the array of its bytes. A fold merges the neighbours
 whose joined bytes have the lowest rank, the leftmost of equal ones, until no joined bytes have a rank. The
 ranks of pairs are a scalar, cut into buckets by a checksum, as a lookup reads a bucket from its start. They are no
 literal, as Spark writes literals out in every description of a plan, which the driver keeps.
 
-Distinct words are folded once each as far as memory has a bound: those that the corpus holds most often,
-counted over all of it, are encoded by one job into a map of known size, also in buckets. Every other word is
-folded where it stands. Both ways give the same ids.
+Spark cuts and counts the words, folds the known ones and looks every word up. Distinct words are folded once each
+as far as memory has a bound: those that the corpus holds most often, counted over all of it, are encoded by one
+job of higher-order functions into a map of known size, also in buckets. Every other word stays in its place as its
+bytes, and a helper over Arrow batches folds it, then gives the numbers and the bytes of all ids. Both folds give
+the same ids.
 
 Inside, an array of ids is a text with one character per id (code point id + 1), because Spark cuts, joins
 and compares short texts far faster than arrays; ids must lie below the surrogates. Bytes are ISO 8859-1 text.
@@ -18,17 +20,22 @@ from __future__ import annotations
 import base64
 import functools
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from plumbline.llm.words import slices
 from plumbline.session import discard, local_frame, materialise
 
 BYTES = "ISO-8859-1"
 #: Words beyond the vocabulary whose ids are kept, and the longest of them in bytes.
 KEPT_WORDS, KEPT_BYTES = 500_000, 64
-#: Private characters above all ids: beside the ids of a word, in place of a rank, before a pair.
+#: Private characters above all ids: beside the ids of a word, in place of a rank, before a pair and beside the bytes
+#: of a word that is not known.
 EDGE, NO_RANK, ENTRY = "\ue000", "\uf8ff", "\ue001"
 LARGEST_ID = 0xD7FF - 2
 
@@ -99,6 +106,22 @@ def folded(byte_ids: Column, ranks_of: Find) -> Column:
     return _let(F.concat(F.lit(EDGE), byte_ids, F.lit(EDGE)), fold)
 
 
+def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of a word, as ``folded`` gives them."""
+    none = LARGEST_ID + 1
+    parts = [word[i: i + 1] for i in range(len(word))]
+    pairs = [ranks.get(word[i: i + 2], none) for i in range(len(word) - 1)]
+    while pairs and (best := min(pairs)) < none:
+        place = pairs.index(best)
+        parts[place: place + 2] = [parts[place] + parts[place + 1]]
+        del pairs[place]
+        if place:
+            pairs[place - 1] = ranks.get(parts[place - 1] + parts[place], none)
+        if place < len(pairs):
+            pairs[place] = ranks.get(parts[place] + parts[place + 1], none)
+    return [ranks[part] for part in parts]
+
+
 class BytePairs:
     """Encoding and decoding by the ranks in a file that the driver can read.
 
@@ -122,9 +145,6 @@ class BytePairs:
         self.table = [NO_RANK] * self.buckets
         for pair, rank in pairs:
             self.table[zlib.crc32(pair.encode()) % self.buckets] += pair + rank
-        self.parts = [""] * (max(ranks.values()) + 1)
-        for part, rank in ranks.items():
-            self.parts[rank] = part.decode(BYTES)
         self.bytes_to_ids = "".join(map(chr, range(256))), "".join(_char(ranks[bytes([b])]) for b in range(256))
 
     def words(self, text: Column) -> Column:
@@ -174,38 +194,47 @@ class BytePairs:
         return known
 
     def encoded(self, texts: DataFrame, column: str, known: DataFrame, name: str = "encoded") -> DataFrame:
-        """The texts with their ids in order, as text; null is empty."""
+        """The texts with the ids of their words in order, as text; null is empty. A word that is not known stands
+        between two ``ENTRY`` as its bytes."""
         buckets = 1 << known.count().bit_length()
 
-        def ids(find: Column, ranks_of: Find) -> Column:
+        def ids(find: Column) -> Column:
             def of(word: Column) -> Column:
                 own = F.element_at(F.get(find, _bucket(word, buckets)), word)
-                return F.coalesce(own, self._fold(word, ranks_of))
+                return F.coalesce(own, F.concat(F.lit(ENTRY), F.decode(word.cast("binary"), BYTES), F.lit(ENTRY)))
             return F.transform(self.words(F.col(column)), of)
 
         # The map is a scalar, computed once; it is used in one place, so that no row carries a copy.
         with_map = texts.withColumn("__known", _in_buckets(known, buckets).scalar())
-        with_map = self._with(with_map, "__ranks", self.table)
-        found = _let(F.col("__known"), lambda find: self._ranked(lambda ranks_of: ids(find, ranks_of)))
-        return with_map.withColumn(name, F.array_join(found, "")).drop("__known", "__ranks")
+        found = _let(F.col("__known"), ids)
+        return with_map.withColumn(name, F.array_join(found, "")).drop("__known")
+
+    def ids_and_bytes(self, rows: DataFrame, id_column: str, encoded: str) -> DataFrame:
+        """(the id column, ids array<int>, decoded binary) of rows with encoded texts. Words not yet known are
+        folded, and the bytes are those of the ids."""
+        ranks = self.ranks
+        names = [id_column, "ids", "decoded"]
 
-    def ids(self, encoded: Column) -> Column:
-        """Ids as an array of numbers."""
-        some = F.when(encoded != "", F.split(encoded, "")).otherwise(F.array().cast("array<string>"))
-        return F.transform(some, lambda char: F.ascii(char) - 1)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = {_char(rank): part for part, rank in ranks.items()}
 
-    def decoded(self, ids: Column) -> Column:
-        """The bytes of an array of ids, as binary, for rows with the scalar ``__parts``. An id without bytes adds none."""
-        pieces = _let(F.col("__parts"), lambda parts: F.transform(ids, lambda i: F.get(parts, i)))
-        return F.encode(F.array_join(pieces, ""), BYTES)
+            def whole(text: str) -> str:
+                pieces = text.split(ENTRY)
+                pieces[1::2] = ["".join(map(_char, merged(word.encode(BYTES), ranks))) for word in pieces[1::2]]
+                return "".join(pieces)
 
-    def ids_and_bytes(self, rows: DataFrame, encoded: str, name: str) -> DataFrame:
-        """The rows with a structure of the ids, as numbers, and the bytes of a column of ids as text."""
-        def both(ids: Column) -> Column:
-            return F.struct(ids.alias("ids"), self.decoded(ids).alias("decoded"))
+            for batch in batches:
+                for part in slices(batch, encoded):
+                    texts = [whole(text) for text in part.column(encoded).to_pylist()]
+                    numbers = np.frombuffer("".join(texts).encode("utf-16-le"), "<u2").astype(np.int32) - 1
+                    bounds = np.cumsum([0, *map(len, texts)]).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(numbers))
+                    decoded = pa.array([b"".join(map(parts.__getitem__, text)) for text in texts], pa.binary())
+                    yield pa.RecordBatch.from_arrays([part.column(id_column), ids, decoded], names)
 
-        found = _let(F.col(encoded), lambda text: _let(self.ids(text), both))
-        return self._with(rows, "__parts", self.parts).withColumn(name, found).drop("__parts")
+        kinds = [rows.schema[id_column].dataType, T.ArrayType(T.IntegerType()), T.BinaryType()]
+        fields = [T.StructField(column, kind) for column, kind in zip(names, kinds)]
+        return rows.select(id_column, encoded).mapInArrow(run, T.StructType(fields))
 
 
 def _in_buckets(known: DataFrame, buckets: int) -> DataFrame:
@@ -235,5 +264,4 @@ def encode(
     texts = documents.select(F.col(id_column).alias("__id"), F.col(text_column).cast("string").alias("__text"))
     known = pairs.known_words(texts, "__text", kept_words)
     found = pairs.encoded(texts, "__text", known, "__encoded")
-    found = pairs.ids_and_bytes(found, "__encoded", "__found")
-    return found.select(F.col("__id").alias(id_column), F.col("__found.ids"), F.col("__found.decoded"))
+    return pairs.ids_and_bytes(found, "__id", "__encoded").withColumnRenamed("__id", id_column)

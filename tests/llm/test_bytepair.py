@@ -99,6 +99,24 @@ def test_pairs_are_built_once(spark):
     assert len(asked) == 2
 
 
+def test_both_folds_give_the_ids_of_the_library(spark, library):
+    ranks = bytepair.read_ranks(PATH)
+    words = [" grundst\u00fccksverkehr", "zzqqxxjjkk", "aaaaaaaaab", "0123456789012345", "\u4e2d\u6587\u5b57\u5bf9", "a", "ab" * 60]
+    for word in words:
+        assert bytepair.merged(word.encode(), ranks) == library.encode_ordinary(word), word
+    assert bytepair.merged(b"", ranks) == []
+    # Kept words are folded by Spark's functions, these by the helper.
+    checked(spark, library, [" ".join(words)] * 2, kept_words=100)
+    checked(spark, library, [" ".join(words)] * 2, kept_words=0)
+
+
+def test_words_that_are_not_known_are_folded_by_the_helper(spark):
+    """Every word is cut and looked up by Spark; the rare ones among them are no longer folded by interpreted functions."""
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plan = bytepair.encode(rows, PATH, public_tokenizers.PATTERN)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "regexp_extract_all" in plan and "aggregate(sequence" not in plan
+
+
 def test_plans_are_short(spark):
     """The driver keeps descriptions of plans: none has the ranks, nor do rows carry them."""
     rows = spark.read.parquet(f"{SF_DIR}/documents.parquet")
