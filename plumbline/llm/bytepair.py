@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -122,6 +123,30 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[part] for part in parts]
 
 
+class Decoder:
+    """The bytes of ids, given as an array."""
+
+    #: Ids that are decoded together.
+    TOGETHER = 1 << 18
+
+    def __init__(self, ranks: dict[bytes, int]):
+        parts = sorted(ranks, key=ranks.get)
+        self.bytes = np.frombuffer(b"".join(parts), np.uint8)
+        sizes = np.array([len(part) for part in parts])
+        places = [ranks[part] for part in parts]
+        self.sizes, self.starts = np.zeros((2, places[-1] + 1), np.int64)
+        self.sizes[places], self.starts[places] = sizes, np.cumsum(sizes) - sizes
+
+    def of(self, ids: np.ndarray) -> bytes:
+        return b"".join(
+            self._some(ids[first: first + self.TOGETHER]) for first in range(0, len(ids), self.TOGETHER))
+
+    def _some(self, ids: np.ndarray) -> bytes:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        return self.bytes[np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(ends[-1])].tobytes()
+
+
 class BytePairs:
     """Encoding and decoding by the ranks in a file that the driver can read.
 
@@ -216,7 +241,7 @@ class BytePairs:
         names = [id_column, "ids", "decoded"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            parts = {_char(rank): part for part, rank in ranks.items()}
+            decoder = Decoder(ranks)
 
             def whole(text: str) -> str:
                 pieces = text.split(ENTRY)
@@ -227,9 +252,11 @@ class BytePairs:
                 for part in slices(batch, encoded):
                     texts = [whole(text) for text in part.column(encoded).to_pylist()]
                     numbers = np.frombuffer("".join(texts).encode("utf-16-le"), "<u2").astype(np.int32) - 1
-                    bounds = np.cumsum([0, *map(len, texts)]).astype(np.int32)
-                    ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(numbers))
-                    decoded = pa.array([b"".join(map(parts.__getitem__, text)) for text in texts], pa.binary())
+                    bounds = np.cumsum([0, *map(len, texts)])
+                    ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(numbers))
+                    found = decoder.of(numbers)
+                    cuts = np.append(0, np.cumsum(decoder.sizes[numbers]))[bounds]
+                    decoded = pa.array([found[a:b] for a, b in itertools.pairwise(cuts.tolist())], pa.binary())
                     yield pa.RecordBatch.from_arrays([part.column(id_column), ids, decoded], names)
 
         kinds = [rows.schema[id_column].dataType, T.ArrayType(T.IntegerType()), T.BinaryType()]

@@ -110,6 +110,15 @@ def test_both_folds_give_the_ids_of_the_library(spark, library):
     checked(spark, library, [" ".join(words)] * 2, kept_words=0)
 
 
+def test_ids_are_decoded_in_runs(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(bytepair.Decoder, "TOGETHER", 3)
+    decoder = bytepair.Decoder({b"a": 5, b"bc": 0, b"def": 2, b"\xff": 3})
+    assert decoder.of(np.array([5, 0, 2, 3, 3, 0, 5])) == b"abcdef\xff\xffbca"
+    assert decoder.of(np.array([], int)) == b""
+
+
 def test_words_that_are_not_known_are_folded_by_the_helper(spark):
     """Every word is cut and looked up by Spark; the rare ones among them are no longer folded by interpreted functions."""
     rows = spark.read.parquet(f"{SF_DIR}/documents.parquet")
